@@ -1,3 +1,184 @@
-"""Queries (q_sampling)."""
+"""Seeded sampling queries."""
 
 from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from riskframe.functions import seeded
+from riskframe.functions.numeric import round_half_up as rh
+from riskframe.functions.numeric import sql_round_half_up as R
+from riskframe.operators import sampling
+from riskframe.plans.catalog import query
+from riskframe.plans.q_assign import SEG_CTES, customer_segments
+from riskframe.sources import dims
+from riskframe.sources.tables import read_table, txn, with_txn
+
+H, U = seeded.sql_h, seeded.sql_uniform
+
+
+def _sql_randint(salt, key, lo, hi):
+    return f"(({lo}) + {H(salt, key)} % (({hi}) - ({lo}) + 1))"
+
+
+@query("split_train_test", with_txn(
+    f"SELECT event_id, is_fraud, CASE WHEN {U('split42', 'event_id')} <= 0.8 THEN 'train' ELSE 'test' END AS split FROM txn"))
+def split_train_test(spark, sf_dir):
+    """80/20 split by a seeded draw of the event key (independent of partitioning)."""
+    return sampling.hash_split(txn(spark, sf_dir).select("event_id", "is_fraud"), "event_id", 0.8, 42)
+
+
+@query("fold_assign", with_txn(f"SELECT event_id, is_fraud, CAST({H('fold42', 'event_id')} % 3 AS INTEGER) AS fold FROM txn"))
+def fold_assign(spark, sf_dir):
+    return sampling.assign_folds(txn(spark, sf_dir).select("event_id", "is_fraud"), "event_id", 3, 42)
+
+
+BALANCE_SQL = with_txn(f"""
+SELECT event_id, is_fraud, CAST(unnest(generate_series(1, n)) AS INTEGER) AS copy FROM bx WHERE n > 0""",
+    f"""bc AS (SELECT CAST(COALESCE(SUM(CASE WHEN is_fraud = 1 THEN 1 ELSE 0 END), 0) AS BIGINT) AS n1,
+              CAST(COALESCE(SUM(CASE WHEN is_fraud = 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS n0 FROM txn),
+br AS (SELECT CASE WHEN n1 > 0 AND CAST(n1 AS DOUBLE) / CAST(n1 + n0 AS DOUBLE) < CAST(0.1 AS DOUBLE)
+                   THEN (CAST(0.3 AS DOUBLE) * CAST(n0 AS DOUBLE)) / (CAST(n1 AS DOUBLE) * (CAST(1.0 AS DOUBLE) - CAST(0.3 AS DOUBLE)))
+              END AS r FROM bc),
+bx AS (SELECT t.event_id, t.is_fraud,
+              CASE WHEN br.r IS NULL OR t.is_fraud <> 1 THEN 1
+                   ELSE CAST(floor(br.r) AS INTEGER) + CASE WHEN {U('over42', 't.event_id')} < br.r - floor(br.r) THEN 1 ELSE 0 END
+              END AS n
+       FROM txn t CROSS JOIN br)""")
+
+
+@query("balance_oversample", BALANCE_SQL)
+def balance_oversample(spark, sf_dir):
+    """Minority rows repeated to a 30 % share (share under 10 % triggers it), majority once."""
+    t = txn(spark, sf_dir).select("event_id", "is_fraud")
+    return sampling.balance_oversample(t, "event_id", "is_fraud", target=0.3, trigger=0.1, seed=42)
+
+
+@query("class_weights", with_txn("""
+SELECT is_fraud, n, CAST(SUM(n) OVER () AS DOUBLE) / (CAST(COUNT(*) OVER () AS DOUBLE) * CAST(n AS DOUBLE)) AS weight
+FROM (SELECT is_fraud, COUNT(*) AS n FROM txn GROUP BY is_fraud)"""))
+def class_weights(spark, sf_dir):
+    return sampling.class_weights(txn(spark, sf_dir))
+
+
+@query("union_classes", with_txn("""
+SELECT event_id, is_fraud, amt FROM txn WHERE is_fraud = 1
+UNION ALL SELECT event_id, is_fraud, amt FROM txn WHERE is_fraud = 0"""))
+def union_classes(spark, sf_dir):
+    t = txn(spark, sf_dir).select("event_id", "is_fraud", "amt")
+    return t.where(F.col("is_fraud") == 1).unionByName(t.where(F.col("is_fraud") == 0))
+
+
+def _event_span(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    return ev.agg(F.min(F.to_date("ts")).alias("span_start"),
+                  F.date_diff(F.max(F.to_date("ts")), F.min(F.to_date("ts"))).alias("span_days"))
+
+
+SPAN_SQL = """span AS (SELECT MIN(CAST(ts AS DATE)) AS span_start,
+                      date_diff('day', MIN(CAST(ts AS DATE)), MAX(CAST(ts AS DATE))) AS span_days FROM events)"""
+
+
+def _ps_sql():
+    rows = [f"('{p}', {s['avg_transactions_per_day']['min']}, {s['avg_transactions_per_day']['max']}, "
+            f"{s['shopping_time']['AM']}, {s['shopping_time']['PM']})" for p, s in dims.DEFAULT_PROFILE_SETTINGS.items()]
+    return "ps(profile, tx_min, tx_max, am_weight, pm_weight) AS (VALUES " + ", ".join(rows) + ")"
+
+
+@query("expand_rows", with_txn(f"""
+SELECT customer_id, profile, CAST(n_txn AS INTEGER) AS n_txn, CAST(unnest(generate_series(1, n_txn)) AS INTEGER) AS txn_no
+FROM (SELECT s.customer_id, s.profile,
+             span.span_days * {_sql_randint('ntx', 's.customer_id', 'p.tx_min', 'p.tx_max')} AS n_txn
+      FROM seg s JOIN ps p ON p.profile = s.profile CROSS JOIN span)
+WHERE n_txn > 0""", SEG_CTES + ",\n" + _ps_sql() + ",\n" + SPAN_SQL))
+def expand_rows(spark, sf_dir):
+    """Customer -> days x U{min..max} transactions of its profile, one row each."""
+    seg = customer_segments(spark, sf_dir).select("customer_id", "profile")
+    ps = dims.profile_settings(spark)
+    base = seg.join(F.broadcast(ps), "profile").crossJoin(F.broadcast(_event_span(spark, sf_dir)))
+    out = sampling.expand_rows(base, "customer_id", F.col("span_days"), F.col("tx_min"), F.col("tx_max"))
+    return out.select("customer_id", "profile", "n_txn", "txn_no")
+
+
+@query("fraud_window", with_txn(f"""
+SELECT customer_id, fraud_customer,
+       CASE WHEN fraud_customer = 1 THEN span_start + CAST(off AS INTEGER) END AS fraud_start,
+       CASE WHEN fraud_customer = 1 THEN span_start + CAST(off AS INTEGER) + 1 END AS fraud_end
+FROM (SELECT d.customer_id,
+             CAST({U('fraudgate42', 'd.customer_id')} < CAST(99 AS DOUBLE) / CAST(101 AS DOUBLE) AS INTEGER) AS fraud_customer,
+             {_sql_randint('fraudday42', 'd.customer_id', '1', 'greatest(span.span_days - 7, 1)')} AS off,
+             span.span_start
+      FROM cust_dim d CROSS JOIN span)""", SPAN_SQL))
+def fraud_window(spark, sf_dir):
+    """Per customer: seeded fraud gate (99 of 101) and a one-day fraud window inside the span."""
+    from riskframe.sources.tables import customer_dim
+
+    base = customer_dim(spark, sf_dir).select("customer_id").crossJoin(F.broadcast(_event_span(spark, sf_dir)))
+    out = sampling.fraud_window(base, "customer_id", F.col("span_start"), F.col("span_days"), 99 / 101, 42)
+    return out.select("customer_id", "fraud_customer", "fraud_start", "fraud_end")
+
+
+@query("daypart_time", with_txn(f"""
+SELECT event_id, daypart, CAST(hour AS BIGINT) AS hour, CAST(minute AS BIGINT) AS minute, CAST(second AS BIGINT) AS second,
+       printf('%02d:%02d:%02d', hour, minute, second) AS trans_time
+FROM (SELECT *, {_sql_randint('hour42', 'event_id', 'hr_lo', 'hr_hi')} AS hour,
+             {_sql_randint('minute42', 'event_id', '0', '59')} AS minute,
+             {_sql_randint('second42', 'event_id', '0', '59')} AS second
+      FROM (SELECT *, CASE WHEN daypart = 'AM' THEN 0 WHEN night THEN 22 ELSE 12 END AS hr_lo,
+                      CASE WHEN daypart = 'AM' THEN (CASE WHEN night THEN 3 ELSE 11 END) ELSE 23 END AS hr_hi
+            FROM (SELECT t.event_id,
+                         CASE WHEN {U('daypart42', 't.event_id')} <= CAST(p.am_weight AS DOUBLE) / CAST(p.am_weight + p.pm_weight AS DOUBLE)
+                              THEN 'AM' ELSE 'PM' END AS daypart,
+                         (t.is_fraud = 1 AND {_sql_randint('night42', 't.event_id', '1', '100')} > 20) AS night
+                  FROM txn t JOIN seg s ON s.customer_id = t.customer_id
+                             JOIN ps p ON p.profile = (CASE WHEN t.is_fraud = 1 THEN 'fraud_' ELSE '' END) || s.profile)))""",
+    SEG_CTES + ",\n" + _ps_sql()))
+def daypart_time(spark, sf_dir):
+    """Time of day per transaction from its profile's AM/PM weights (fraud rows use the
+    ``fraud_`` profile and mostly night hours)."""
+    seg = customer_segments(spark, sf_dir).select("customer_id", "profile")
+    ps = dims.profile_settings(spark).select(F.col("profile").alias("pprofile"), "am_weight", "pm_weight")
+    t = txn(spark, sf_dir).select("event_id", "customer_id", "is_fraud").join(seg, "customer_id")
+    key = F.concat(F.when(F.col("is_fraud") == 1, F.lit("fraud_")).otherwise(F.lit("")), F.col("profile"))
+    t = t.join(F.broadcast(ps), key == F.col("pprofile"))
+    cols = sampling.daypart_time("event_id", F.col("am_weight"), F.col("pm_weight"), F.col("is_fraud"), 42)
+    return t.select("event_id", *[c.alias(n) for n, c in cols.items()])
+
+
+@query("geo_jitter", with_txn(f"""
+SELECT event_id, lat + (2.0 * {U('jlat', 'event_id')} - 1.0) * 1.0 AS merch_lat,
+       long + (2.0 * {U('jlong', 'event_id')} - 1.0) * 1.0 AS merch_long
+FROM txn"""))
+def geo_jitter(spark, sf_dir):
+    """Merchant location = customer location +- 1 degree (uniform per coordinate)."""
+    t = txn(spark, sf_dir)
+    return t.select(
+        "event_id",
+        sampling.geo_jitter(F.col("lat"), "event_id", "jlat").alias("merch_lat"),
+        sampling.geo_jitter(F.col("long"), "event_id", "jlong").alias("merch_long"),
+    )
+
+
+def _gamma_sql():
+    u1, u2, u3 = U("g1_42", "e.event_id"), U("g2_42", "e.event_id"), U("g3_42", "e.event_id")
+    z = f"(sqrt(-2.0 * ln({u1})) * cos({2.0 * math.pi!r} * {u2}))"
+    return with_txn(f"""
+SELECT event_id, category, {R('CASE WHEN x < 1.0 THEN 1.0 + 9.0 * u3 ELSE x END', 2)} AS amount
+FROM (SELECT e.event_id, e.category, {u3} AS u3,
+             g.shape * g.scale * (greatest(1.0 - c + {z} * sqrt(c), 0.0) * greatest(1.0 - c + {z} * sqrt(c), 0.0)
+                                  * greatest(1.0 - c + {z} * sqrt(c), 0.0)) AS x
+      FROM txn e JOIN (SELECT category, shape, scale, 1.0 / (9.0 * shape) AS c FROM gs) g ON g.category = e.category)""",
+        f"""gm AS (SELECT category, {R('avg(amt)', 6)} AS m, {R('stddev_samp(amt)', 6)} AS s FROM txn GROUP BY category),
+gs AS (SELECT category, m * m / (s * s) AS shape, s * s / m AS scale FROM gm)""")
+
+
+@query("gamma_amounts", _gamma_sql())
+def gamma_amounts(spark, sf_dir):
+    """Per-transaction amount drawn from its category's gamma (moments from the data)."""
+    t = txn(spark, sf_dir)
+    specs = t.groupBy("category").agg(rh(F.avg("amt"), 6).alias("m"), rh(F.stddev_samp("amt"), 6).alias("s"))
+    specs = specs.select("category", (F.col("m") * F.col("m") / (F.col("s") * F.col("s"))).alias("shape"),
+                         (F.col("s") * F.col("s") / F.col("m")).alias("scale"))
+    j = t.select("event_id", "category").join(F.broadcast(specs), "category")
+    return j.select("event_id", "category", rh(sampling.gamma_amount(F.col("shape"), F.col("scale"), "event_id", 42), 2).alias("amount"))
