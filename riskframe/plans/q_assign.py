@@ -10,7 +10,7 @@ from riskframe.functions.numeric import sql_round_half_up as R
 from riskframe.operators import assign, calendar
 from riskframe.plans.catalog import query
 from riskframe.sources import dims
-from riskframe.sources.tables import customer_dim, read_table, txn, with_txn
+from riskframe.sources.tables import customer_dim, read_table, session_memo, txn, with_txn
 
 AS_OF = "2025-01-01"
 U = seeded.sql_uniform
@@ -101,6 +101,13 @@ def _sql_age(dob="dob", as_of=AS_OF):
 
 
 def customer_segments(spark, sf_dir, rules=None):
+    """Customers with integer age, first matching profile and match count."""
+    if rules is None:
+        return session_memo(spark, ("segments", sf_dir), lambda: _customer_segments(spark, sf_dir, None))
+    return _customer_segments(spark, sf_dir, rules)
+
+
+def _customer_segments(spark, sf_dir, rules):
     cust = customer_dim(spark, sf_dir).select("customer_id", "gender", "city_pop", "dob", _age_years_int("dob").alias("age"))
     return assign.first_matching_rule(cust, dims.segment_rules(spark, rules))
 

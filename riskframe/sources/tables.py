@@ -34,8 +34,18 @@ DOB_EPOCH = "1930-01-01"
 DOB_SPAN_DAYS = 27000
 
 
+def session_memo(spark: SparkSession, key, build):
+    """Reuse one logical plan per session and key (DataFrames are immutable plans; this only
+    saves re-reading Parquet footers and re-analysing the same expressions)."""
+    memo = spark.__dict__.setdefault("_riskframe_memo", {})
+    if key not in memo:
+        memo[key] = build()
+    return memo[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(sf_path(sf_dir, name))
+    path = sf_path(sf_dir, name)
+    return session_memo(spark, ("parquet", path), lambda: spark.read.parquet(path))
 
 
 def epoch_seconds_ntz(ts) -> F.Column:
@@ -51,6 +61,10 @@ def epoch_seconds_ntz(ts) -> F.Column:
 
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer columns of ``txn`` keyed by ``customer_id`` (one row per customer)."""
+    return session_memo(spark, ("customer_dim", sf_dir), lambda: _customer_dim(spark, sf_dir))
+
+
+def _customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     geo = (
         read_table(spark, sf_dir, "nation")
@@ -77,6 +91,10 @@ def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 21-column transaction view (one row per event)."""
+    return session_memo(spark, ("txn", sf_dir), lambda: _txn(spark, sf_dir))
+
+
+def _txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     cust = customer_dim(spark, sf_dir)
     e = F.col("event_id")
