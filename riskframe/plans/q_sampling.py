@@ -182,3 +182,51 @@ def gamma_amounts(spark, sf_dir):
                          (F.col("s") * F.col("s") / F.col("m")).alias("scale"))
     j = t.select("event_id", "category").join(F.broadcast(specs), "category")
     return j.select("event_id", "category", rh(sampling.gamma_amount(F.col("shape"), F.col("scale"), "event_id", 42), 2).alias("amount"))
+
+
+# ------------------------------------------------------------------ SMOTE
+
+SMOTE_CTES = """m AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label = 0),
+nd AS (SELECT a.id, b.id AS nbr_id, list_distance(a.v, b.v) AS dist FROM m a JOIN m b ON a.id <> b.id),
+nn AS (SELECT id, nbr_id, dist, ROW_NUMBER() OVER (PARTITION BY id ORDER BY dist, nbr_id) AS rank FROM nd)"""
+
+
+@query("smote_knn", f"WITH {SMOTE_CTES}\nSELECT id, CAST(rank AS BIGINT) AS rank, nbr_id, {R('dist', 6)} AS dist "
+                    "FROM nn WHERE rank <= 5")
+def smote_knn(spark, sf_dir):
+    """Exact 5 nearest neighbours inside the minority class (label 0) of ``embeddings``."""
+    from riskframe.operators.knn import exact_knn
+
+    emb = read_table(spark, sf_dir, "embeddings").where(F.col("label") == 0)
+    nn = exact_knn(emb, "vec_id", "embedding", k=5)
+    return nn.select("id", "rank", "nbr_id", rh(F.col("dist"), 6).alias("dist"))
+
+
+def _smote_sql():
+    key = seeded.sql_compound_key("id", "copy")
+    return f"""WITH {SMOTE_CTES},
+cnt AS (SELECT SUM(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS n_min, SUM(CASE WHEN label <> 0 THEN 1 ELSE 0 END) AS n_maj
+        FROM embeddings),
+pool AS (SELECT id, {H('bucket', 'id')} % 256 AS bk FROM m),
+bc AS (SELECT bk, COUNT(*) AS c FROM pool GROUP BY bk),
+bo AS (SELECT bk, SUM(c) OVER (ORDER BY bk) - c AS off FROM bc),
+ix AS (SELECT p.id, bo.off + ROW_NUMBER() OVER (PARTITION BY p.bk ORDER BY p.id) AS i FROM pool p JOIN bo ON bo.bk = p.bk),
+per AS (SELECT ix.id, cnt.n_min,
+               CAST(floor(greatest(cnt.n_maj - cnt.n_min, 0) / cnt.n_min) AS BIGINT)
+               + CASE WHEN ix.i <= greatest(cnt.n_maj - cnt.n_min, 0) % cnt.n_min THEN 1 ELSE 0 END AS c
+        FROM ix CROSS JOIN cnt),
+rws AS (SELECT id, n_min, unnest(generate_series(1, c)) AS copy FROM per WHERE c > 0),
+picks AS (SELECT id, copy, {_sql_randint('smnb42', key, '1', 'least(5, n_min - 1)')} AS rank,
+                 {U('smgap42', key)} AS gap FROM rws)
+SELECT p.id AS base_id, CAST(p.copy AS BIGINT) AS copy, nn.nbr_id, p.gap,
+       list_transform(list_zip(b.v, n.v), lambda z: {R('z[1] + p.gap * (z[2] - z[1])', 6)}) AS syn_vec
+FROM picks p JOIN nn ON nn.id = p.id AND nn.rank = p.rank JOIN m b ON b.id = p.id JOIN m n ON n.id = nn.nbr_id"""
+
+
+@query("smote_synthesize", _smote_sql())
+def smote_synthesize(spark, sf_dir):
+    """Synthetic label-0 rows up to parity with the other labels: x + u * (neighbour - x)."""
+    from riskframe.operators.smote import smote
+
+    emb = read_table(spark, sf_dir, "embeddings")
+    return smote(emb, "vec_id", "embedding", "label", 0, k=5, seed=42, digits=6)

@@ -98,3 +98,22 @@ def test_window_free_of_global_sort_in_histogram_plan(spark):
     plan = entry(spark)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" in plan or "BroadcastExchange" in plan
     _ = Window  # the share window runs after aggregation on <= bins + 1 rows
+
+
+def test_exact_knn_many_cells_with_duplicates_matches_brute_force(spark):
+    from riskframe.operators.knn import exact_knn
+
+    rng = np.random.default_rng(3)
+    base = np.round(rng.normal(size=(120, 4)), 3)
+    vecs = np.concatenate([base, np.repeat(base[:3], 9, axis=0)])  # groups of copies
+    ids = rng.permutation(len(vecs)) + 1000
+    df = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, vecs)], "id bigint, v array<double>")
+    k = 4
+    got = {}
+    for r in exact_knn(df, "id", "v", k=k, cell_target=12, max_pivots=64).collect():
+        got.setdefault(r.id, []).append((r.rank, r.nbr_id, round(r.dist, 9)))
+    for qi, q in enumerate(ids):
+        d = np.sqrt(((vecs - vecs[qi]) ** 2).sum(axis=1))
+        cand = sorted((round(float(d[j]), 9), int(ids[j])) for j in range(len(ids)) if ids[j] != q)[:k]
+        mine = sorted(got[int(q)])
+        assert [(n, dd) for _, n, dd in mine] == [(n, dd) for dd, n in cand], q
