@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import encode, metrics, sampling
 from riskframe.operators.features import detector_features
+from riskframe.session import checkpoint_root
 
 CATEGORICAL = ["category", "amt_range", "gender"]
 NUMERIC = ["amt", "log_amt", "zip_numeric", "lat", "long", "city_pop", "merch_lat", "merch_long", "age", "hour",
@@ -59,6 +59,16 @@ def model_frame(txn_df: DataFrame, cfg: DetectorConfig) -> DataFrame:
     return sampling.hash_split(f, cfg.key, cfg.train_fraction, cfg.seed)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once in the shared checkpoint folder and cut its lineage.
+
+    Estimators make several passes (indexing, moments, covariance, tree levels); reading a
+    checkpoint avoids recomputing the joins and hashing behind the frame on every pass, and
+    a lost executor re-reads files instead of replaying the lineage."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def preprocessing(cfg: DetectorConfig, n_components: int | None = None) -> Pipeline:
     k = cfg.n_components if n_components is None else n_components
     encoded = [f"{c}_encoded" for c in CATEGORICAL]
@@ -124,18 +134,15 @@ class DetectorRun:
 
 def run_detector(spark: SparkSession, txn_df: DataFrame, cfg: DetectorConfig | None = None,
                  model_path: str | None = None, predictions_path: str | None = None) -> DetectorRun:
-    """End-to-end detector. The prepared training frame is persisted once for all CV fits."""
+    """End-to-end detector. The feature frame and the balanced training frame are each
+    checkpointed once; all estimator passes and CV fits read those files."""
     cfg = cfg or DetectorConfig()
-    frame = model_frame(txn_df, cfg)
+    frame = checkpointed(model_frame(txn_df, cfg))
     train_raw = frame.where(F.col("split") == "train")
     test_raw = frame.where(F.col("split") == "test")
     prep = preprocessing(cfg).fit(train_raw)
-    train = balanced_train(prep.transform(train_raw).select(cfg.key, cfg.label, "features"), cfg)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cv_model, grid = cross_validate(train, cfg)
-    finally:
-        train.unpersist()
+    train = checkpointed(balanced_train(prep.transform(train_raw).select(cfg.key, cfg.label, "features"), cfg))
+    cv_model, grid = cross_validate(train, cfg)
     model = PipelineModel(stages=[*prep.stages, cv_model.bestModel])
     scored = score_columns(model.transform(test_raw), cfg)
     if predictions_path:
