@@ -242,10 +242,10 @@ def anti_fraud_dates(spark, sf_dir):
 
 def _sql_calendar_ctes():
     dow = dims.DEFAULT_DAY_OF_WEEK
-    wd_rows = ", ".join(f"({n}, {float(dow.get(name, 100))})" for name, n in dims.WEEKDAY_NUMBER.items())
-    hol_rows = ", ".join(f"({i}, '{h['start']}', '{h['end']}', {float(h['weight'])})"
+    wd_rows = ", ".join(f"({n}, CAST({float(dow.get(name, 100))} AS DOUBLE))" for name, n in dims.WEEKDAY_NUMBER.items())
+    hol_rows = ", ".join(f"({i}, '{h['start']}', '{h['end']}', CAST({float(h['weight'])} AS DOUBLE))"
                          for i, h in enumerate(dims.DEFAULT_HOLIDAYS, start=1))
-    yr_rows = ", ".join(f"({y}, {float(w)})" for y, w in dims.DEFAULT_YEAR_WEIGHTS.items())
+    yr_rows = ", ".join(f"({y}, CAST({float(w)} AS DOUBLE))" for y, w in dims.DEFAULT_YEAR_WEIGHTS.items())
     return f"""span AS (SELECT CAST(d AS DATE) AS date FROM (SELECT unnest(generate_series(
              (SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders), (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders),
              INTERVAL 1 DAY)) AS d)),
@@ -258,7 +258,7 @@ hol_days AS (SELECT rule_no, weight, CAST(unnest(generate_series(
                INTERVAL 1 DAY)) AS DATE) AS d FROM hol),
 hol_md AS (SELECT month(d) AS month, day(d) AS day, arg_max(weight, rule_no) AS hweight FROM hol_days GROUP BY 1, 2),
 grid AS (SELECT month(d) AS month, day(d) AS day FROM (SELECT unnest(generate_series(DATE '2000-01-01', DATE '2000-12-31', INTERVAL 1 DAY)) AS d)),
-md AS (SELECT g.month, g.day, COALESCE(h.hweight, 100.0) AS weight FROM grid g LEFT JOIN hol_md h ON g.month = h.month AND g.day = h.day),
+md AS (SELECT g.month, g.day, COALESCE(h.hweight, CAST(100.0 AS DOUBLE)) AS weight FROM grid g LEFT JOIN hol_md h ON g.month = h.month AND g.day = h.day),
 mds AS (SELECT month, day, weight / SUM(weight) OVER () AS leap_share,
                CASE WHEN month = 2 AND day = 29 THEN NULL
                     ELSE weight / SUM(CASE WHEN month = 2 AND day = 29 THEN 0.0 ELSE weight END) OVER () END AS common_share
@@ -266,7 +266,7 @@ mds AS (SELECT month, day, weight / SUM(weight) OVER () AS leap_share,
 req AS (SELECT year, ROW_NUMBER() OVER (ORDER BY year) AS i FROM (SELECT DISTINCT year(date) AS year FROM span)),
 cfg(cfg_year, weight) AS (VALUES {yr_rows}),
 cfgi AS (SELECT cfg_year, weight, ROW_NUMBER() OVER (ORDER BY cfg_year) AS i FROM cfg),
-yw AS (SELECT r.year, COALESCE(c.weight, 100.0) AS weight FROM req r LEFT JOIN cfgi c ON r.i = c.i),
+yw AS (SELECT r.year, COALESCE(c.weight, CAST(100.0 AS DOUBLE)) AS weight FROM req r LEFT JOIN cfgi c ON r.i = c.i),
 yws AS (SELECT year, weight, weight / SUM(weight) OVER () AS share FROM yw)"""
 
 

@@ -73,7 +73,7 @@ def string_index_table(spark, sf_dir):
 
 
 @query("one_hot", with_txn(f"""
-SELECT f.event_id, CAST(s.slot AS BIGINT) AS slot, CASE WHEN a.idx = s.slot THEN 1.0 ELSE 0.0 END AS value
+SELECT f.event_id, CAST(s.slot AS BIGINT) AS slot, CAST(CASE WHEN a.idx = s.slot THEN 1.0 ELSE 0.0 END AS DOUBLE) AS value
 FROM feat f JOIN ({_idx_sql('category')}) a ON a.value = f.category
 CROSS JOIN (SELECT CAST(idx AS BIGINT) AS slot FROM ({_idx_sql('category')})) s""", FEAT_CTE))
 def one_hot(spark, sf_dir):

@@ -80,7 +80,7 @@ def src_range(spark, sf_dir):
     return spark.range(n).select(F.col("id"), seeded.uniform("range", "id").alias("u"))
 
 
-SCORE_SQL_COLS = """event_id, is_fraud, CAST(amt >= 80 AS INTEGER) * 1.0 AS prediction,
+SCORE_SQL_COLS = """event_id, is_fraud, CAST(CAST(amt >= 80 AS INTEGER) AS DOUBLE) AS prediction,
        LEAST(amt / 600.0, 1.0) AS fraud_probability"""
 
 
