@@ -122,7 +122,9 @@ SELECT metric, {R('value', 10)} AS value FROM (
   UNION ALL SELECT 'auc_pr', auc_pr FROM pr)""", WEIGHTED_CTE + ",\n" + AUC_CTE))
 def evaluate_all(spark, sf_dir):
     """The six detector metrics as (metric, value) rows, from one scored frame."""
-    s = scored(spark, sf_dir).cache()
+    from riskframe.plans.detector import checkpointed
+
+    s = checkpointed(scored(spark, sf_dir))  # three aggregates read one materialised frame
     w = metrics.weighted_metrics(s)
     rows = w.select(F.explode(F.array(
         F.struct(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")),

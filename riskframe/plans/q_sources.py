@@ -259,3 +259,36 @@ def dob_from_age(spark, sf_dir):
     return cust.select(F.col("c_custkey").alias("customer_id"), age.alias("age")).select(
         "customer_id", "age", dates.dob_from_age(F.col("age"), F.col("customer_id"), AS_OF).alias("dob")
     )
+
+
+LOOKUP_SQL = """
+WITH nw AS (SELECT n.n_nationkey, n.n_name, r.r_name, COUNT(*) AS w
+            FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
+            GROUP BY n.n_nationkey, n.n_name, r.r_name)
+SELECT CASE WHEN ROW_NUMBER() OVER (ORDER BY n_nationkey DESC) = 1 THEN 1.0
+            ELSE CAST(SUM(w) OVER (ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
+                 / CAST(SUM(w) OVER () AS DOUBLE) END AS cdf,
+       n_name AS city, r_name AS state, CAST(n_nationkey AS VARCHAR) AS code, CAST(w AS VARCHAR) AS population
+FROM nw"""
+
+
+@query("lookup_csv_dim", LOOKUP_SQL)
+def lookup_csv_dim(spark, sf_dir):
+    """A delimited lookup file of the form ``cdf,city|state|code|population`` written from the
+    data (customer shares per nation) and read back into a typed dim (split + element access)."""
+    from riskframe.operators import assign
+
+    cust = read_table(spark, sf_dir, "customer")
+    geo = read_table(spark, sf_dir, "nation").join(read_table(spark, sf_dir, "region"),
+                                                   F.col("n_regionkey") == F.col("r_regionkey"))
+    w = cust.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")).groupBy(
+        "n_nationkey", "n_name", "r_name").agg(F.count(F.lit(1)).alias("w"))
+    dim = assign.cdf_dim(w, "n_nationkey", "w")
+    lines = dim.select(F.col("hi").alias("cdf"),
+                       F.concat_ws("|", "n_name", "r_name", F.col("n_nationkey").cast("string"),
+                                   F.col("w").cast("string")).alias("location"))
+    path = scratch_path(spark, "locations_csv")
+    files.write_delimited(lines, path)
+    back = files.read_delimited(spark, path, "cdf DOUBLE, location STRING")
+    parsed = files.split_lookup(back, "location", ["city", "state", "code", "population"])
+    return parsed.select("cdf", "city", "state", "code", "population")

@@ -138,3 +138,22 @@ def test_dob_from_age_is_consistent(spark):
         as_of = datetime.date(2025, 1, 1)
         years = as_of.year - r.dob.year - ((as_of.month, as_of.day) < (r.dob.month, r.dob.day))
         assert years == r.age
+
+
+def test_partitioned_read_merges_schemas(spark):
+    from riskframe.session import scratch_path
+    from riskframe.sources import files
+
+    path = scratch_path(spark, "merge")
+    a = spark.createDataFrame([(1, 2023, 1, "x")], "id bigint, year int, month int, a string")
+    b = spark.createDataFrame([(2, 2024, 2, 5.0)], "id bigint, year int, month int, b double")
+    files.write_partitioned(a, path, ["year", "month"], mode="append")
+    files.write_partitioned(b, path, ["year", "month"], mode="append")
+    back = files.read_partitioned(spark, path)
+    assert set(back.columns) == {"id", "a", "b", "year", "month"}
+    rows = {r.id: r for r in back.collect()}
+    assert rows[1].a == "x" and rows[1].b is None and rows[2].b == 5.0 and rows[2].year == 2024
+    pruned = back.where("month = 2")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "month" in plan.split("PartitionFilters:")[1][:120]
+    assert pruned.count() == 1
