@@ -37,11 +37,16 @@ QUERY_BLOCK = 1024
 
 
 def _distinct_vectors(points: DataFrame, k: int) -> DataFrame:
-    """(vec, m, ids): multiplicity and up to k+1 smallest ids per distinct vector."""
-    base = points.groupBy("vec").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("_t1"))
+    """(vec, m, ids): multiplicity and up to k+1 smallest ids per distinct vector.
+
+    One more ``min`` round per extra id, and only as many rounds as the largest multiplicity
+    needs (none when all vectors are distinct)."""
+    checkpoint_root(points.sparkSession)
+    base = points.groupBy("vec").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("_t1")).checkpoint()
     small = base.select("vec", "m", F.array("_t1").alias("ids"), F.col("_t1").alias("_last"))
+    max_m = base.agg(F.max("m")).first()[0] or 1
     dup = points.join(base.where(F.col("m") > 1).select("vec"), "vec", "left_semi")
-    for _ in range(k):
+    for _ in range(min(k, max_m - 1)):
         more = small.where(F.size("ids") < F.col("m")).select("vec", "_last")
         nxt = dup.join(more, "vec").where(F.col("id") > F.col("_last")).groupBy("vec").agg(F.min("id").alias("_n"))
         small = small.join(nxt, "vec", "left").select(

@@ -30,3 +30,12 @@ def test_pca_variance_and_k95(spark):
     assert 0 < total <= 1.0 + 1e-9
     k = queries()["pca_k95"](spark, SF_CHECK).first()[0]
     assert 1 <= k <= 18
+
+
+def test_detector_end_to_end_metrics(spark):
+    from __spark_entry__ import queries
+
+    m = {r.metric: r.value for r in queries()["detector_e2e"](spark, SF_CHECK).collect()}
+    assert set(m) == {"accuracy", "f1", "precision", "recall", "auc_roc", "auc_pr"}
+    assert all(0.0 <= v <= 1.0 for v in m.values())
+    assert m["auc_roc"] > 0.8
