@@ -42,21 +42,42 @@ def oversample_ratio(n1: Column, n0: Column, target: float, trigger: float) -> C
     return F.when((n1 > 0) & (share < F.lit(trigger)), ratio)
 
 
+def poisson_count(rate: Column, u: Column) -> Column:
+    """Inverse-CDF Poisson draw: the smallest k with P(X <= k) >= u, as one JVM-side fold over
+    k = 0 .. rate + 40 sqrt(rate) + 40 (the CDF reaches 1.0 in double precision before that)."""
+    top = F.ceil(rate + F.lit(40.0) * F.sqrt(rate) + F.lit(40.0)).cast("int")
+    init = F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("cdf"), F.lit(0).alias("k"))
+
+    def step(acc, i):
+        done = acc["cdf"] >= u
+        nxt_p = acc["p"] * rate / (i + F.lit(1)).cast("double")
+        return F.when(done, acc).otherwise(
+            F.struct(nxt_p.alias("p"), (acc["cdf"] + nxt_p).alias("cdf"), (i + F.lit(1)).alias("k")))
+
+    return F.aggregate(F.sequence(F.lit(0), top), init, step)["k"]
+
+
 def balance_oversample(df: DataFrame, key: str, label: str = "is_fraud", target: float = 0.3, trigger: float = 0.1,
-                       seed: int = 42) -> DataFrame:
+                       seed: int = 42, method: str = "expected") -> DataFrame:
     """Oversample label 1 to about ``target`` share when its share is below ``trigger``.
 
-    Each minority row is repeated ``floor(r) + [u < frac(r)]`` times (expected count r per
-    row, u a seeded draw of the key), majority rows once; adds ``copy`` (1..). The class
+    ``method="expected"``: each minority row is repeated ``floor(r) + [u < frac(r)]`` times
+    (expected count r per row, lowest variance). ``method="poisson"``: Poisson(r) copies, the
+    bootstrap that ``sample(withReplacement=True)`` performs, but seeded by the key so it does
+    not depend on partitioning. Majority rows are kept once; adds ``copy`` (1..). The class
     counts are one aggregate row joined by broadcast, so no data reaches the driver. With no
     minority rows or a share at or above ``trigger`` every row is kept once.
     """
     stats = class_counts(df, label).select(oversample_ratio(F.col("n1"), F.col("n0"), target, trigger).alias("_r"))
     u = seeded.uniform(f"over{seed}", key)
     r = F.col("_r")
-    copies = F.when(r.isNull() | (F.col(label) != 1), F.lit(1)).otherwise(
-        (F.floor(r) + F.when(u < r - F.floor(r), 1).otherwise(0)).cast("int")
-    )
+    if method == "poisson":
+        draw = poisson_count(r, u)
+    elif method == "expected":
+        draw = F.floor(r) + F.when(u < r - F.floor(r), 1).otherwise(0)
+    else:
+        raise ValueError(f"unknown method {method}")
+    copies = F.when(r.isNull() | (F.col(label) != 1), F.lit(1)).otherwise(draw.cast("int"))
     with_n = df.crossJoin(F.broadcast(stats)).withColumn("_n", copies)
     return with_n.where(F.col("_n") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_r", "_n")
 

@@ -48,6 +48,7 @@ class DetectorConfig:
     trigger_ratio: float = 0.1
     label: str = "is_fraud"
     key: str = "event_id"
+    balance: str = "oversample"  # "oversample" | "poisson" | "class_weight" | "none"
 
 
 def model_frame(txn_df: DataFrame, cfg: DetectorConfig) -> DataFrame:
@@ -82,16 +83,28 @@ def preprocessing(cfg: DetectorConfig, n_components: int | None = None) -> Pipel
 
 
 def forest(cfg: DetectorConfig, num_trees: int | None = None, max_depth: int | None = None) -> RandomForestClassifier:
-    return RandomForestClassifier(
+    rf = RandomForestClassifier(
         featuresCol="features", labelCol=cfg.label, numTrees=num_trees or cfg.num_trees[-1],
         maxDepth=max_depth or cfg.max_depth[1 if len(cfg.max_depth) > 1 else 0], seed=cfg.seed,
     )
+    if cfg.balance == "class_weight":
+        rf.setWeightCol("weight")
+    return rf
 
 
 def balanced_train(prepped_train: DataFrame, cfg: DetectorConfig) -> DataFrame:
-    """Folds by key first, then oversampling: all copies of a row stay in one fold."""
+    """Folds by key first, then balancing: all copies of a row stay in one fold.
+
+    ``oversample`` / ``poisson`` repeat minority rows; ``class_weight`` adds a ``weight``
+    column n / (k * n_c) used as the forest's ``weightCol``; ``none`` leaves the rows."""
     with_folds = sampling.assign_folds(prepped_train, cfg.key, cfg.folds, cfg.seed)
-    return sampling.balance_oversample(with_folds, cfg.key, cfg.label, cfg.target_ratio, cfg.trigger_ratio, cfg.seed)
+    if cfg.balance == "class_weight":
+        return sampling.with_class_weight(with_folds, cfg.label)
+    if cfg.balance == "none":
+        return with_folds
+    method = "poisson" if cfg.balance == "poisson" else "expected"
+    return sampling.balance_oversample(with_folds, cfg.key, cfg.label, cfg.target_ratio, cfg.trigger_ratio, cfg.seed,
+                                       method=method)
 
 
 def cross_validate(train: DataFrame, cfg: DetectorConfig):

@@ -157,3 +157,17 @@ def test_partitioned_read_merges_schemas(spark):
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "month" in plan.split("PartitionFilters:")[1][:120]
     assert pruned.count() == 1
+
+
+def test_poisson_oversample_mean_and_partition_independence(spark):
+    rows = [(i, 1 if i < 400 else 0, 1.0) for i in range(40000)]
+    df = spark.createDataFrame(rows, TXN_SCHEMA)
+    r = 0.3 * 39600 / (400 * 0.7)
+    a = sampling.balance_oversample(df.repartition(3), "event_id", method="poisson")
+    b = sampling.balance_oversample(df.repartition(5), "event_id", method="poisson")
+    n1 = a.where("is_fraud = 1").count()
+    assert abs(n1 - 400 * r) <= 3 * (400 * r) ** 0.5
+    assert sorted((x.event_id, x.copy) for x in a.where("is_fraud = 1").collect()) == \
+        sorted((x.event_id, x.copy) for x in b.where("is_fraud = 1").collect())
+    per_row = a.where("is_fraud = 1").groupBy("event_id").count().select("count").distinct().count()
+    assert per_row > 2  # Poisson spread, not just floor(r) / floor(r) + 1
