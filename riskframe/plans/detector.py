@@ -66,8 +66,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     Estimators make several passes (indexing, moments, covariance, tree levels); reading a
     checkpoint avoids recomputing the joins and hashing behind the frame on every pass, and
     a lost executor re-reads files instead of replaying the lineage."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    ck = df.checkpoint(eager=True)
+    want = spark.sparkContext.defaultParallelism
+    if ck.rdd.getNumPartitions() < want:
+        # small input coalesced by AQE into few partitions: spread it so the estimator
+        # passes run on every core (large inputs already have more partitions than cores)
+        ck = ck.repartition(want).checkpoint(eager=True)
+    return ck
 
 
 def preprocessing(cfg: DetectorConfig, n_components: int | None = None) -> Pipeline:
