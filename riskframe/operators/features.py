@@ -43,7 +43,8 @@ def detector_features(df: DataFrame, as_of: str = DEFAULT_AS_OF, keep: tuple[str
     ``digits`` rounds the derived doubles (log_amt, age, distance) half-up; leave it None for
     modelling, set it for engine-to-engine comparison.
     """
-    ts = trans_datetime()
+    df = df.withColumn("_tdt", trans_datetime())  # parsed once, read by four fields
+    ts = F.col("_tdt")
     rnd = (lambda c: round_half_up(c, digits)) if digits is not None else (lambda c: c)
     derived = {
         "log_amt": rnd(F.log1p(F.col("amt"))),
@@ -63,7 +64,8 @@ def detector_features(df: DataFrame, as_of: str = DEFAULT_AS_OF, keep: tuple[str
 
 def prototype_features(df: DataFrame, as_of: str = DEFAULT_AS_OF, keep: tuple[str, ...] = ("event_id",)) -> DataFrame:
     """Prototype feature set: age as a year difference, weekday with Monday = 0."""
-    ts = trans_datetime()
+    df = df.withColumn("_tdt", trans_datetime())
+    ts = F.col("_tdt")
     derived = {
         "age": (F.year(F.lit(as_of).cast("date")) - F.year(F.try_to_date(F.col("dob"), "yyyy-MM-dd"))).cast("bigint"),
         "hour": F.hour(ts).cast("bigint"),

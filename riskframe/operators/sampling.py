@@ -69,7 +69,8 @@ def balance_oversample(df: DataFrame, key: str, label: str = "is_fraud", target:
     minority rows or a share at or above ``trigger`` every row is kept once.
     """
     stats = class_counts(df, label).select(oversample_ratio(F.col("n1"), F.col("n0"), target, trigger).alias("_r"))
-    u = seeded.uniform(f"over{seed}", key)
+    df = df.withColumn("_u", seeded.uniform(f"over{seed}", key))
+    u = F.col("_u")
     r = F.col("_r")
     if method == "poisson":
         draw = poisson_count(r, u)
@@ -79,7 +80,8 @@ def balance_oversample(df: DataFrame, key: str, label: str = "is_fraud", target:
         raise ValueError(f"unknown method {method}")
     copies = F.when(r.isNull() | (F.col(label) != 1), F.lit(1)).otherwise(draw.cast("int"))
     with_n = df.crossJoin(F.broadcast(stats)).withColumn("_n", copies)
-    return with_n.where(F.col("_n") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_r", "_n")
+    return with_n.where(F.col("_n") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop(
+        "_r", "_n", "_u")
 
 
 def spark_sample_oversample(df: DataFrame, label: str = "is_fraud", target: float = 0.3, trigger: float = 0.1,
@@ -125,34 +127,43 @@ def expand_rows(df: DataFrame, key: str, days: Column, lo: Column, hi: Column, s
 def fraud_window(df: DataFrame, key: str, span_start: Column, span_days: Column, p_fraud: float = 99 / 101,
                  seed: int = 42) -> DataFrame:
     """Per customer: fraud flag (seeded ``u < p_fraud``) and a one-day fraud window starting
-    ``U{1..max(days-7, 1)}`` days after the span start."""
-    u = seeded.uniform(f"fraudgate{seed}", key)
-    offset = seeded.randint(f"fraudday{seed}", key, 1, F.greatest(span_days - F.lit(7), F.lit(1)))
-    is_fraud = (u < F.lit(p_fraud)).cast("int")
-    start = F.date_add(span_start, offset.cast("int"))
-    return df.select(
-        "*", is_fraud.alias("fraud_customer"),
-        F.when(is_fraud == 1, start).alias("fraud_start"),
-        F.when(is_fraud == 1, F.date_add(start, 1)).alias("fraud_end"),
-    )
-
-
-def daypart_time(key: str, am_weight: Column, pm_weight: Column, is_fraud: Column, seed: int = 42) -> dict[str, Column]:
-    """Day part by the AM/PM weights, then hour (AM 0-11, PM 12-23; fraud rows 80 % of the
-    time AM 0-3 / PM 22-23), minute and second, and the 'HH:mm:ss' text."""
-    u_part = seeded.uniform(f"daypart{seed}", key)
+    ``U{1..max(days-7, 1)}`` days after the span start. Each draw is a column computed once."""
+    out = df.withColumns({
+        "fraud_customer": (seeded.uniform(f"fraudgate{seed}", key) < F.lit(p_fraud)).cast("int"),
+        "_fs": F.date_add(span_start, seeded.randint(f"fraudday{seed}", key, 1,
+                                                     F.greatest(span_days - F.lit(7), F.lit(1))).cast("int")),
+    })
+    on = F.col("fraud_customer") == 1
+    return out.withColumns({
+        "fraud_start": F.when(on, F.col("_fs")),
+        "fraud_end": F.when(on, F.date_add(F.col("_fs"), 1)),
+    }).drop("_fs")
+
+
+def with_daypart_time(df: DataFrame, key: str, am_weight: Column, pm_weight: Column, is_fraud: Column,
+                      seed: int = 42) -> DataFrame:
+    """Adds daypart, hour, minute, second and 'HH:mm:ss' trans_time.
+
+    Day part by the AM/PM weights, then hour (AM 0-11, PM 12-23; fraud rows 80 % of the time
+    AM 0-3 / PM 22-23), minute and second. Draws are added as columns step by step so every
+    hash is computed once per row."""
     am_share = am_weight.cast("double") / (am_weight + pm_weight).cast("double")
-    part = F.when(u_part <= am_share, F.lit("AM")).otherwise(F.lit("PM"))
-    night = (is_fraud == 1) & (seeded.randint(f"night{seed}", key, 1, 100) > 20)
-    hr_lo = F.when(part == "AM", F.lit(0)).otherwise(F.when(night, F.lit(22)).otherwise(F.lit(12)))
-    hr_hi = F.when(part == "AM", F.when(night, F.lit(3)).otherwise(F.lit(11))).otherwise(F.lit(23))
-    hour = seeded.randint(f"hour{seed}", key, hr_lo, hr_hi)
-    minute = seeded.randint(f"minute{seed}", key, 0, 59)
-    second = seeded.randint(f"second{seed}", key, 0, 59)
-    return {
-        "daypart": part, "hour": hour.cast("bigint"), "minute": minute.cast("bigint"), "second": second.cast("bigint"),
-        "trans_time": F.format_string("%02d:%02d:%02d", hour, minute, second),
-    }
+    out = df.withColumns({
+        "daypart": F.when(seeded.uniform(f"daypart{seed}", key) <= am_share, F.lit("AM")).otherwise(F.lit("PM")),
+        "_night": (is_fraud == 1) & (seeded.randint(f"night{seed}", key, 1, 100) > 20),
+    })
+    am, night = F.col("daypart") == "AM", F.col("_night")
+    out = out.withColumns({
+        "_lo": F.when(am, F.lit(0)).otherwise(F.when(night, F.lit(22)).otherwise(F.lit(12))),
+        "_hi": F.when(am, F.when(night, F.lit(3)).otherwise(F.lit(11))).otherwise(F.lit(23)),
+    })
+    out = out.withColumns({
+        "hour": seeded.randint(f"hour{seed}", key, F.col("_lo"), F.col("_hi")).cast("bigint"),
+        "minute": seeded.randint(f"minute{seed}", key, 0, 59).cast("bigint"),
+        "second": seeded.randint(f"second{seed}", key, 0, 59).cast("bigint"),
+    })
+    return out.withColumn("trans_time", F.format_string("%02d:%02d:%02d", "hour", "minute", "second")).drop(
+        "_night", "_lo", "_hi")
 
 
 def geo_jitter(center: Column, key: str, salt: str, travelling: Column | bool = False, travel_max: Column | float = 0.0) -> Column:
@@ -164,15 +175,21 @@ def geo_jitter(center: Column, key: str, salt: str, travelling: Column | bool =
     return center + (F.lit(2.0) * u - F.lit(1.0)) * radius
 
 
-def gamma_amount(shape: Column, scale: Column, key: str, seed: int = 42) -> Column:
-    """Gamma(shape, scale) draw by the Wilson-Hilferty cube of a Box-Muller normal; draws
-    below 1 are replaced by U(1, 10), as the reference does. Approximate for shape < ~1."""
-    u1 = seeded.uniform(f"g1_{seed}", key)
-    u2 = seeded.uniform(f"g2_{seed}", key)
-    u3 = seeded.uniform(f"g3_{seed}", key)
-    z = F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
-    c = F.lit(1.0) / (F.lit(9.0) * shape)
-    base = F.lit(1.0) - c + z * F.sqrt(c)
-    b = F.greatest(base, F.lit(0.0))
-    x = shape * scale * (b * b * b)
-    return F.when(x < 1.0, F.lit(1.0) + F.lit(9.0) * u3).otherwise(x)
+def with_gamma_amount(df: DataFrame, shape: Column, scale: Column, key: str, out: str = "amount",
+                      seed: int = 42) -> DataFrame:
+    """Adds a Gamma(shape, scale) draw by the Wilson-Hilferty cube of a Box-Muller normal;
+    draws below 1 are replaced by U(1, 10), as the reference does. Approximate for shape
+    below about 1. The three uniforms and the cube root base are columns computed once."""
+    d = df.withColumns({
+        "_g1": seeded.uniform(f"g1_{seed}", key),
+        "_g2": seeded.uniform(f"g2_{seed}", key),
+        "_g3": seeded.uniform(f"g3_{seed}", key),
+        "_gk": shape, "_gt": scale,
+    })
+    z = F.sqrt(F.lit(-2.0) * F.log("_g1")) * F.cos(F.lit(2.0 * math.pi) * F.col("_g2"))
+    c = F.lit(1.0) / (F.lit(9.0) * F.col("_gk"))
+    d = d.withColumn("_gb", F.greatest(F.lit(1.0) - c + z * F.sqrt(c), F.lit(0.0)))
+    x = F.col("_gk") * F.col("_gt") * (F.col("_gb") * F.col("_gb") * F.col("_gb"))
+    d = d.withColumn("_gx", x)
+    d = d.withColumn(out, F.when(F.col("_gx") < 1.0, F.lit(1.0) + F.lit(9.0) * F.col("_g3")).otherwise(F.col("_gx")))
+    return d.drop("_g1", "_g2", "_g3", "_gk", "_gt", "_gb", "_gx")

@@ -142,8 +142,8 @@ def daypart_time(spark, sf_dir):
     t = txn(spark, sf_dir).select("event_id", "customer_id", "is_fraud").join(seg, "customer_id")
     key = F.concat(F.when(F.col("is_fraud") == 1, F.lit("fraud_")).otherwise(F.lit("")), F.col("profile"))
     t = t.join(F.broadcast(ps), key == F.col("pprofile"))
-    cols = sampling.daypart_time("event_id", F.col("am_weight"), F.col("pm_weight"), F.col("is_fraud"), 42)
-    return t.select("event_id", *[c.alias(n) for n, c in cols.items()])
+    out = sampling.with_daypart_time(t, "event_id", F.col("am_weight"), F.col("pm_weight"), F.col("is_fraud"), 42)
+    return out.select("event_id", "daypart", "hour", "minute", "second", "trans_time")
 
 
 @query("geo_jitter", with_txn(f"""
@@ -181,7 +181,8 @@ def gamma_amounts(spark, sf_dir):
     specs = specs.select("category", (F.col("m") * F.col("m") / (F.col("s") * F.col("s"))).alias("shape"),
                          (F.col("s") * F.col("s") / F.col("m")).alias("scale"))
     j = t.select("event_id", "category").join(F.broadcast(specs), "category")
-    return j.select("event_id", "category", rh(sampling.gamma_amount(F.col("shape"), F.col("scale"), "event_id", 42), 2).alias("amount"))
+    out = sampling.with_gamma_amount(j, F.col("shape"), F.col("scale"), "event_id", "amount", 42)
+    return out.select("event_id", "category", rh(F.col("amount"), 2).alias("amount"))
 
 
 # ------------------------------------------------------------------ SMOTE

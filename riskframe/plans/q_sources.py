@@ -256,9 +256,8 @@ def dob_from_age(spark, sf_dir):
     """Seeded age per customer, then a birth date consistent with that age on the as-of date."""
     cust = read_table(spark, sf_dir, "customer")
     age = (F.lit(18) + seeded.h("age", "c_custkey") % 70).cast("bigint")
-    return cust.select(F.col("c_custkey").alias("customer_id"), age.alias("age")).select(
-        "customer_id", "age", dates.dob_from_age(F.col("age"), F.col("customer_id"), AS_OF).alias("dob")
-    )
+    base = cust.select(F.col("c_custkey").alias("customer_id"), age.alias("age"))
+    return dates.with_dob_from_age(base, "age", "customer_id", AS_OF).select("customer_id", "age", "dob")
 
 
 LOOKUP_SQL = """

@@ -133,7 +133,7 @@ def test_dob_from_age_is_consistent(spark):
     from riskframe.functions.numeric import round_half_up  # noqa: F401
 
     df = spark.range(2000).select(F.col("id"), (F.lit(18) + F.col("id") % 70).alias("age"))
-    out = df.select("age", dates.dob_from_age(F.col("age"), F.col("id"), "2025-01-01").alias("dob")).collect()
+    out = dates.with_dob_from_age(df, "age", "id", "2025-01-01").select("age", "dob").collect()
     for r in out:
         as_of = datetime.date(2025, 1, 1)
         years = as_of.year - r.dob.year - ((as_of.month, as_of.day) < (r.dob.month, r.dob.day))
