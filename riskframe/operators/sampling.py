@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions import seeded
+from riskframe.plans.sizing import broadcast_if_small
 
 
 def hash_split(df: DataFrame, key: str, train_fraction: float = 0.8, seed: int = 42, col: str = "split") -> DataFrame:
@@ -112,7 +113,7 @@ def class_weights(df: DataFrame, label: str = "is_fraud") -> DataFrame:
 def with_class_weight(df: DataFrame, label: str = "is_fraud", col: str = "weight") -> DataFrame:
     """Attach the balanced class weight to each row (broadcast of a k-row table)."""
     cw = class_weights(df, label).select(label, F.col("weight").alias(col))
-    return df.join(F.broadcast(cw), label, "left")
+    return df.join(broadcast_if_small(cw, 100_000), label, "left")
 
 
 def expand_rows(df: DataFrame, key: str, days: Column, lo: Column, hi: Column, salt: str = "ntx") -> DataFrame:

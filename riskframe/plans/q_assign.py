@@ -9,6 +9,7 @@ from riskframe.functions.numeric import round_half_up as rh
 from riskframe.functions.numeric import sql_round_half_up as R
 from riskframe.operators import assign, calendar
 from riskframe.plans.catalog import query
+from riskframe.plans.sizing import broadcast_if_small
 from riskframe.sources import dims
 from riskframe.sources.tables import customer_dim, read_table, session_memo, txn, with_txn
 
@@ -75,7 +76,7 @@ def nearest_assign(spark, sf_dir):
     """Each event takes the location whose CDF key is nearest to its draw (ties to the lower key)."""
     cust = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
-    w = cust.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_nationkey", "n_name").agg(
+    w = cust.join(broadcast_if_small(nation, 10_000), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_nationkey", "n_name").agg(
         F.count(F.lit(1)).alias("w")
     )
     keys = assign.cdf_dim(w, "n_nationkey", "w").select("n_nationkey", "n_name", F.col("hi").alias("cdf_key"))

@@ -12,6 +12,7 @@ from riskframe.functions.numeric import sql_round_half_up as R
 from riskframe.operators import sampling
 from riskframe.plans.catalog import query
 from riskframe.plans.q_assign import SEG_CTES, customer_segments
+from riskframe.plans.sizing import broadcast_if_small
 from riskframe.sources import dims
 from riskframe.sources.tables import read_table, txn, with_txn
 
@@ -180,7 +181,7 @@ def gamma_amounts(spark, sf_dir):
     specs = t.groupBy("category").agg(rh(F.avg("amt"), 6).alias("m"), rh(F.stddev_samp("amt"), 6).alias("s"))
     specs = specs.select("category", (F.col("m") * F.col("m") / (F.col("s") * F.col("s"))).alias("shape"),
                          (F.col("s") * F.col("s") / F.col("m")).alias("scale"))
-    j = t.select("event_id", "category").join(F.broadcast(specs), "category")
+    j = t.select("event_id", "category").join(broadcast_if_small(specs, 100_000), "category")
     out = sampling.with_gamma_amount(j, F.col("shape"), F.col("scale"), "event_id", "amount", 42)
     return out.select("event_id", "category", rh(F.col("amount"), 2).alias("amount"))
 

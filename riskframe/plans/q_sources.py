@@ -8,6 +8,7 @@ from riskframe.functions import dates, seeded
 from riskframe.functions.numeric import sql_round_half_up as R
 from riskframe.functions.numeric import round_half_up as rh
 from riskframe.plans.catalog import query
+from riskframe.plans.sizing import broadcast_if_small
 from riskframe.session import scratch_path
 from riskframe.sources import files
 from riskframe.sources.tables import epoch_seconds_ntz, read_table, txn, with_txn
@@ -280,7 +281,7 @@ def lookup_csv_dim(spark, sf_dir):
     cust = read_table(spark, sf_dir, "customer")
     geo = read_table(spark, sf_dir, "nation").join(read_table(spark, sf_dir, "region"),
                                                    F.col("n_regionkey") == F.col("r_regionkey"))
-    w = cust.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")).groupBy(
+    w = cust.join(broadcast_if_small(geo, 10_000), F.col("c_nationkey") == F.col("n_nationkey")).groupBy(
         "n_nationkey", "n_name", "r_name").agg(F.count(F.lit(1)).alias("w"))
     dim = assign.cdf_dim(w, "n_nationkey", "w")
     lines = dim.select(F.col("hi").alias("cdf"),
