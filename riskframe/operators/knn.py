@@ -97,9 +97,26 @@ def _knn_cells(rows: pd.DataFrame, k: int, mode: str) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["rep", "seq"])
 
 
+def _assign_cells(dv: DataFrame, piv: DataFrame) -> DataFrame:
+    """Distances to every pivot (one broadcast row holding the bounded pivot list), the
+    nearest pivot's 1-based position as ``cell`` and the distance to it as ``d_own``."""
+    piv_arr = piv.agg(F.array_sort(F.collect_list(F.struct(F.col("rep").alias("prep"), F.col("vec").alias("pvec"))))
+                      .alias("_piv"))
+    dist_all = F.transform(F.col("_piv"), lambda p: _dist_expr(F.col("vec"), p["pvec"]))
+    with_d = dv.crossJoin(F.broadcast(piv_arr)).withColumn("_pd", dist_all)
+    own = F.array_min("_pd")
+    out = with_d.withColumn("d_own", own).withColumn("cell", F.array_position("_pd", own).cast("int"))
+    return out.drop("_piv").checkpoint()
+
+
 def exact_knn(points: DataFrame, id_col: str, vec_col: str, k: int = 5, cell_target: int = 2000,
-              max_pivots: int = 4096, seed: int = 42) -> DataFrame:
-    """(id, rank, nbr_id, dist): the k nearest other points of every point, ties by id."""
+              max_pivots: int = 4096, max_rounds: int = 3, seed: int = 42) -> DataFrame:
+    """(id, rank, nbr_id, dist): the k nearest other points of every point, ties by id.
+
+    Cells larger than ``2 * cell_target`` get extra pivots sampled from their own members
+    (seeded, about size / cell_target each) and every vector is re-assigned, for up to
+    ``max_rounds`` rounds while the pivot list stays within ``max_pivots``; dense regions
+    thus end in more, smaller cells. The result is exact whatever the final cell sizes."""
     pts = points.select(F.col(id_col).cast("bigint").alias("id"),
                         F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vec"))
     spark = points.sparkSession
@@ -113,14 +130,21 @@ def exact_knn(points: DataFrame, id_col: str, vec_col: str, k: int = 5, cell_tar
         raise ValueError("pivot sample larger than its bound")
     if row_count_at_most(piv, 0):
         piv = dv.orderBy("rep").limit(1).select("rep", "vec")
-    piv_arr = piv.agg(F.array_sort(F.collect_list(F.struct(F.col("rep").alias("prep"), F.col("vec").alias("pvec"))))
-                      .alias("_piv"))
-
-    dist_all = F.transform(F.col("_piv"), lambda p: _dist_expr(F.col("vec"), p["pvec"]))
-    with_d = dv.crossJoin(F.broadcast(piv_arr)).withColumn("_pd", dist_all)
-    own = F.array_min("_pd")
-    with_cell = with_d.withColumn("d_own", own).withColumn("cell", F.array_position("_pd", own).cast("int"))
-    with_cell = with_cell.drop("_piv").checkpoint()
+    piv = piv.checkpoint()
+    with_cell = _assign_cells(dv, piv)
+    for r in range(max_rounds):
+        sizes = with_cell.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"))  # one row per pivot
+        big = sizes.where(F.col("_n") > 2 * cell_target)
+        if row_count_at_most(big, 0):
+            break
+        rate = F.least(F.lit(1.0), F.lit(float(cell_target)) / F.col("_n"))
+        extra = (with_cell.join(F.broadcast(big), "cell")
+                 .where(seeded.uniform(f"subpivot{seed}_{r}", "rep") <= rate).select("rep", "vec"))
+        grown = piv.unionByName(extra).dropDuplicates(["rep"])
+        if not row_count_at_most(grown, max_pivots):
+            break
+        piv = grown.checkpoint()
+        with_cell = _assign_cells(dv, piv)
 
     member = with_cell.select("cell", "rep", "vec", "ids", "m", "d_own", F.lit(True).alias("member"))
     theta_schema = "rep long, d_own double, theta double"

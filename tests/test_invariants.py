@@ -117,3 +117,22 @@ def test_exact_knn_many_cells_with_duplicates_matches_brute_force(spark):
         cand = sorted((round(float(d[j]), 9), int(ids[j])) for j in range(len(ids)) if ids[j] != q)[:k]
         mine = sorted(got[int(q)])
         assert [(n, dd) for _, n, dd in mine] == [(n, dd) for dd, n in cand], q
+
+
+def test_exact_knn_dense_cluster_refines_cells(spark):
+    from riskframe.operators.knn import exact_knn
+
+    rng = np.random.default_rng(4)
+    spread = np.round(rng.normal(size=(60, 3)) * 10, 4)
+    dense = np.round(rng.normal(size=(200, 3)) * 0.001 + 5.0, 6)  # one tight cluster: most of the points
+    vecs = np.concatenate([spread, dense])
+    ids = np.arange(len(vecs)) + 1
+    df = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, vecs)], "id bigint, v array<double>")
+    k = 3
+    got = {}
+    for r in exact_knn(df, "id", "v", k=k, cell_target=10, max_pivots=256).collect():
+        got.setdefault(r.id, []).append((r.rank, r.nbr_id))
+    for qi, q in enumerate(ids):
+        d = np.sqrt(((vecs - vecs[qi]) ** 2).sum(axis=1))
+        cand = [int(ids[j]) for j in sorted((j for j in range(len(ids)) if ids[j] != q), key=lambda j: (d[j], ids[j]))[:k]]
+        assert [n for _, n in sorted(got[int(q)])] == cand, q
