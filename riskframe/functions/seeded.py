@@ -60,3 +60,26 @@ def sql_uniform(salt: str, key_sql: str) -> str:
 
 def sql_compound_key(*parts: str) -> str:
     return " || '-' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+
+
+def with_uniforms(df, salt: str, key, names: list[str]):
+    """Adds one (0, 1] draw per name. Four draws share one md5 digest of (salt#j, key), one per
+    32-bit quarter, so n draws cost ceil(n / 4) digests instead of n."""
+    k = _key(key)
+    digests = {}
+    for j in range((len(names) + 3) // 4):
+        digests[f"_dg{j}"] = F.md5(F.concat(F.lit(f"{salt}#{j}"), F.lit("|"), k))
+    out = df.withColumns(digests)
+    cols = {}
+    for i, name in enumerate(names):
+        quarter = F.substring(F.col(f"_dg{i // 4}"), 1 + 8 * (i % 4), 8)
+        cols[name] = (F.conv(quarter, 16, 10).cast("bigint") + F.lit(1)).cast("double") / F.lit(TWO_32)
+    return out.withColumns(cols).drop(*digests)
+
+
+def int_from_uniform(u: Column, lo, hi) -> Column:
+    """The integer in [lo, hi] that :func:`randint` gives for the hash behind draw ``u``."""
+    lo_c = lo if isinstance(lo, Column) else F.lit(lo)
+    hi_c = hi if isinstance(hi, Column) else F.lit(hi)
+    raw = (u * F.lit(TWO_32) - F.lit(1.0)).cast("bigint")
+    return lo_c + F.pmod(raw, hi_c - lo_c + F.lit(1))

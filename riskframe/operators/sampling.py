@@ -142,16 +142,22 @@ def fraud_window(df: DataFrame, key: str, span_start: Column, span_days: Column,
 
 
 def with_daypart_time(df: DataFrame, key: str, am_weight: Column, pm_weight: Column, is_fraud: Column,
-                      seed: int = 42) -> DataFrame:
+                      seed: int = 42, draws: dict[str, Column] | None = None) -> DataFrame:
     """Adds daypart, hour, minute, second and 'HH:mm:ss' trans_time.
 
     Day part by the AM/PM weights, then hour (AM 0-11, PM 12-23; fraud rows 80 % of the time
     AM 0-3 / PM 22-23), minute and second. Draws are added as columns step by step so every
     hash is computed once per row."""
+    def u(name):
+        return draws[name] if draws else seeded.uniform(f"{name}{seed}", key)
+
+    def rint(name, lo, hi):
+        return seeded.int_from_uniform(draws[name], lo, hi) if draws else seeded.randint(f"{name}{seed}", key, lo, hi)
+
     am_share = am_weight.cast("double") / (am_weight + pm_weight).cast("double")
     out = df.withColumns({
-        "daypart": F.when(seeded.uniform(f"daypart{seed}", key) <= am_share, F.lit("AM")).otherwise(F.lit("PM")),
-        "_night": (is_fraud == 1) & (seeded.randint(f"night{seed}", key, 1, 100) > 20),
+        "daypart": F.when(u("daypart") <= am_share, F.lit("AM")).otherwise(F.lit("PM")),
+        "_night": (is_fraud == 1) & (rint("night", 1, 100) > 20),
     })
     am, night = F.col("daypart") == "AM", F.col("_night")
     out = out.withColumns({
@@ -159,34 +165,32 @@ def with_daypart_time(df: DataFrame, key: str, am_weight: Column, pm_weight: Col
         "_hi": F.when(am, F.when(night, F.lit(3)).otherwise(F.lit(11))).otherwise(F.lit(23)),
     })
     out = out.withColumns({
-        "hour": seeded.randint(f"hour{seed}", key, F.col("_lo"), F.col("_hi")).cast("bigint"),
-        "minute": seeded.randint(f"minute{seed}", key, 0, 59).cast("bigint"),
-        "second": seeded.randint(f"second{seed}", key, 0, 59).cast("bigint"),
+        "hour": rint("hour", F.col("_lo"), F.col("_hi")).cast("bigint"),
+        "minute": rint("minute", 0, 59).cast("bigint"),
+        "second": rint("second", 0, 59).cast("bigint"),
     })
     return out.withColumn("trans_time", F.format_string("%02d:%02d:%02d", "hour", "minute", "second")).drop(
         "_night", "_lo", "_hi")
 
 
-def geo_jitter(center: Column, key: str, salt: str, travelling: Column | bool = False, travel_max: Column | float = 0.0) -> Column:
+def geo_jitter(center: Column, key: str, salt: str, travelling: Column | bool = False, travel_max: Column | float = 0.0,
+               u: Column | None = None) -> Column:
     """center + (2u - 1) * radius; radius 1 degree, or travel_max / 100 * 1.43 when travelling."""
     trav = travelling if isinstance(travelling, Column) else F.lit(bool(travelling))
     tmax = travel_max if isinstance(travel_max, Column) else F.lit(float(travel_max))
     radius = F.when(trav, tmax / F.lit(100.0) * F.lit(1.43)).otherwise(F.lit(1.0))
-    u = seeded.uniform(salt, key)
+    u = seeded.uniform(salt, key) if u is None else u
     return center + (F.lit(2.0) * u - F.lit(1.0)) * radius
 
 
 def with_gamma_amount(df: DataFrame, shape: Column, scale: Column, key: str, out: str = "amount",
-                      seed: int = 42) -> DataFrame:
+                      seed: int = 42, draws: tuple[Column, Column, Column] | None = None) -> DataFrame:
     """Adds a Gamma(shape, scale) draw by the Wilson-Hilferty cube of a Box-Muller normal;
     draws below 1 are replaced by U(1, 10), as the reference does. Approximate for shape
     below about 1. The three uniforms and the cube root base are columns computed once."""
-    d = df.withColumns({
-        "_g1": seeded.uniform(f"g1_{seed}", key),
-        "_g2": seeded.uniform(f"g2_{seed}", key),
-        "_g3": seeded.uniform(f"g3_{seed}", key),
-        "_gk": shape, "_gt": scale,
-    })
+    g1, g2, g3 = draws or (seeded.uniform(f"g1_{seed}", key), seeded.uniform(f"g2_{seed}", key),
+                           seeded.uniform(f"g3_{seed}", key))
+    d = df.withColumns({"_g1": g1, "_g2": g2, "_g3": g3, "_gk": shape, "_gt": scale})
     z = F.sqrt(F.lit(-2.0) * F.log("_g1")) * F.cos(F.lit(2.0 * math.pi) * F.col("_g2"))
     c = F.lit(1.0) / (F.lit(9.0) * F.col("_gk"))
     d = d.withColumn("_gb", F.greatest(F.lit(1.0) - c + z * F.sqrt(c), F.lit(0.0)))
