@@ -232,3 +232,11 @@ def smote_synthesize(spark, sf_dir):
 
     emb = read_table(spark, sf_dir, "embeddings")
     return smote(emb, "vec_id", "embedding", "label", 0, k=5, seed=42, digits=6)
+
+
+@query("balance_poisson")
+def balance_poisson(spark, sf_dir):
+    """Poisson bootstrap of the minority (what ``sample(withReplacement=True)`` does), seeded
+    by the event key so it does not change with partitioning (rows-only check)."""
+    t = txn(spark, sf_dir).select("event_id", "is_fraud")
+    return sampling.balance_oversample(t, "event_id", "is_fraud", target=0.3, trigger=0.1, seed=42, method="poisson")
