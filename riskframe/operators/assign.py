@@ -10,28 +10,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.plans.sizing import broadcast_if_small
+from riskframe.plans.sizing import broadcast_if_small, row_count_at_most
 from riskframe.sources.dims import LEFTOVER_PROFILE
 
 RANGE_BUCKETS = 1024
 
 
-def cdf_dim(weights: DataFrame, key: str, weight: str) -> DataFrame:
+def cdf_dim(weights: DataFrame, key: str, weight: str, max_window_rows: int = 100_000) -> DataFrame:
     """(key, weight, other columns, lo, hi): cumulative shares in key order; first lo = 0, last hi forced to 1.
 
-    The dimension is a configuration-sized table (one row per category / profile / day), so
-    the whole-frame window runs in one small task.
+    A configuration-sized dimension (one row per category / profile / day) takes the plain
+    whole-frame window (one small task, ``lo`` is the previous row's ``hi`` bit for bit). A
+    larger one uses the distributed running totals of :mod:`riskframe.operators.prefix` over
+    weights summed as DECIMAL, so ``lo`` of a row still equals ``hi`` of the row before.
     """
+    cols = [c for c in weights.columns if c not in (key, weight)]
+    if not row_count_at_most(weights, max_window_rows):
+        return _cdf_dim_distributed(weights, key, weight, cols)
     order = Window.orderBy(key)
     run = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tot = Window.partitionBy()
     hi = F.sum(weight).over(run) / F.sum(weight).over(tot)
     last = F.row_number().over(Window.orderBy(F.col(key).desc())) == 1
-    cols = [c for c in weights.columns if c not in (key, weight)]
     with_hi = weights.select(key, weight, *cols, F.when(last, F.lit(1.0)).otherwise(hi).alias("hi"))
     return with_hi.select(key, weight, *cols, F.coalesce(F.lag("hi").over(order), F.lit(0.0)).alias("lo"), "hi")
 
 
+def _cdf_dim_distributed(weights: DataFrame, key: str, weight: str, cols: list[str]) -> DataFrame:
+    from riskframe.operators.prefix import running_totals
+
+    exact = weights.withColumn("_wd", F.col(weight).cast("decimal(38,10)"))
+    totals = exact.agg(F.sum("_wd").alias("_tot"), F.max(key).alias("_kmax"))  # one row
+    rt = running_totals(exact, key, ["_wd"])
+    j = rt.crossJoin(F.broadcast(totals))
+    tot = F.col("_tot").cast("double")
+    lo = F.col("_wd_before").cast("double") / tot
+    hi = F.when(F.col(key) == F.col("_kmax"), F.lit(1.0)).otherwise(
+        (F.col("_wd_before") + F.col("_wd")).cast("double") / tot)
+    return j.select(key, weight, *cols, lo.alias("lo"), hi.alias("hi"))
+
+
 def range_lookup(df: DataFrame, u: Column | str, dim: DataFrame, lo: str = "lo", hi: str = "hi",
                  buckets: int = RANGE_BUCKETS, max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Left join each row to the dim row with ``lo < u <= hi`` (u in (0, 1]).

@@ -136,3 +136,17 @@ def test_exact_knn_dense_cluster_refines_cells(spark):
         d = np.sqrt(((vecs - vecs[qi]) ** 2).sum(axis=1))
         cand = [int(ids[j]) for j in sorted((j for j in range(len(ids)) if ids[j] != q), key=lambda j: (d[j], ids[j]))[:k]]
         assert [n for _, n in sorted(got[int(q)])] == cand, q
+
+
+def test_cdf_dim_distributed_path_matches_window_path(spark):
+    rng = np.random.default_rng(5)
+    w = spark.createDataFrame([(f"k{i:04d}", float(x)) for i, x in enumerate(rng.integers(1, 50, 300))],
+                              "k string, w double")
+    small = {r.k: (r.lo, r.hi) for r in assign.cdf_dim(w, "k", "w").collect()}
+    big = {r.k: (r.lo, r.hi) for r in assign.cdf_dim(w, "k", "w", max_window_rows=10).collect()}
+    assert small.keys() == big.keys()
+    for key in small:
+        assert abs(small[key][0] - big[key][0]) < 1e-12 and abs(small[key][1] - big[key][1]) < 1e-12
+    rows = sorted(big.items())
+    assert rows[0][1][0] == 0.0 and rows[-1][1][1] == 1.0
+    assert all(a[1][1] == b[1][0] for a, b in zip(rows, rows[1:]))  # no gaps, no overlaps
