@@ -69,17 +69,24 @@ def range_lookup(df: DataFrame, u: Column | str, dim: DataFrame, lo: str = "lo",
     return out.drop(dim_b["_rb"]).drop(left["_rb"]).drop("_lo", "_hi", "_u")
 
 
-def nearest_dim(keys: DataFrame, key: str) -> DataFrame:
+def nearest_dim(keys: DataFrame, key: str, max_window_rows: int = 100_000) -> DataFrame:
     """Intervals (lo, hi] of the unit interval in which ``key`` is the nearest key.
 
     Boundaries are midpoints of neighbouring keys; a draw exactly on a midpoint belongs to
-    the lower key, the ends clamp to the first / last key.
+    the lower key, the ends clamp to the first / last key. Neighbours come from a plain window
+    for a configuration-sized key set, from range-bucketed windows beyond ``max_window_rows``.
     """
-    w = Window.orderBy(key)
-    prev_k, next_k = F.lag(key).over(w), F.lead(key).over(w)
+    if row_count_at_most(keys, max_window_rows):
+        w = Window.orderBy(key)
+        prev_k, next_k = F.lag(key).over(w), F.lead(key).over(w)
+    else:
+        from riskframe.operators.prefix import neighbours
+
+        keys = neighbours(keys, key)
+        prev_k, next_k = F.col("prev_key"), F.col("next_key")
     clamp = lambda c: F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
     return keys.select(
-        "*",
+        *[c for c in keys.columns if c not in ("prev_key", "next_key")],
         F.when(prev_k.isNull(), F.lit(0.0)).otherwise(clamp((prev_k + F.col(key)) / 2.0)).alias("lo"),
         F.when(next_k.isNull(), F.lit(1.0)).otherwise(clamp((F.col(key) + next_k) / 2.0)).alias("hi"),
     )

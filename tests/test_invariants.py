@@ -150,3 +150,12 @@ def test_cdf_dim_distributed_path_matches_window_path(spark):
     rows = sorted(big.items())
     assert rows[0][1][0] == 0.0 and rows[-1][1][1] == 1.0
     assert all(a[1][1] == b[1][0] for a, b in zip(rows, rows[1:]))  # no gaps, no overlaps
+
+
+def test_nearest_dim_distributed_neighbours_match_window(spark):
+    rng = np.random.default_rng(6)
+    ks = sorted(set(float(x) for x in np.round(rng.random(400), 6)))
+    keys = spark.createDataFrame([(f"n{i}", k) for i, k in enumerate(ks)], "name string, key double")
+    a = {r.name: (r.lo, r.hi) for r in assign.nearest_dim(keys, "key").collect()}
+    b = {r.name: (r.lo, r.hi) for r in assign.nearest_dim(keys, "key", max_window_rows=10).collect()}
+    assert a == b
