@@ -22,6 +22,7 @@ more than one cell plus the copies that can matter to it.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
@@ -109,6 +110,14 @@ def _assign_cells(dv: DataFrame, piv: DataFrame) -> DataFrame:
     return out.drop("_piv").checkpoint()
 
 
+def _ship_cell_function() -> None:
+    """Serialise this module's cell function by value, so Python workers run it without
+    ``riskframe`` being installed on the executors."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def exact_knn(points: DataFrame, id_col: str, vec_col: str, k: int = 5, cell_target: int = 2000,
               max_pivots: int = 4096, max_rounds: int = 3, seed: int = 42) -> DataFrame:
     """(id, rank, nbr_id, dist): the k nearest other points of every point, ties by id.
@@ -117,6 +126,7 @@ def exact_knn(points: DataFrame, id_col: str, vec_col: str, k: int = 5, cell_tar
     (seeded, about size / cell_target each) and every vector is re-assigned, for up to
     ``max_rounds`` rounds while the pivot list stays within ``max_pivots``; dense regions
     thus end in more, smaller cells. The result is exact whatever the final cell sizes."""
+    _ship_cell_function()
     pts = points.select(F.col(id_col).cast("bigint").alias("id"),
                         F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vec"))
     spark = points.sparkSession
