@@ -83,3 +83,20 @@ def int_from_uniform(u: Column, lo, hi) -> Column:
     hi_c = hi if isinstance(hi, Column) else F.lit(hi)
     raw = (u * F.lit(TWO_32) - F.lit(1.0)).cast("bigint")
     return lo_c + F.pmod(raw, hi_c - lo_c + F.lit(1))
+
+
+def digest(salt: str, key) -> Column:
+    """md5 text of (salt, key); :func:`quarter` cuts it into four independent 32-bit hashes.
+    Materialise it as a column once and read several quarters from it."""
+    return F.md5(F.concat(F.lit(f"{salt}#0"), F.lit("|"), _key(key)))
+
+
+def quarter(digest_col, i: int) -> Column:
+    """Hash number ``i`` (0..3) in [0, 2^32) from a :func:`digest` column."""
+    c = F.col(digest_col) if isinstance(digest_col, str) else digest_col
+    return F.conv(F.substring(c, 1 + 8 * i, 8), 16, 10).cast("bigint")
+
+
+def sql_quarter(salt: str, key_sql: str, i: int) -> str:
+    return (f"CAST(('0x' || substr(md5('{salt}#0' || '|' || CAST({key_sql} AS VARCHAR)), {1 + 8 * i}, 8)) "
+            f"AS BIGINT)")

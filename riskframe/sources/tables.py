@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.functions.seeded import h, sql_h
+from riskframe.functions.seeded import digest, quarter, sql_quarter
 from riskframe.plans.sizing import broadcast_if_small
 from riskframe.session import sf_path
 
@@ -72,18 +72,20 @@ def _customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("n_nationkey", "n_name", "r_name")
     )
     c = F.col("c_custkey")
+    # one md5 per customer, four 32-bit hashes from it: latitude, longitude, population, birth day
+    cust = cust.withColumn("_cd", digest("cust", c))
     return cust.join(broadcast_if_small(geo, 10_000), F.col("c_nationkey") == F.col("n_nationkey")).select(
         c.alias("customer_id"),
         F.when(c % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
         F.col("n_name").alias("city"),
         F.col("r_name").alias("state"),
         F.lpad(((c * F.lit(7919)) % F.lit(100000)).cast("string"), 5, "0").alias("zip"),
-        (F.lit(25.0) + (h("lat", c) % F.lit(24000)).cast("double") / F.lit(1000.0)).alias("lat"),
-        (F.lit(-124.0) + (h("long", c) % F.lit(57000)).cast("double") / F.lit(1000.0)).alias("long"),
-        (F.lit(100) + h("pop", c) % F.lit(2000000)).alias("city_pop"),
+        (F.lit(25.0) + (quarter("_cd", 0) % F.lit(24000)).cast("double") / F.lit(1000.0)).alias("lat"),
+        (F.lit(-124.0) + (quarter("_cd", 1) % F.lit(57000)).cast("double") / F.lit(1000.0)).alias("long"),
+        (F.lit(100) + quarter("_cd", 2) % F.lit(2000000)).alias("city_pop"),
         F.col("c_mktsegment").alias("job"),
         F.date_format(
-            F.date_add(F.lit(DOB_EPOCH).cast("date"), (h("dob", c) % F.lit(DOB_SPAN_DAYS)).cast("int")),
+            F.date_add(F.lit(DOB_EPOCH).cast("date"), (quarter("_cd", 3) % F.lit(DOB_SPAN_DAYS)).cast("int")),
             "yyyy-MM-dd",
         ).alias("dob"),
     )
@@ -99,7 +101,8 @@ def _txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = customer_dim(spark, sf_dir)
     e = F.col("event_id")
     hr = F.hour("ts")
-    joined = ev.join(cust, F.col("user_id") == F.col("customer_id"))
+    # one md5 per event, two 32-bit hashes from it: merchant latitude and longitude offsets
+    joined = ev.join(cust, F.col("user_id") == F.col("customer_id")).withColumn("_ed", digest("ev", e))
     return joined.select(
         e,
         F.col("customer_id"),
@@ -114,12 +117,10 @@ def _txn(spark: SparkSession, sf_dir: str) -> DataFrame:
             & ((hr < F.lit(FRAUD_NIGHT_END)) | (hr >= F.lit(FRAUD_NIGHT_START)))
         ).cast("int").alias("is_fraud"),
         F.concat(F.lit("merchant_"), (e % F.lit(100)).cast("string")).alias("merchant"),
-        (F.col("lat") + ((h("mlat", e) % F.lit(2000001)) - F.lit(1000000)).cast("double") / F.lit(1000000.0)).alias(
-            "merch_lat"
-        ),
-        (F.col("long") + ((h("mlong", e) % F.lit(2000001)) - F.lit(1000000)).cast("double") / F.lit(1000000.0)).alias(
-            "merch_long"
-        ),
+        (F.col("lat") + ((quarter("_ed", 0) % F.lit(2000001)) - F.lit(1000000)).cast("double")
+         / F.lit(1000000.0)).alias("merch_lat"),
+        (F.col("long") + ((quarter("_ed", 1) % F.lit(2000001)) - F.lit(1000000)).cast("double")
+         / F.lit(1000000.0)).alias("merch_long"),
         "gender", "city", "state", "zip", "lat", "long", "city_pop", "job", "dob",
     )
 
@@ -136,11 +137,11 @@ cust_dim AS (
          CASE WHEN c.c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
          n.n_name AS city, r.r_name AS state,
          lpad(CAST((c.c_custkey * 7919) % 100000 AS VARCHAR), 5, '0') AS zip,
-         CAST(25.0 AS DOUBLE) + {_d(sql_h('lat', 'c.c_custkey') + ' % 24000')} / CAST(1000.0 AS DOUBLE) AS lat,
-         CAST(-124.0 AS DOUBLE) + {_d(sql_h('long', 'c.c_custkey') + ' % 57000')} / CAST(1000.0 AS DOUBLE) AS long,
-         100 + {sql_h('pop', 'c.c_custkey')} % 2000000 AS city_pop,
+         CAST(25.0 AS DOUBLE) + {_d(sql_quarter('cust', 'c.c_custkey', 0) + ' % 24000')} / CAST(1000.0 AS DOUBLE) AS lat,
+         CAST(-124.0 AS DOUBLE) + {_d(sql_quarter('cust', 'c.c_custkey', 1) + ' % 57000')} / CAST(1000.0 AS DOUBLE) AS long,
+         100 + {sql_quarter('cust', 'c.c_custkey', 2)} % 2000000 AS city_pop,
          c.c_mktsegment AS job,
-         strftime(DATE '{DOB_EPOCH}' + CAST({sql_h('dob', 'c.c_custkey')} % {DOB_SPAN_DAYS} AS INTEGER), '%Y-%m-%d') AS dob
+         strftime(DATE '{DOB_EPOCH}' + CAST({sql_quarter('cust', 'c.c_custkey', 3)} % {DOB_SPAN_DAYS} AS INTEGER), '%Y-%m-%d') AS dob
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
                   JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
@@ -154,8 +155,8 @@ txn AS (
          e.value AS amt,
          CAST((e.value >= {FRAUD_MIN_AMOUNT} AND (hour(e.ts) < {FRAUD_NIGHT_END} OR hour(e.ts) >= {FRAUD_NIGHT_START})) AS INTEGER) AS is_fraud,
          'merchant_' || CAST(e.event_id % 100 AS VARCHAR) AS merchant,
-         d.lat + {_d('(' + sql_h('mlat', 'e.event_id') + ' % 2000001) - 1000000')} / CAST(1000000.0 AS DOUBLE) AS merch_lat,
-         d.long + {_d('(' + sql_h('mlong', 'e.event_id') + ' % 2000001) - 1000000')} / CAST(1000000.0 AS DOUBLE) AS merch_long,
+         d.lat + {_d('(' + sql_quarter('ev', 'e.event_id', 0) + ' % 2000001) - 1000000')} / CAST(1000000.0 AS DOUBLE) AS merch_lat,
+         d.long + {_d('(' + sql_quarter('ev', 'e.event_id', 1) + ' % 2000001) - 1000000')} / CAST(1000000.0 AS DOUBLE) AS merch_long,
          d.gender, d.city, d.state, d.zip, d.lat, d.long, d.city_pop, d.job, d.dob
   FROM events e JOIN cust_dim d ON e.user_id = d.customer_id
 )"""
