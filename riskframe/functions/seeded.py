@@ -100,3 +100,9 @@ def quarter(digest_col, i: int) -> Column:
 def sql_quarter(salt: str, key_sql: str, i: int) -> str:
     return (f"CAST(('0x' || substr(md5('{salt}#0' || '|' || CAST({key_sql} AS VARCHAR)), {1 + 8 * i}, 8)) "
             f"AS BIGINT)")
+
+
+def sql_draw(salt: str, key_sql: str, i: int) -> str:
+    """DuckDB twin of the hash behind draw ``i`` of :func:`with_uniforms`."""
+    return (f"CAST(('0x' || substr(md5('{salt}#{i // 4}' || '|' || CAST({key_sql} AS VARCHAR)), {1 + 8 * (i % 4)}, 8)) "
+            f"AS BIGINT)")

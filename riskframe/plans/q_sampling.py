@@ -23,6 +23,14 @@ def _sql_randint(salt, key, lo, hi):
     return f"(({lo}) + {H(salt, key)} % (({hi}) - ({lo}) + 1))"
 
 
+def _sql_randint_d(i, key, lo, hi, salt="time42"):
+    return f"(({lo}) + {seeded.sql_draw(salt, key, i)} % (({hi}) - ({lo}) + 1))"
+
+
+def _sql_u_d(i, key, salt="time42"):
+    return f"(CAST({seeded.sql_draw(salt, key, i)} + 1 AS DOUBLE) / 4294967296.0)"
+
+
 @query("split_train_test", with_txn(
     f"SELECT event_id, is_fraud, CASE WHEN {U('split42', 'event_id')} <= 0.8 THEN 'train' ELSE 'test' END AS split FROM txn"))
 def split_train_test(spark, sf_dir):
@@ -123,15 +131,15 @@ def fraud_window(spark, sf_dir):
 @query("daypart_time", with_txn(f"""
 SELECT event_id, daypart, CAST(hour AS BIGINT) AS hour, CAST(minute AS BIGINT) AS minute, CAST(second AS BIGINT) AS second,
        printf('%02d:%02d:%02d', hour, minute, second) AS trans_time
-FROM (SELECT *, {_sql_randint('hour42', 'event_id', 'hr_lo', 'hr_hi')} AS hour,
-             {_sql_randint('minute42', 'event_id', '0', '59')} AS minute,
-             {_sql_randint('second42', 'event_id', '0', '59')} AS second
+FROM (SELECT *, {_sql_randint_d(2, 'event_id', 'hr_lo', 'hr_hi')} AS hour,
+             {_sql_randint_d(3, 'event_id', '0', '59')} AS minute,
+             {_sql_randint_d(4, 'event_id', '0', '59')} AS second
       FROM (SELECT *, CASE WHEN daypart = 'AM' THEN 0 WHEN night THEN 22 ELSE 12 END AS hr_lo,
                       CASE WHEN daypart = 'AM' THEN (CASE WHEN night THEN 3 ELSE 11 END) ELSE 23 END AS hr_hi
             FROM (SELECT t.event_id,
-                         CASE WHEN {U('daypart42', 't.event_id')} <= CAST(p.am_weight AS DOUBLE) / CAST(p.am_weight + p.pm_weight AS DOUBLE)
+                         CASE WHEN {_sql_u_d(0, 't.event_id')} <= CAST(p.am_weight AS DOUBLE) / CAST(p.am_weight + p.pm_weight AS DOUBLE)
                               THEN 'AM' ELSE 'PM' END AS daypart,
-                         (t.is_fraud = 1 AND {_sql_randint('night42', 't.event_id', '1', '100')} > 20) AS night
+                         (t.is_fraud = 1 AND {_sql_randint_d(1, 't.event_id', '1', '100')} > 20) AS night
                   FROM txn t JOIN seg s ON s.customer_id = t.customer_id
                              JOIN ps p ON p.profile = (CASE WHEN t.is_fraud = 1 THEN 'fraud_' ELSE '' END) || s.profile)))""",
     SEG_CTES + ",\n" + _ps_sql()))
@@ -143,7 +151,10 @@ def daypart_time(spark, sf_dir):
     t = txn(spark, sf_dir).select("event_id", "customer_id", "is_fraud").join(seg, "customer_id")
     key = F.concat(F.when(F.col("is_fraud") == 1, F.lit("fraud_")).otherwise(F.lit("")), F.col("profile"))
     t = t.join(F.broadcast(ps), key == F.col("pprofile"))
-    out = sampling.with_daypart_time(t, "event_id", F.col("am_weight"), F.col("pm_weight"), F.col("is_fraud"), 42)
+    names = ["daypart", "night", "hour", "minute", "second"]
+    t = seeded.with_uniforms(t, "time42", "event_id", [f"_u_{n}" for n in names])  # two md5 per row
+    out = sampling.with_daypart_time(t, "event_id", F.col("am_weight"), F.col("pm_weight"), F.col("is_fraud"), 42,
+                                     draws={n: F.col(f"_u_{n}") for n in names})
     return out.select("event_id", "daypart", "hour", "minute", "second", "trans_time")
 
 
@@ -162,7 +173,7 @@ def geo_jitter(spark, sf_dir):
 
 
 def _gamma_sql():
-    u1, u2, u3 = U("g1_42", "e.event_id"), U("g2_42", "e.event_id"), U("g3_42", "e.event_id")
+    u1, u2, u3 = (_sql_u_d(i, "e.event_id", "gamma42") for i in range(3))
     z = f"(sqrt(-2.0 * ln({u1})) * cos({2.0 * math.pi!r} * {u2}))"
     return with_txn(f"""
 SELECT event_id, category, {R('CASE WHEN x < 1.0 THEN 1.0 + 9.0 * u3 ELSE x END', 2)} AS amount
@@ -182,7 +193,9 @@ def gamma_amounts(spark, sf_dir):
     specs = specs.select("category", (F.col("m") * F.col("m") / (F.col("s") * F.col("s"))).alias("shape"),
                          (F.col("s") * F.col("s") / F.col("m")).alias("scale"))
     j = t.select("event_id", "category").join(broadcast_if_small(specs, 100_000), "category")
-    out = sampling.with_gamma_amount(j, F.col("shape"), F.col("scale"), "event_id", "amount", 42)
+    j = seeded.with_uniforms(j, "gamma42", "event_id", ["_g1", "_g2", "_g3"])  # one md5 per row
+    out = sampling.with_gamma_amount(j, F.col("shape"), F.col("scale"), "event_id", "amount", 42,
+                                     draws=(F.col("_g1"), F.col("_g2"), F.col("_g3")))
     return out.select("event_id", "category", rh(F.col("amount"), 2).alias("amount"))
 
 
