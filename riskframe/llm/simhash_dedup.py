@@ -69,7 +69,7 @@ def linked_pairs(distinct: DataFrame, max_bits: int) -> DataFrame:
     masks = [sum(c) for c in combinations(blocks, 3)]
     keys = F.array(*[F.xxhash64(F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)), F.lit(i))
                      for i, m in enumerate(masks)])
-    rows = distinct.select("fp", F.explode(keys).alias("key"))
+    rows = distinct.select("fp", F.explode_outer(keys).alias("key"))
     a, b = rows.select("key", F.col("fp").alias("a")), rows.select("key", F.col("fp").alias("b"))
     return (a.join(b, "key").where((F.col("a") < F.col("b"))
                                    & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))

@@ -72,22 +72,24 @@ def _agree(a: str, b: str) -> Column:
 
 def _hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     """(doc_id, tk, s, e, cls): spans [s, e) of document words that windows of one length cover."""
+    # explode_outer: for explode the optimizer would infer a filter on the array and compute it anew below
     k = min(K, window)
     marks = _minima(_grams(items, k), window - k + 1)
-    marks = marks.select("cls", "w", "kg", "mins", F.explode(F.sequence(F.lit(0), F.size("kg") - 1)).alias("i")).where(
+    marks = marks.select("cls", "w", "kg", "mins", F.explode_outer(F.sequence(F.lit(0), F.size("kg") - 1)).alias("i")).where(
         F.array_contains("mins", F.get("kg", F.col("i"))))
     left, own, right = _contexts(window, k, F.col("i"))
     marks = store(marks.select("cls", F.get("kg", F.col("i")).alias("hash"), left.alias("i_left"), own.alias("i_own"),
                                right.alias("i_right")).distinct(), "benchmark-fingerprints")
     hashes = broadcast_stored(store(marks.select("hash").distinct(), "benchmark-hashes"))
-    seen = _minima(_grams(docs, k), window - k + 1).select("doc_id", "tk", F.explode("mins").alias("hash"))
+    split = docs.select("doc_id", "tk", words("text").alias("w"))
+    seen = _minima(_grams(split, k), window - k + 1).select("doc_id", "tk", F.explode_outer("mins").alias("hash"))
     common = seen.join(hashes, "hash").groupBy("doc_id", "tk").agg(F.collect_set("hash").alias("common"))
     again = docs.alias("d").join(common.alias("c"), F.expr("d.doc_id <=> c.doc_id and d.tk = c.tk")).select(
-        "d.doc_id", "d.tk", "d.w", "c.common")
-    again = _grams(again, k)
+        "d.doc_id", "d.tk", "d.text", "c.common")
+    again = _grams(again.select("doc_id", "tk", "common", words("text").alias("w")), k)
     spots = again.withColumn("spots", F.filter(F.sequence(F.lit(0), F.size("kg") - 1),
                                                lambda i: F.array_contains("common", F.get("kg", i))))
-    spots = spots.select("doc_id", "tk", "w", "kg", F.explode("spots").alias("i"))
+    spots = spots.select("doc_id", "tk", "w", "kg", F.explode_outer("spots").alias("i"))
     left, own, right = _contexts(window, k, F.col("i"))
     spots = spots.select("doc_id", "tk", "i", F.get("kg", F.col("i")).alias("hash"), left.alias("left"),
                          own.alias("own"), right.alias("right"))
@@ -99,7 +101,7 @@ def _hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
 
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, spans, classes): rows (doc_id, tk, n_words); spans (doc_id, tk, s, e, cls), stored; classes (cls, item_id)."""
-    src = docs.select("doc_id", row_key().alias("tk"), words("text").alias("w"))
+    src = docs.select("doc_id", row_key().alias("tk"), "text")
     items = benchmark.where("item_id is not null and text is not null").select(
         "item_id", words("text").alias("w")).where(F.size("w") > 0).distinct()
     items = store(items.withColumn("cls", F.sha2(F.concat_ws(" ", "w"), 256)), "benchmark-words")
@@ -109,7 +111,7 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     found = [_hits(src, texts.where(F.col("t") == t).drop("t"), t) for t in lengths]
     none = src.limit(0).select("doc_id", "tk", F.lit(0).alias("s"), F.lit(0).alias("e"), F.lit("").alias("cls"))
     spans = store(reduce(DataFrame.union, found, none), "benchmark-hits")
-    rows = src.select("doc_id", "tk", F.size("w").cast("long").alias("n_words"))
+    rows = src.select("doc_id", "tk", F.size(words("text")).cast("long").alias("n_words"))
     return rows, spans, classes
 
 
