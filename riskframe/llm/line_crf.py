@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -147,3 +148,13 @@ def quality_scores(docs: DataFrame, model: dict | None) -> DataFrame:
 
     src = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     return map_rows(src, run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def keep_good(docs: DataFrame, model: dict | None, least: float) -> DataFrame:
+    """The rows of ``docs`` (all columns) with a score of at least ``least``; the text is scored where the row is."""
+    @F.pandas_udf("double")
+    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in texts:
+            yield pd.Series([score(model, t or b"") for t in part], dtype="float64")
+
+    return docs.where(scored(F.col("text").cast("binary")) >= least)

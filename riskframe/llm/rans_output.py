@@ -35,7 +35,7 @@ BLOCK_TOKENS = 1 << 19
 FILE_BYTES = 128 << 20
 CACHE = 400_000
 MAGIC = b"RANSTOK1"
-HEAD = struct.Struct("<8sIIIIIII")  # magic, table crc, documents, tokens, lanes, words, crc of ids, crc of the rest
+HEAD = "<8sIIIIIII"  # magic, table crc, documents, tokens, lanes, words, crc of ids, crc of the rest
 
 
 class ChunkEncoder:
@@ -151,12 +151,12 @@ class Coder:
         states, words = self.encode(ids)
         rest = (np.array([d[0] or 0 for d in docs], "<i8").tobytes() + bytes(d[0] is None for d in docs)
                 + np.array([len(d[1]) // 4 for d in docs], "<u4").tobytes() + states.astype("<u8").tobytes() + words.tobytes())
-        return HEAD.pack(MAGIC, self.crc, len(docs), len(ids), len(states), len(words), zlib.crc32(raw), zlib.crc32(rest)) + rest
+        return struct.pack(HEAD, MAGIC, self.crc, len(docs), len(ids), len(states), len(words), zlib.crc32(raw), zlib.crc32(rest)) + rest
 
     def unblock(self, data: bytes) -> Iterator[tuple[int | None, bytes]]:
         """(id, ids as bytes) of a block's documents, after its checks."""
-        magic, table, n_docs, n, lanes, n_words, crc_ids, crc = HEAD.unpack_from(data)
-        rest = data[HEAD.size:]
+        magic, table, n_docs, n, lanes, n_words, crc_ids, crc = struct.unpack_from(HEAD, data)
+        rest = data[struct.calcsize(HEAD):]
         if magic != MAGIC or table != self.crc or zlib.crc32(rest) != crc:
             raise ValueError("a block is damaged or belongs to another table")
         doc = np.frombuffer(rest, "<i8", n_docs)

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import map_rows, store
@@ -88,3 +88,14 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, id_col:
     classes = named.join(heads, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(F.col("id").alias(id_col),
                                              F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
+    """One row of ``docs`` (all columns) of each component: the one with the smallest id. Rows that repeat that id
+    count as one (the one whose text has the smallest hash); a component of null ids keeps one row."""
+    found = near_duplicates(docs, width, max_bits)
+    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    heads = heads.groupBy("doc_id").agg(F.min("fingerprint").alias("__fp")).select(F.col("doc_id").alias("__id"))
+    kept = docs.join(heads, docs["doc_id"].eqNullSafe(heads["__id"]), "left_semi")
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    return kept.withColumn("__n", F.row_number().over(one)).where("__n = 1").drop("__n")
