@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest_root import SF_SMALL
+from brute import SF_SMALL
 from riskframe.llm import (debruijn, line_crf, mixing, queries, rans_output, simhash_dedup, suffix_repeats, token_counts,
                            vector_topk, warc, winnow)
 
