@@ -77,15 +77,15 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = {
     "op3_vector_topk": """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS q FROM embeddings
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
       FROM v a JOIN v b ON a.vec_id <> b.vec_id AND a.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
     "op4_warc": """
-WITH p AS (SELECT page_id, octet_length(coalesce(html, '')::BLOB)::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
            FROM pages),
 f AS (SELECT payload_digest, min(page_id) AS head FROM p WHERE payload_bytes >= 100 GROUP BY 1)
 SELECT page_id, payload_bytes, payload_digest,
@@ -93,7 +93,7 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN head <> page_id THEN head END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)""",
     "op9_mixing": """
-WITH d AS (SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> ''))::BIGINT
+WITH d AS (SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> ''))::BIGINT
              AS size, md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS n FROM d GROUP BY source),
 w AS (SELECT *, [5.0, 2.0, 1.0][n % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap FROM s),
@@ -104,11 +104,11 @@ l AS (SELECT rate FROM r WHERE rate * weight <= cap ORDER BY cap / weight, n LIM
 t AS (SELECT source, source_size, least(cap, coalesce((SELECT rate FROM l), 0) * weight) AS target FROM r),
 o AS (SELECT d.*, source_size, target, floor(target)::BIGINT AS goal,
              coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id NULLS FIRST
-                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
        CASE WHEN source_size = 0 THEN 0
-            ELSE goal // source_size * size + greatest(least(at + size, goal % source_size) - at, 0) END::BIGINT AS taken
+            ELSE goal // source_size * size + greatest(least(pos + size, goal % source_size) - pos, 0) END::BIGINT AS taken
 FROM o""",
 }
 
