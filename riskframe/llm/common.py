@@ -15,6 +15,9 @@ from riskframe.session import scratch_path
 #: A stored table of at most this many rows may be broadcast (rows here are a few longs wide).
 BROADCAST_ROWS = 200_000
 
+#: Arrow batches to Python workers hold at most about this many bytes (set in the session if it allows more).
+BATCH_BYTES = 8 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -44,6 +47,9 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[tuple]], sch
     Rows are converted 64 at a time and written out every ``chunk`` results or 16 MB, so memory
     does not grow with the partition.
     """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) > BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     out = StructType.fromDDL(schema)
     names = out.names
     arrow = to_arrow_schema(out)

@@ -9,7 +9,8 @@ any block can be decoded alone, so files are read back a block a task at a time.
 
 Null and empty texts hold the end id only. Repeated rows are documents of their own (rows with the same
 id lie in the order of their texts' hashes); null ids come first. Empty table: no rows. Further columns are ignored.
-A task holds one block; tokens of a chunk between white space are remembered up to a bounded number.
+A task holds one block; tokens of chunks between white space are remembered for at most 2 x CACHE chunks
+and one document.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ SCALE = 20
 LANES = 2_048
 BLOCK_TOKENS = 1 << 19
 FILE_BYTES = 128 << 20
-CACHE = 400_000
+CACHE = 300_000
 MAGIC = b"RANSTOK1"
 HEAD = "<8sIIIIIII"  # magic, table crc, documents, tokens, lanes, words, crc of ids, crc of the rest
 
@@ -46,39 +47,50 @@ class ChunkEncoder:
     (lower-cased, as bytes mapped to letters); anything else takes the library's whole path.
     """
 
-    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+    PLAIN = re.compile(b"([a-z]+|(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([.,;:!?]*)")
+    UPPER = re.compile(b"\xc3[\x80-\x96\x98-\x9e]")
 
     def __init__(self, tokenizer_json: str, cache: int = CACHE):
         from tokenizers import Tokenizer
 
-        self.tok, self.cache, self.most = Tokenizer.from_str(tokenizer_json), {}, cache
+        self.tok, self.most = Tokenizer.from_str(tokenizer_json), cache
+        self.chunks: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # what was known before the last time that chunks was full
+        self.packed = [struct.pack("<I", i) for i in range(self.tok.get_vocab_size(with_added_tokens=True))]
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in shown]
-        self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-    def _merge(self, part: str) -> list[int]:
-        return [t.id for t in self.tok.model.tokenize("".join(map(self.letters.__getitem__, part.lower().encode())))]
+        letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.letters = "".join(letter[b] for b in range(256))
+
+        self.marks = {c: self._merge(bytes([c])) for c in b".,;:!?"}
+
+    def _merge(self, part: bytes) -> bytes:
+        shown = part.decode() if part.isascii() else part.decode("latin-1").translate(self.letters)
+        return b"".join([self.packed[t.id] for t in self.tok.model.tokenize(shown)])
+
+    def _plain(self, chunk: bytes) -> bytes | None:
+        low = chunk.lower()  # A-Z only
+        if low.isalpha():  # a-z only
+            return self._merge(low)
+        if low[:-1].isalpha() and low[-1] in self.marks:
+            return self._merge(low[:-1]) + self.marks[low[-1]]
+        if not low.isascii():
+            low = self.UPPER.sub(lambda m: bytes((m[0][0], m[0][1] + 32)), low)
+        m = self.PLAIN.fullmatch(low)
+        return None if m is None else self._merge(m[1]) + (self._merge(m[2]) if m[2] else b"")
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         chunks = text.encode().split()
-        known = self.cache
-        new = set(chunks).difference(known)
-        if new:
-            if len(known) + len(new) > self.most:
-                known = self.cache = {}
-                new = set(chunks)
-            odd = []
-            for c in new:
-                m = self.PLAIN.fullmatch(c.decode())
-                if m:
-                    ids = self._merge(m[1]) + (self._merge(m[2]) if m[2] else [])
-                    known[c] = np.array(ids, "<u4").tobytes()
-                else:
-                    odd.append(c)
-            if odd:
-                for c, e in zip(odd, self.tok.encode_batch([c.decode() for c in odd], add_special_tokens=False)):
-                    known[c] = np.array(e.ids, "<u4").tobytes()
+        known = self.chunks
+        if len(known) > self.most:
+            self.older, self.chunks = known, {}
+            known = self.chunks
+        for c in set(chunks).difference(known):
+            ids = self.older.get(c) or self._plain(c)
+            if ids is None:
+                ids = b"".join([self.packed[i] for i in self.tok.encode(c.decode(), add_special_tokens=False).ids])
+            known[c] = ids
         return b"".join(map(known.__getitem__, chunks))
 
 
