@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import map_rows, store
 
 #: Number of frequent pre-tokens that are counted on the map side (broadcast with the function).
-DICTIONARY = 65_536
+DICTIONARY = 262_144
 #: Documents expected in the hashed sample that picks them.
-DICTIONARY_DOCS = 4_096
+DICTIONARY_DOCS = 16_384
 SPACE = "▁"
 
 
