@@ -186,7 +186,7 @@ class Coder:
             start += k
 
 
-def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int, n_parts: int) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int) -> DataFrame:
     """(part, doc_id, ids): stored, in ascending id order over parts and rows."""
     def run(rows: Iterator[dict]) -> Iterator[tuple]:
         part, enc, end = TaskContext.get().partitionId(), ChunkEncoder(tokenizer_json), struct.pack("<I", end_id)
@@ -194,7 +194,7 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int, n_parts:
             yield part, i, row["doc_id"], enc.ids(row["text"] or "") + end
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    order = src.repartitionByRange(n_parts, F.asc_nulls_first("doc_id"), F.xxhash64("text")).sortWithinPartitions(
+    order = src.repartitionByRange(F.asc_nulls_first("doc_id"), F.xxhash64("text")).sortWithinPartitions(
         F.asc_nulls_first("doc_id"), F.xxhash64("text"))
     return store(map_rows(order, run, "part int, seq long, doc_id long, ids binary"), "token-ids")
 
@@ -255,11 +255,10 @@ def read_files(checkpoints: DataFrame, coder: Coder) -> DataFrame:
     return map_rows(dealt, run, "part int, seq long, row long, doc_id long, n_tokens long, ids_crc32 long")
 
 
-def token_files(docs: DataFrame, tokenizer_json: str, end_id: int = 2, part_bytes: int = 32 << 20) -> DataFrame:
+def token_files(docs: DataFrame, tokenizer_json: str, end_id: int = 2) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, read back from the written files."""
     spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    encoded = encode_documents(docs, tokenizer_json, end_id, max(1, -(-size // part_bytes)))
+    encoded = encode_documents(docs, tokenizer_json, end_id)
 
     def tally(rows: Iterator[dict]) -> Iterator[tuple]:
         seen = np.zeros(0, np.int64)
