@@ -161,7 +161,7 @@ def repeated_spans(docs: DataFrame, length: int, group_rows: int = GROUP_ROWS) -
 
     small = (grouped.where(F.col("n") <= group_rows).repartition("core").sortWithinPartitions("core"))
     large = grouped.where(F.col("n") > group_rows).dropDuplicates(["dk", "pos"])
-    single = map_rows(large, strings, "dk long, s long, string binary").distinct()
+    single = store(map_rows(large, strings, "dk long, s long, string binary", chunk=1 << 14).distinct(), "suffix-strings")
     shared = single.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
     spans = map_rows(small, scan, "dk long, s long, e long").union(
         single.join(shared, "string").select("dk", "s", (F.col("s") + length).alias("e")))
