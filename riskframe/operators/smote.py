@@ -19,7 +19,7 @@ from riskframe.operators.knn import exact_knn
 
 def smote(points: DataFrame, id_col: str, vec_col: str, label_col: str, minority_label, k: int = 5,
           seed: int = 42, digits: int | None = None) -> DataFrame:
-    """(base_id, copy, nbr_id, gap, syn_vec) for the synthetic minority rows."""
+    """(base_id, copy, nbr_id, gap, syn_vec) for the synthetic minority rows; none with fewer than two minority rows."""
     pts = points.select(F.col(id_col).cast("bigint").alias("id"),
                         F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vec"),
                         (F.col(label_col) == F.lit(minority_label)).alias("is_min"))
@@ -33,7 +33,7 @@ def smote(points: DataFrame, id_col: str, vec_col: str, label_col: str, minority
         "id", "n_min",
         (F.floor(n_syn / F.col("n_min")) + F.when(F.col("idx") <= n_syn % F.col("n_min"), 1).otherwise(0)).cast("int").alias("c"),
     )
-    rows = per.where(F.col("c") > 0).select("id", "n_min", F.explode(F.sequence(F.lit(1), F.col("c"))).alias("copy"))
+    rows = per.where((F.col("c") > 0) & (F.col("n_min") > 1)).select("id", "n_min", F.explode(F.sequence(F.lit(1), F.col("c"))).alias("copy"))
     key = seeded.compound_key("id", "copy")
     k_eff = F.least(F.lit(k), F.col("n_min") - 1)
     rows = rows.select("id", "copy", seeded.randint(f"smnb{seed}", key, F.lit(1), k_eff).cast("bigint").alias("rank"),

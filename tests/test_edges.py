@@ -171,3 +171,10 @@ def test_poisson_oversample_mean_and_partition_independence(spark):
         sorted((x.event_id, x.copy) for x in b.where("is_fraud = 1").collect())
     per_row = a.where("is_fraud = 1").groupBy("event_id").count().select("count").distinct().count()
     assert per_row > 2  # Poisson spread, not just floor(r) / floor(r) + 1
+
+
+def test_smote_with_one_minority_row_gives_none(spark):
+    from riskframe.operators.smote import smote
+
+    points = spark.createDataFrame([(i, [float(i), 1.0], int(i == 3)) for i in range(8)], "id long, v array<double>, y int")
+    assert smote(points, "id", "v", "y", 1).collect() == []
