@@ -69,6 +69,27 @@ def anchors(x: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
     return pos, np.concatenate(what)[first]
 
 
+def joined_anchors(x: np.ndarray, sizes: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places in ``x``, sequence numbers, k-gram hashes) of the anchors of sequences laid end to end in ``x``."""
+    where, what = [], []
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    for at in range(0, max(1, len(x) - k - w + 2), SEGMENT):
+        h = gram_hashes(x[at:at + SEGMENT + k + w - 2], k)
+        if len(h) < w:
+            continue
+        least = _sliding(h, w, np.minimum)
+        n = len(least)
+        least[owner[at:at + n] != owner[at + k + w - 2:at + k + w - 2 + n]] = 0  # no stretch crosses sequences
+        edge = np.zeros(w - 1, np.uint64)
+        found = np.flatnonzero((_sliding(np.concatenate([edge, least, edge]), w, np.maximum) == h) & (h > 0))
+        where.append(found + at)
+        what.append(h[found])
+    if not where:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    pos, first = np.unique(np.concatenate(where), return_index=True)
+    return pos, owner[pos], np.concatenate(what)[first]
+
+
 def signed(x: np.ndarray) -> list[int]:
     """64-bit values as Spark longs."""
     return x.astype(np.uint64).view(np.int64).tolist()

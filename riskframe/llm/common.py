@@ -41,15 +41,19 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("\x00null")), F.col(text_col))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    conf = spark.conf
+    if int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) > BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[tuple]], schema: str, chunk: int = 4096) -> DataFrame:
     """mapInArrow over row dictionaries: ``fn`` takes an iterator of rows and yields output tuples.
 
     Rows are converted 64 at a time and written out every ``chunk`` results or 16 MB, so memory
     does not grow with the partition.
     """
-    conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) > BATCH_BYTES:
-        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    bounded_batches(df.sparkSession)
     out = StructType.fromDDL(schema)
     names = out.names
     arrow = to_arrow_schema(out)

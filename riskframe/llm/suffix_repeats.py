@@ -10,13 +10,14 @@ context, ``length`` bytes from it on and as many before it as a string can start
    repeated, so the whole context is covered; one representative of it goes on.
 3. Representatives that share a k-gram with another context are grouped by cores: a core is what
    all strings starting in the same quarter of the possible offsets have in common. Cores that
-   occur once are dropped.
+   occur once are dropped; a member of a core's group carries what that quarter's strings reach.
 4. In a group, the suffixes from the anchor on are sorted; a stack scan over their common-prefix
    lengths yields the intervals. In each, the bytes before the anchor are treated the same way from
    right to left: an interval of that second tree is where the extension to the left is diverse. A
-   pair of nodes is a maximal repeat with all its occurrences in the group; those of ``length`` and
-   more are spans. Groups of more than ``group_rows`` are not gathered: their strings are hashed one
-   by one and counted in Spark, which gives the same bytes.
+   pair of nodes is a maximal repeat with all its occurrences in the group. A member's spans of
+   ``length`` and more all hold its anchor, so their union is one run: the widest left and right ends
+   over its deepest nodes. Groups of more than ``group_rows`` are not gathered: their strings are
+   hashed one by one and counted in Spark, which gives the same bytes.
 
 Texts are UTF-8 bytes; matches never cross documents. Null and empty texts have nothing to remove.
 Each row is a document, so rows repeated in id and text are copies of each other and both lose
@@ -30,74 +31,122 @@ from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.anchors import anchors, byte_values, merged, signed
-from riskframe.llm.common import map_rows, row_key, store
+from riskframe.llm.anchors import byte_values, joined_anchors, merged
+from riskframe.llm.common import bounded_batches, map_rows, row_key, store
 
 K = 48
 CORES = 4
 GROUP_ROWS = 1_024
+JOINED_BYTES = 1 << 18
 
 
 def shared_prefix(a: bytes, b: bytes) -> int:
     n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n
-    low, high = 0, n  # a[:low] agrees, a[:high] does not
-    while high - low > 1:
-        mid = (low + high) // 2
-        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid)
-    return low
+    differ = int.from_bytes(a[:n], "big") ^ int.from_bytes(b[:n], "big")
+    return n - (differ.bit_length() + 7) // 8
 
 
-def prefix_intervals(texts: list[bytes]) -> Iterator[tuple[int, int, int]]:
-    """(common-prefix length, first, last) of every interval of sorted ``texts`` that two or more share."""
+def prefix_intervals(lcps: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(common-prefix length, first, last) of every interval of two or more sorted texts, from neighbours' lengths."""
     stack: list[tuple[int, int]] = []
-    n = len(texts)
-    for i in range(1, n + 1):
-        lcp = shared_prefix(texts[i - 1], texts[i]) if i < n else 0
-        first = i - 1
+    for i, lcp in enumerate([*lcps, 0]):
+        first = i
         while stack and stack[-1][0] > lcp:
             size, first = stack.pop()
-            yield size, first, i - 1
+            yield size, first, i
         if lcp and (not stack or stack[-1][0] < lcp):
             stack.append((lcp, first))
 
 
+class SuffixGroup:
+    """The suffixes of a group's (left, right) contexts from the anchor on, sorted, and the order of what lies before it."""
+
+    def __init__(self, members: list[tuple[bytes, bytes]]):
+        before = [left[::-1] for left, _ in members]
+        self.order = sorted(range(len(members)), key=lambda m: members[m][1])
+        self.by_left = np.array(sorted(range(len(members)), key=before.__getitem__))
+        self.rank = np.empty(len(members), np.int64)
+        self.rank[self.by_left] = np.arange(len(members))
+        self.right = [shared_prefix(members[a][1], members[b][1]) for a, b in zip(self.order, self.order[1:])]
+        ordered = self.by_left.tolist()
+        self.left = np.array([shared_prefix(before[a], before[b]) for a, b in zip(ordered, ordered[1:])], np.int64)
+        self.ranks = self.rank[self.order]
+
+    def nodes(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(bytes right, members in the order of their left sides, left lengths between neighbours) of every interval."""
+        for right, first, last in prefix_intervals(self.right):
+            inside = np.sort(self.ranks[first:last + 1])
+            yield right, self.by_left[inside], np.minimum.reduceat(self.left[:inside[-1]], inside[:-1])
+
+
 def maximal_repeats(members: list[tuple[bytes, bytes]], length: int) -> Iterator[tuple[int, int, list[int]]]:
     """(bytes left of the anchor, bytes right, members) of maximal repeats; members are (left, right) contexts."""
-    order = sorted(range(len(members)), key=lambda m: members[m][1])
-    for right, first, last in prefix_intervals([members[m][1] for m in order]):
-        inside = sorted(order[first:last + 1], key=lambda m: members[m][0][::-1])
-        before = [members[m][0][::-1] for m in inside]
+    for right, inside, lefts in SuffixGroup(members).nodes():
         if right >= length:
-            yield 0, right, inside
-        for left, lo, hi in prefix_intervals(before):
+            yield 0, right, inside.tolist()
+        for left, lo, hi in prefix_intervals(lefts.tolist()):
             if left + right >= length:
-                yield left, right, inside[lo:hi + 1]
-
-
-def _member_spans(members: list[tuple[bytes, bytes]], length: int) -> set[tuple[int, int, int]]:
-    return {(m, left, right) for left, right, group in maximal_repeats(members, length) for m in group}
+                yield left, right, inside[lo:hi + 1].tolist()
+
+
+def member_runs(members: list[tuple[bytes, bytes]], length: int) -> list[tuple[int, int, int]]:
+    """(member, bytes left of the anchor, bytes right): the union of each member's maximal repeats, which all hold the anchor."""
+    if len(members) == 2:
+        (a, b), (c, d) = members
+        left, right = shared_prefix(a[::-1], c[::-1]), shared_prefix(b, d)
+        return [(0, left, right), (1, left, right)] if left + right >= length else []
+    reach = np.full((2, len(members)), -1, np.int64)
+    for right, inside, lefts in SuffixGroup(members).nodes():
+        deepest = np.maximum(np.concatenate([lefts, [0]]), np.concatenate([[0], lefts]))  # where the left side is diverse
+        long = deepest + right >= length
+        at = inside[long]
+        reach[0, at] = np.maximum(reach[0, at], deepest[long])
+        reach[1, at] = np.maximum(reach[1, at], right)
+    at = np.flatnonzero(reach[1] >= 0)
+    return list(zip(at.tolist(), reach[0, at].tolist(), reach[1, at].tolist()))
 
 
 def _contexts(docs: DataFrame, length: int) -> DataFrame:
+    """(dk, pos, h, ctx) of every anchor: its k-gram's hash and its context's hash."""
     reach, values = length - K, byte_values()
+    arrow = pa.schema([(c, pa.int64()) for c in ("dk", "pos", "h", "ctx")])
 
-    def run(rows: Iterator[dict]) -> Iterator[tuple]:
+    def found(keys: list[int], texts: list[bytes]) -> pa.RecordBatch:
         import xxhash
 
-        for row in rows:
-            text = row["text"] or b""
-            if len(text) >= length:
-                pos, h = anchors(values[np.frombuffer(text, np.uint8)], K, reach + 1)
-                for p, g in zip(pos.tolist(), signed(h)):
-                    ctx = xxhash.xxh64_intdigest(text[max(0, p - reach):p + length], min(p, reach))
-                    yield row["dk"], p, g, ctx - (1 << 64) if ctx >> 63 else ctx
-
-    return map_rows(docs, run, "dk long, pos long, h long, ctx long", chunk=1 << 15)
+        data, sizes = b"".join(texts), np.array([len(t) for t in texts])
+        pos, owner, h = joined_anchors(values[np.frombuffer(data, np.uint8)], sizes, K, reach + 1)
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        lo = np.maximum(starts[owner], pos - reach)
+        hi = np.minimum(ends[owner], pos + length)
+        ctx = [xxhash.xxh64_intdigest(data[a:b], seed)
+               for a, b, seed in zip(lo.tolist(), hi.tolist(), (pos - lo).tolist())]
+        columns = [np.array(keys, np.int64)[owner], pos - starts[owner], h.view(np.int64), np.array(ctx, np.uint64).view(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, texts, size = [], [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                for dk, text in zip(part.column("dk").to_pylist(), part.column("text").to_pylist()):
+                    if text and len(text) >= length:
+                        keys.append(dk)
+                        texts.append(text)
+                        size += len(text)
+                    if size >= JOINED_BYTES:
+                        yield found(keys, texts)
+                        keys, texts, size = [], [], 0
+        if texts:
+            yield found(keys, texts)
+
+    bounded_batches(docs.sparkSession)
+    return docs.select("dk", "text").mapInArrow(run, "dk long, pos long, h long, ctx long")
 
 
 def repeated_spans(docs: DataFrame, length: int, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -130,24 +179,29 @@ def repeated_spans(docs: DataFrame, length: int, group_rows: int = GROUP_ROWS) -
                     ahead = length - min((g + 1) * step - 1, reach)
                     if len(left) >= g * step and len(right) >= ahead:
                         core = left[len(left) - g * step:] + right[:ahead]
-                        cores.append(xxhash.xxh64_intdigest(core, g) - (1 << 63))
+                        cores.append((g, xxhash.xxh64_intdigest(core, g) - (1 << 63)))
                 if cores:
                     yield row["dk"], p, left, right, cores, None, None
             yield row["dk"], None, None, None, None, text, [x for span in merged(spans) for x in span]
 
-    split = store(map_rows(docs.join(marks, "dk"), contexts,
-                           "dk long, pos long, left binary, right binary, cores array<long>, text binary, fully array<long>"),
-                  "suffix-texts")
+    # rows that repeat id and text have been counted: one of them stands for all from here on
+    split = store(map_rows(docs.dropDuplicates(["dk"]).join(marks, "dk"), contexts,
+                           "dk long, pos long, left binary, right binary, cores array<struct<g: int, core: long>>, "
+                           "text binary, fully array<long>"), "suffix-texts")
     texts = split.where("text is not null").select("dk", "text", "fully")
-    parts = split.where("pos is not null").select("dk", "pos", "left", "right", "cores").dropDuplicates(["dk", "pos"])
-    cored = parts.select("dk", "pos", F.explode("cores").alias("core"))
+    parts = split.where("pos is not null").select("dk", "pos", "left", "right", "cores")
+    cored = parts.select("dk", "pos", F.inline("cores"))
     groups = cored.groupBy("core").agg(F.count("*").alias("n")).where("n > 1")
-    grouped = store(cored.join(groups, "core").join(parts.drop("cores"), ["dk", "pos"]), "suffix-groups")
+    least = F.col("g") * step  # strings of a quarter start least to furthest bytes before the anchor
+    furthest = F.least(least + (step - 1), F.lit(reach))
+    grouped = store(cored.join(groups, "core").join(parts.drop("cores"), ["dk", "pos"]).select(
+        "dk", "pos", "core", "n", "g", F.substring("left", F.greatest(F.octet_length("left") - furthest, F.lit(0)) + 1, furthest).alias("left"),
+        F.substring("right", F.lit(1), length - least).alias("right")), "suffix-groups")
 
     def scan(rows: Iterator[dict]) -> Iterator[tuple]:
         for _, group in groupby(rows, key=lambda r: r["core"]):
             held = list(group)  # at most group_rows
-            for m, left, right in _member_spans([(r["left"], r["right"]) for r in held], length):
+            for m, left, right in member_runs([(r["left"], r["right"]) for r in held], length):
                 yield held[m]["dk"], held[m]["pos"] - left, held[m]["pos"] + right
 
     def strings(rows: Iterator[dict]) -> Iterator[tuple]:
@@ -155,12 +209,11 @@ def repeated_spans(docs: DataFrame, length: int, group_rows: int = GROUP_ROWS) -
 
         for r in rows:
             text = r["left"] + r["right"]
-            for at in range(len(text) - length + 1):
-                if at <= len(r["left"]):
-                    yield r["dk"], r["pos"] - len(r["left"]) + at, xxhash.xxh3_128_digest(text[at:at + length])
+            for at in range(min(len(text) - length, len(r["left"]) - r["g"] * step) + 1):
+                yield r["dk"], r["pos"] - len(r["left"]) + at, xxhash.xxh3_128_digest(text[at:at + length])
 
     small = (grouped.where(F.col("n") <= group_rows).repartition("core").sortWithinPartitions("core"))
-    large = grouped.where(F.col("n") > group_rows).dropDuplicates(["dk", "pos"])
+    large = grouped.where(F.col("n") > group_rows)
     single = store(map_rows(large, strings, "dk long, s long, string binary", chunk=1 << 14).distinct(), "suffix-strings")
     shared = single.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
     spans = map_rows(small, scan, "dk long, s long, e long").union(
@@ -182,7 +235,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, group_rows: int = GROUP_R
             kept = b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2]))
             yield row["dk"], len(text) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept
 
-    done = map_rows(texts.dropDuplicates(["dk"]).join(lists, "dk", "left"), cut,
+    done = map_rows(texts.join(lists, "dk", "left"), cut,
                     "dk long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     base = src.select("doc_id", "dk", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     return base.join(done, "dk", "left").select(
