@@ -18,16 +18,26 @@ BROADCAST_ROWS = 200_000
 #: Arrow batches to Python workers hold at most about this many bytes (set in the session if it allows more).
 BATCH_BYTES = 8 << 20
 
+#: Spark's setting that a query's shuffle files go when it ends (on while a table is stored).
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the cluster's shared checkpoint folder and read it back."""
+    """Write ``df`` as Parquet under the cluster's shared checkpoint folder and read it back.
+
+    The shuffle files behind the table are of no use once it is written; Spark is told to remove them then.
+    """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

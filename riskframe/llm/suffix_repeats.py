@@ -9,8 +9,8 @@ context, ``length`` bytes from it on and as many before it as a string can start
 2. Equal contexts are counted: where one occurs twice, every string through the anchor is
    repeated, so the whole context is covered; one representative of it goes on.
 3. Representatives that share a k-gram with another context are grouped by cores: a core is what
-   all strings starting in the same quarter of the possible offsets have in common. Cores that
-   occur once are dropped; a member of a core's group carries what that quarter's strings reach.
+   all strings starting in the same half of the possible offsets have in common; a member of a
+   core's group carries what that half's strings reach.
 4. In a group, the suffixes from the anchor on are sorted; a stack scan over their common-prefix
    lengths yields the intervals. In each, the bytes before the anchor are treated the same way from
    right to left: an interval of that second tree is where the extension to the left is diverse. A
@@ -36,11 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.anchors import byte_values, joined_anchors, merged
-from riskframe.llm.common import bounded_batches, map_rows, row_key, store
+from riskframe.llm.common import bounded_batches, broadcast_stored, map_rows, row_key, store
 
 K = 48
-CORES = 4
-GROUP_ROWS = 1_024
+CORES = 2
+GROUP_ROWS = 4_096
 JOINED_BYTES = 1 << 18
 
 
@@ -174,33 +174,30 @@ def repeated_spans(docs: DataFrame, length: int, group_rows: int = GROUP_ROWS) -
                 if mark["all"]:
                     spans.append((p - len(left), p + len(right)))
                     continue
-                cores = []
                 for g in range(CORES):
                     ahead = length - min((g + 1) * step - 1, reach)
                     if len(left) >= g * step and len(right) >= ahead:
                         core = left[len(left) - g * step:] + right[:ahead]
-                        cores.append((g, xxhash.xxh64_intdigest(core, g) - (1 << 63)))
-                if cores:
-                    yield row["dk"], p, left, right, cores, None, None
-            yield row["dk"], None, None, None, None, text, [x for span in merged(spans) for x in span]
+                        furthest = min((g + 1) * step - 1, reach, len(left))
+                        yield (row["dk"], p, g, xxhash.xxh64_intdigest(core, g) - (1 << 63),
+                               left[len(left) - furthest:], right[:length - g * step], None, None)
+            yield row["dk"], None, None, None, None, None, text, [x for span in merged(spans) for x in span]
 
     # rows that repeat id and text have been counted: one of them stands for all from here on
     split = store(map_rows(docs.dropDuplicates(["dk"]).join(marks, "dk"), contexts,
-                           "dk long, pos long, left binary, right binary, cores array<struct<g: int, core: long>>, "
-                           "text binary, fully array<long>"), "suffix-texts")
+                           "dk long, pos long, g int, core long, left binary, right binary, text binary, fully array<long>"),
+                  "suffix-texts")
     texts = split.where("text is not null").select("dk", "text", "fully")
-    parts = split.where("pos is not null").select("dk", "pos", "left", "right", "cores")
-    cored = parts.select("dk", "pos", F.inline("cores"))
-    groups = cored.groupBy("core").agg(F.count("*").alias("n")).where("n > 1")
-    least = F.col("g") * step  # strings of a quarter start least to furthest bytes before the anchor
-    furthest = F.least(least + (step - 1), F.lit(reach))
-    grouped = store(cored.join(groups, "core").join(parts.drop("cores"), ["dk", "pos"]).select(
-        "dk", "pos", "core", "n", "g", F.substring("left", F.greatest(F.octet_length("left") - furthest, F.lit(0)) + 1, furthest).alias("left"),
-        F.substring("right", F.lit(1), length - least).alias("right")), "suffix-groups")
+    members = split.where("pos is not null").drop("text", "fully")
+    # at most one core in group_rows members is large
+    cores = broadcast_stored(store(members.groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") > group_rows)
+                                   .select("core"), "suffix-cores"))
 
     def scan(rows: Iterator[dict]) -> Iterator[tuple]:
         for _, group in groupby(rows, key=lambda r: r["core"]):
             held = list(group)  # at most group_rows
+            if len(held) < 2:
+                continue
             for m, left, right in member_runs([(r["left"], r["right"]) for r in held], length):
                 yield held[m]["dk"], held[m]["pos"] - left, held[m]["pos"] + right
 
@@ -212,10 +209,11 @@ def repeated_spans(docs: DataFrame, length: int, group_rows: int = GROUP_ROWS) -
             for at in range(min(len(text) - length, len(r["left"]) - r["g"] * step) + 1):
                 yield r["dk"], r["pos"] - len(r["left"]) + at, xxhash.xxh3_128_digest(text[at:at + length])
 
-    small = (grouped.where(F.col("n") <= group_rows).repartition("core").sortWithinPartitions("core"))
-    large = grouped.where(F.col("n") > group_rows)
-    single = store(map_rows(large, strings, "dk long, s long, string binary", chunk=1 << 14).distinct(), "suffix-strings")
-    shared = single.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
+    small = members.join(cores, "core", "left_anti").repartition("core").sortWithinPartitions("core")
+    single = store(map_rows(members.join(cores, "core"), strings, "dk long, s long, string binary", chunk=1 << 14),
+                   "suffix-strings")
+    place = F.struct("dk", "s")  # a string through two anchors comes twice from the same place
+    shared = single.groupBy("string").agg(F.min(place).alias("a"), F.max(place).alias("z")).where("a < z").select("string")
     spans = map_rows(small, scan, "dk long, s long, e long").union(
         single.join(shared, "string").select("dk", "s", (F.col("s") + length).alias("e")))
     return texts, spans
