@@ -16,8 +16,10 @@ context, ``length`` bytes from it on and as many before it as a string can start
    right to left: an interval of that second tree is where the extension to the left is diverse. A
    pair of nodes is a maximal repeat with all its occurrences in the group. A member's spans of
    ``length`` and more all hold its anchor, so their union is one run: the widest left and right ends
-   over its deepest nodes. Groups of more than ``group_rows`` are not gathered: their strings are
-   hashed one by one and counted in Spark, which gives the same bytes.
+   over its deepest nodes. Groups of more than ``group_rows`` are not gathered: members are cut into
+   pieces of ``PIECE`` neighbouring string starts, counted in Spark; a piece found again is covered
+   whole. One of each kind of piece is cut into its strings, which are counted the same way and
+   decide for the pieces found once. This gives the same bytes.
 
 Texts are UTF-8 bytes; matches never cross documents. Null and empty texts have nothing to remove.
 Each row is a document, so rows repeated in id and text are copies of each other and both lose
@@ -41,6 +43,7 @@ from riskframe.llm.common import bounded_batches, broadcast_stored, map_rows, ro
 K = 48
 CORES = 2
 GROUP_ROWS = 4_096
+PIECE = 10
 JOINED_BYTES = 1 << 18
 
 
@@ -201,21 +204,38 @@ def repeated_spans(docs: DataFrame, length: int, group_rows: int = GROUP_ROWS) -
             for m, left, right in member_runs([(r["left"], r["right"]) for r in held], length):
                 yield held[m]["dk"], held[m]["pos"] - left, held[m]["pos"] + right
 
+    def pieces(rows: Iterator[dict]) -> Iterator[tuple]:
+        import xxhash
+
+        for r in rows:
+            text, anchor, at = r["left"] + r["right"], len(r["left"]), 0
+            last = min(len(text) - length, anchor - r["g"] * step)
+            while at <= last:
+                end = min(last, anchor - (anchor - at) // PIECE * PIECE)
+                content = text[at:end + length]
+                yield r["dk"], r["pos"] - anchor + at, xxhash.xxh3_128_digest(content), content
+                at = end + 1
+
     def strings(rows: Iterator[dict]) -> Iterator[tuple]:
         import xxhash
 
         for r in rows:
-            text = r["left"] + r["right"]
-            for at in range(min(len(text) - length, len(r["left"]) - r["g"] * step) + 1):
-                yield r["dk"], r["pos"] - len(r["left"]) + at, xxhash.xxh3_128_digest(text[at:at + length])
+            for at in range(len(r["content"]) - length + 1):
+                yield r["dk"], r["s"] + at, r["again"], xxhash.xxh3_128_digest(r["content"][at:at + length])
 
     small = members.join(cores, "core", "left_anti").repartition("core").sortWithinPartitions("core")
-    single = store(map_rows(members.join(cores, "core"), strings, "dk long, s long, string binary", chunk=1 << 14),
+    # a string or piece through two anchors comes twice from the same place
+    elsewhere = (F.min("dk") < F.max("dk")) | (F.min("s") < F.max("s"))
+    cut = store(map_rows(members.join(cores, "core"), pieces, "dk long, s long, piece binary, content binary"),
+                "suffix-pieces")
+    kinds = store(cut.groupBy("piece").agg(elsewhere.alias("again"), F.min("dk").alias("dk"), F.min("s").alias("s"),
+                                           F.first("content").alias("content")), "suffix-kinds")
+    single = store(map_rows(kinds, strings, "dk long, s long, again boolean, string binary", chunk=1 << 14),
                    "suffix-strings")
-    place = F.struct("dk", "s")  # a string through two anchors comes twice from the same place
-    shared = single.groupBy("string").agg(F.min(place).alias("a"), F.max(place).alias("z")).where("a < z").select("string")
+    shared = single.groupBy("string").agg((F.max("again") | elsewhere).alias("many")).where("many").select("string")
     spans = map_rows(small, scan, "dk long, s long, e long").union(
-        single.join(shared, "string").select("dk", "s", (F.col("s") + length).alias("e")))
+        cut.join(kinds.where("again").select("piece"), "piece").select("dk", "s", (F.col("s") + F.octet_length("content")).alias("e"))
+    ).union(single.where("not again").join(shared, "string").select("dk", "s", (F.col("s") + length).alias("e")))
     return texts, spans
 
 
