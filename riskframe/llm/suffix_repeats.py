@@ -16,10 +16,10 @@ context, ``length`` bytes from it on and as many before it as a string can start
    right to left: an interval of that second tree is where the extension to the left is diverse. A
    pair of nodes is a maximal repeat with all its occurrences in the group. A member's spans of
    ``length`` and more all hold its anchor, so their union is one run: the widest left and right ends
-   over its deepest nodes. Groups of more than ``group_rows`` are not gathered: members are cut into
-   pieces of ``PIECE`` neighbouring string starts, counted in Spark; a piece found again is covered
-   whole. One of each kind of piece is cut into its strings, which are counted the same way and
-   decide for the pieces found once. This gives the same bytes.
+   over its deepest nodes. Groups of more than ``group_rows`` are not gathered: what
+   a half's strings reach is hashed as one part and counted in Spark; a part found again is covered
+   whole. One of each kind of part is cut into smaller parts, at last into its strings, which are
+   counted the same way and decide for the parts found once. This gives the same bytes.
 
 Texts are UTF-8 bytes; matches never cross documents. Null and empty texts have nothing to remove.
 Each row is a document, so rows repeated in id and text are copies of each other and both lose
@@ -29,7 +29,8 @@ their bytes; ties have no order. Empty table: no rows. Further columns are ignor
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -43,7 +44,6 @@ from riskframe.llm.common import bounded_batches, broadcast_stored, map_rows, ro
 K = 48
 CORES = 2
 GROUP_ROWS = 4_096
-PIECE = 10
 JOINED_BYTES = 1 << 18
 
 
@@ -204,17 +204,20 @@ def repeated_spans(docs: DataFrame, length: int, group_rows: int = GROUP_ROWS) -
             for m, left, right in member_runs([(r["left"], r["right"]) for r in held], length):
                 yield held[m]["dk"], held[m]["pos"] - left, held[m]["pos"] + right
 
-    def pieces(rows: Iterator[dict]) -> Iterator[tuple]:
-        import xxhash
-
-        for r in rows:
-            text, anchor, at = r["left"] + r["right"], len(r["left"]), 0
-            last = min(len(text) - length, anchor - r["g"] * step)
-            while at <= last:
-                end = min(last, anchor - (anchor - at) // PIECE * PIECE)
-                content = text[at:end + length]
-                yield r["dk"], r["pos"] - anchor + at, xxhash.xxh3_128_digest(content), content
-                at = end + 1
+    def parts(size: int) -> Callable[[Iterator[dict]], Iterator[tuple]]:
+        """Cuts ``content`` into runs of at most ``size`` string starts, ending at multiples of it before the anchor."""
+        def run(rows: Iterator[dict]) -> Iterator[tuple]:
+            import xxhash
+
+            for r in rows:
+                content, at = r["content"], 0
+                while at <= len(content) - length:
+                    ahead = r["ahead"] - at
+                    end = at + ahead % size + length
+                    part = content[at:end]
+                    yield r["dk"], r["s"] + at, r["again"], ahead, xxhash.xxh3_128_digest(part, ahead), part
+                    at = end - length + 1
+        return run
 
     def strings(rows: Iterator[dict]) -> Iterator[tuple]:
         import xxhash
@@ -224,18 +227,25 @@ def repeated_spans(docs: DataFrame, length: int, group_rows: int = GROUP_ROWS) -
                 yield r["dk"], r["s"] + at, r["again"], xxhash.xxh3_128_digest(r["content"][at:at + length])
 
     small = members.join(cores, "core", "left_anti").repartition("core").sortWithinPartitions("core")
-    # a string or piece through two anchors comes twice from the same place
-    elsewhere = (F.min("dk") < F.max("dk")) | (F.min("s") < F.max("s"))
-    cut = store(map_rows(members.join(cores, "core"), pieces, "dk long, s long, piece binary, content binary"),
-                "suffix-pieces")
-    kinds = store(cut.groupBy("piece").agg(elsewhere.alias("again"), F.min("dk").alias("dk"), F.min("s").alias("s"),
-                                           F.first("content").alias("content")), "suffix-kinds")
+    # a string through two anchors comes twice from the same place
+    repeated = F.max("again") | (F.min("dk") < F.max("dk")) | (F.min("s") < F.max("s"))
+    spans = map_rows(small, scan, "dk long, s long, e long")
+    kinds = members.join(cores, "core").select(
+        "dk", (F.col("pos") - F.octet_length("left")).alias("s"), F.lit(False).alias("again"),
+        F.octet_length("left").alias("ahead"), F.concat("left", "right").alias("content"))
+    for size in (step, math.isqrt(step) + 1):
+        units = store(map_rows(kinds, parts(size), "dk long, s long, again boolean, ahead int, key binary, content binary"),
+                      "suffix-parts")
+        kinds = store(units.groupBy("key").agg(repeated.alias("again"), F.min("dk").alias("dk"), F.min("s").alias("s"),
+                                               F.first("ahead").alias("ahead"), F.first("content").alias("content")),
+                      "suffix-kinds")
+        spans = spans.union(units.where("not again").join(kinds.where("again").select("key"), "key")
+                            .select("dk", "s", (F.col("s") + F.octet_length("content")).alias("e")))
     single = store(map_rows(kinds, strings, "dk long, s long, again boolean, string binary", chunk=1 << 14),
                    "suffix-strings")
-    shared = single.groupBy("string").agg((F.max("again") | elsewhere).alias("many")).where("many").select("string")
-    spans = map_rows(small, scan, "dk long, s long, e long").union(
-        cut.join(kinds.where("again").select("piece"), "piece").select("dk", "s", (F.col("s") + F.octet_length("content")).alias("e"))
-    ).union(single.where("not again").join(shared, "string").select("dk", "s", (F.col("s") + length).alias("e")))
+    shared = single.groupBy("string").agg(repeated.alias("many")).where("many").select("string")
+    spans = spans.union(single.where("not again").join(shared, "string")
+                        .select("dk", "s", (F.col("s") + length).alias("e")))
     return texts, spans
 
 

@@ -98,7 +98,7 @@ def test_simhash_links_every_close_pair(spark):
 def test_suffix_repeats(corpus):
     rows, df = corpus
     expected = brute.op6(rows)
-    for group_rows in (1_024, 1):  # 1: every group is counted in pieces and strings
+    for group_rows in (1_024, 1):  # 1: every group is counted in parts and strings
         same(suffix_repeats.remove_repeats(df, group_rows=group_rows).drop("kept"), expected)
 
 
