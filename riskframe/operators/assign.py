@@ -22,7 +22,8 @@ def cdf_dim(weights: DataFrame, key: str, weight: str, max_window_rows: int = 10
     A configuration-sized dimension (one row per category / profile / day) takes the plain
     whole-frame window (one small task, ``lo`` is the previous row's ``hi`` bit for bit). A
     larger one uses the distributed running totals of :mod:`riskframe.operators.prefix` over
-    weights summed as DECIMAL, so ``lo`` of a row still equals ``hi`` of the row before.
+    weights summed as DECIMAL parts of the largest weight (28 digits after the point, finer than
+    the rounding of a double sum), so ``lo`` of a row still equals ``hi`` of the row before.
     """
     cols = [c for c in weights.columns if c not in (key, weight)]
     if not row_count_at_most(weights, max_window_rows):
@@ -39,7 +40,9 @@ def cdf_dim(weights: DataFrame, key: str, weight: str, max_window_rows: int = 10
 def _cdf_dim_distributed(weights: DataFrame, key: str, weight: str, cols: list[str]) -> DataFrame:
     from riskframe.operators.prefix import running_totals
 
-    exact = weights.withColumn("_wd", F.col(weight).cast("decimal(38,10)"))
+    largest = weights.agg(F.max(weight).cast("double").alias("_wmax"))  # one row
+    part = F.col(weight).cast("double") / F.nullif(F.col("_wmax"), F.lit(0.0))
+    exact = weights.crossJoin(F.broadcast(largest)).withColumn("_wd", part.cast("decimal(38,28)")).drop("_wmax")
     totals = exact.agg(F.sum("_wd").alias("_tot"), F.max(key).alias("_kmax"))  # one row
     rt = running_totals(exact, key, ["_wd"])
     j = rt.crossJoin(F.broadcast(totals))

@@ -12,15 +12,18 @@ in a handful of passes; the loop ends when a bucket holds a single value.
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 
-def exact_quantile(df: DataFrame, col: str, p: float, buckets: int = 4096, max_passes: int = 64) -> float | None:
+def exact_quantile(df: DataFrame, col: str, p: float, buckets: int = 4096, max_passes: int = 64) -> float | int | None:
     """Smallest value v with cume_dist(v) >= p (SQL ``percentile_disc``); NULLs ignored."""
-    vals = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    whole = isinstance(df.schema[col].dataType, IntegralType)
+    vals = df.select(F.col(col).cast("bigint" if whole else "double").alias("_v")).where(F.col("_v").isNotNull())
     vals = vals.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         head = vals.agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()
@@ -34,7 +37,8 @@ def exact_quantile(df: DataFrame, col: str, p: float, buckets: int = 4096, max_p
                 return lo
             width = (hi - lo) / buckets
             in_range = vals.where((F.col("_v") >= F.lit(lo)) & (F.col("_v") <= F.lit(hi)))
-            b = F.least(F.floor((F.col("_v") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1))
+            above = (F.col("_v").cast("decimal(20,0)") - F.lit(Decimal(lo))).cast("double") if whole else F.col("_v") - F.lit(lo)
+            b = F.least(F.floor(above / F.lit(width)), F.lit(buckets - 1))
             rows = (
                 in_range.groupBy(b.alias("b"))
                 .agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))

@@ -36,6 +36,10 @@ def class_counts(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     )
 
 
+#: Copies of one row that are made from one array.
+COPIES_AT_ONCE = 4_096
+
+
 def oversample_ratio(n1: Column, n0: Column, target: float, trigger: float) -> Column:
     """r = target * n0 / (n1 * (1 - target)) when 0 < n1/(n1+n0) < trigger, else NULL (unchanged)."""
     share = n1.cast("double") / (n1 + n0).cast("double")
@@ -44,18 +48,26 @@ def oversample_ratio(n1: Column, n0: Column, target: float, trigger: float) -> C
 
 
 def poisson_count(rate: Column, u: Column) -> Column:
-    """Inverse-CDF Poisson draw: the smallest k with P(X <= k) >= u, as one JVM-side fold over
-    k = 0 .. rate + 40 sqrt(rate) + 40 (the CDF reaches 1.0 in double precision before that)."""
-    top = F.ceil(rate + F.lit(40.0) * F.sqrt(rate) + F.lit(40.0)).cast("int")
-    init = F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("cdf"), F.lit(0).alias("k"))
+    """Inverse-CDF Poisson draw: the smallest k with P(X <= k) >= u, as one JVM-side fold.
+
+    The fold runs over ``rate`` +- (40 sqrt(rate) + 40), outside of which the probabilities are too
+    small to count in double precision. They are kept as logarithms, since exp(-rate) is zero for rates
+    above 745; a fold that does not start at zero takes its first one from Stirling's series."""
+    reach = F.lit(40.0) * F.sqrt(rate) + F.lit(40.0)
+    low = F.floor(rate - reach)
+    first = F.when(low >= 100, low).otherwise(F.lit(0)).cast("bigint")
+    n = F.greatest(low.cast("double"), F.lit(1.0))
+    log_factorial = (n * F.ln(n) - n + F.lit(0.5) * F.ln(F.lit(2 * math.pi) * n) + F.lit(1.0) / (F.lit(12.0) * n)
+                     - F.lit(1.0) / (F.lit(360.0) * n * n * n))
+    start = F.when(first == 0, -rate).otherwise(n * F.ln(rate) - rate - log_factorial)
+    init = F.struct(start.alias("logp"), F.exp(start).alias("cdf"), first.alias("k"))
 
     def step(acc, i):
-        done = acc["cdf"] >= u
-        nxt_p = acc["p"] * rate / (i + F.lit(1)).cast("double")
-        return F.when(done, acc).otherwise(
-            F.struct(nxt_p.alias("p"), (acc["cdf"] + nxt_p).alias("cdf"), (i + F.lit(1)).alias("k")))
+        nxt = acc["logp"] + F.ln(rate) - F.ln((i + F.lit(1)).cast("double"))
+        return F.when(acc["cdf"] >= u, acc).otherwise(
+            F.struct(nxt.alias("logp"), (acc["cdf"] + F.exp(nxt)).alias("cdf"), (i + F.lit(1)).cast("bigint").alias("k")))
 
-    return F.aggregate(F.sequence(F.lit(0), top), init, step)["k"]
+    return F.aggregate(F.sequence(first, F.ceil(rate + reach).cast("bigint")), init, step)["k"]
 
 
 def balance_oversample(df: DataFrame, key: str, label: str = "is_fraud", target: float = 0.3, trigger: float = 0.1,
@@ -79,10 +91,14 @@ def balance_oversample(df: DataFrame, key: str, label: str = "is_fraud", target:
         draw = F.floor(r) + F.when(u < r - F.floor(r), 1).otherwise(0)
     else:
         raise ValueError(f"unknown method {method}")
-    copies = F.when(r.isNull() | (F.col(label) != 1), F.lit(1)).otherwise(draw.cast("int"))
+    copies = F.when(r.isNull() | (F.col(label) != 1), F.lit(1)).otherwise(draw).cast("bigint")
     with_n = df.crossJoin(F.broadcast(stats)).withColumn("_n", copies)
-    return with_n.where(F.col("_n") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop(
-        "_r", "_n", "_u")
+    # in two steps, so no row holds an array of all its copies
+    step = F.lit(COPIES_AT_ONCE).cast("bigint")
+    runs = with_n.where(F.col("_n") > 0).withColumn("_from", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"), step)))
+    until = F.least(F.col("_from") + step - F.lit(1), F.col("_n"))
+    rows = runs.withColumn("copy", F.explode(F.sequence(F.col("_from"), until)))
+    return rows.withColumn("copy", F.col("copy").cast("int")).drop("_r", "_n", "_u", "_from")
 
 
 def spark_sample_oversample(df: DataFrame, label: str = "is_fraud", target: float = 0.3, trigger: float = 0.1,

@@ -15,6 +15,8 @@ the row key (partition-independent); the forest and the preprocessing are saved
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -22,7 +24,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators import encode, metrics, sampling
@@ -60,6 +62,19 @@ def model_frame(txn_df: DataFrame, cfg: DetectorConfig) -> DataFrame:
     return sampling.hash_split(f, cfg.key, cfg.train_fraction, cfg.seed)
 
 
+def has_features() -> Column:
+    """True for rows whose numeric features are all there; one NULL or NaN would spoil the fitted scaler and PCA."""
+    missing = [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in NUMERIC]
+    return ~reduce(or_, missing)
+
+
+def rejected(frame: DataFrame, cfg: DetectorConfig) -> DataFrame:
+    """(key, label, missing): the rows that :func:`has_features` leaves out, with the names of what they lack."""
+    names = F.array_compact(F.array(*[
+        F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.lit(c)) for c in NUMERIC]))
+    return frame.where(~has_features()).select(cfg.key, cfg.label, names.alias("missing"))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in the shared checkpoint folder and cut its lineage.
 
@@ -83,7 +98,7 @@ def preprocessing(cfg: DetectorConfig, n_components: int | None = None) -> Pipel
     return Pipeline(stages=[
         *encode.string_indexers(CATEGORICAL),
         *encode.one_hot_encoders(CATEGORICAL),
-        VectorAssembler(inputCols=NUMERIC + encoded, outputCol="raw_features", handleInvalid="keep"),
+        VectorAssembler(inputCols=NUMERIC + encoded, outputCol="raw_features", handleInvalid="error"),
         StandardScaler(inputCol="raw_features", outputCol="scaled_features", withMean=False, withStd=True),
         PCA(k=k, inputCol="scaled_features", outputCol="features"),
     ])
@@ -150,25 +165,28 @@ class DetectorRun:
     metrics: DataFrame
     cv_metrics: list[float]
     grid: list
+    rejects: DataFrame
 
 
 def run_detector(spark: SparkSession, txn_df: DataFrame, cfg: DetectorConfig | None = None,
                  model_path: str | None = None, predictions_path: str | None = None) -> DetectorRun:
-    """End-to-end detector. The feature frame and the balanced training frame are each
-    checkpointed once; all estimator passes and CV fits read those files."""
+    """End-to-end detector. The feature frame, the balanced training frame and the predictions are
+    each checkpointed once; estimator passes, CV fits, metrics and writes read those files. Rows
+    without all numeric features take no part and are returned as ``rejects``."""
     cfg = cfg or DetectorConfig()
-    frame = checkpointed(model_frame(txn_df, cfg))
+    complete = checkpointed(model_frame(txn_df, cfg))
+    frame = complete.where(has_features())
     train_raw = frame.where(F.col("split") == "train")
     test_raw = frame.where(F.col("split") == "test")
     prep = preprocessing(cfg).fit(train_raw)
     train = checkpointed(balanced_train(prep.transform(train_raw).select(cfg.key, cfg.label, "features"), cfg))
     cv_model, grid = cross_validate(train, cfg)
     model = PipelineModel(stages=[*prep.stages, cv_model.bestModel])
-    scored = score_columns(model.transform(test_raw), cfg)
+    pred = checkpointed(model.transform(test_raw).select(cfg.key, cfg.label, "prediction", "probability"))
+    scored = score_columns(pred, cfg)
     if predictions_path:
         scored.write.mode("overwrite").option("header", "true").csv(f"{predictions_path}/csv")
-        model.transform(test_raw).select(cfg.key, cfg.label, "prediction", "probability").write.mode("overwrite").parquet(
-            f"{predictions_path}/parquet")
+        pred.write.mode("overwrite").parquet(f"{predictions_path}/parquet")
     if model_path:
         model.write().overwrite().save(model_path)
-    return DetectorRun(model, scored, evaluate(scored, cfg), list(cv_model.avgMetrics), grid)
+    return DetectorRun(model, scored, evaluate(scored, cfg), list(cv_model.avgMetrics), grid, rejected(complete, cfg))

@@ -20,10 +20,5 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when it holds at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The answer is remembered per session for the same logical plan (``semanticHash``), so a
-    dimension reused by several queries is counted once."""
-    memo = df.sparkSession.__dict__.setdefault("_riskframe_small", {})
-    key = (df.semanticHash(), max_rows)
-    if key not in memo:
-        memo[key] = row_count_at_most(df, max_rows)
-    return F.broadcast(df) if memo[key] else df
+    Counted on every call, since tables may have grown since the last one."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df

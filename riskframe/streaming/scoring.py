@@ -18,10 +18,12 @@ from riskframe.plans import detector
 
 def scored_stream(spark: SparkSession, source_dir: str, schema, model_path: str,
                   cfg: detector.DetectorConfig | None = None, max_files_per_trigger: int = 64) -> DataFrame:
-    """Streaming DataFrame of (key, label, prediction, fraud_probability) for txn-shaped files."""
+    """Streaming DataFrame of (key, label, prediction, fraud_probability) for txn-shaped files.
+
+    Rows without all numeric features are not scored (see ``detector.has_features``)."""
     cfg = cfg or detector.DetectorConfig()
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
-    frame = detector.model_frame(stream, cfg)
+    frame = detector.model_frame(stream, cfg).where(detector.has_features())
     model = PipelineModel.load(model_path)
     return detector.score_columns(model.transform(frame), cfg)
 

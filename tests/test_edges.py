@@ -178,3 +178,87 @@ def test_smote_with_one_minority_row_gives_none(spark):
 
     points = spark.createDataFrame([(i, [float(i), 1.0], int(i == 3)) for i in range(8)], "id long, v array<double>, y int")
     assert smote(points, "id", "v", "y", 1).collect() == []
+
+
+def test_poisson_counts_at_small_and_large_rates(spark):
+    for rate, draws in ((1.0, 400), (100.0, 400), (800.0, 200), (2_000.0, 100), (100_000.0, 20)):
+        us = spark.createDataFrame([((i + 0.5) / draws,) for i in range(draws)], "u double")
+        ks = [r.k for r in us.select(sampling.poisson_count(F.lit(rate), F.col("u")).alias("k")).collect()]
+        mean = sum(ks) / draws
+        sd = (sum((k - mean) ** 2 for k in ks) / draws) ** 0.5
+        assert abs(mean - rate) < 0.1 * rate ** 0.5 and abs(sd - rate ** 0.5) < 0.1 * rate ** 0.5, (rate, mean, sd)
+
+
+def test_many_copies_of_one_row(spark):
+    df = spark.createDataFrame([(i, 1 if i == 0 else 0, 10.0) for i in range(30_000)], TXN_SCHEMA)
+    out = sampling.balance_oversample(df, "event_id").where("is_fraud = 1").agg(
+        F.count("*").alias("n"), F.min("copy").alias("lo"), F.max("copy").alias("hi"), F.countDistinct("copy").alias("d")).first()
+    assert out.lo == 1 and out.n == out.hi == out.d and out.n > 2 * sampling.COPIES_AT_ONCE
+
+
+def test_tiny_weights_keep_their_intervals_in_the_distributed_path(spark):
+    w = spark.createDataFrame([(f"k{i:02d}", 1e-11) for i in range(20)] + [("z", 1e-9)], "k string, w double")
+    small = {r.k: (r.lo, r.hi) for r in assign.cdf_dim(w, "k", "w").collect()}
+    large = {r.k: (r.lo, r.hi) for r in assign.cdf_dim(w, "k", "w", max_window_rows=5).collect()}
+    assert all(lo < hi for lo, hi in large.values())
+    assert all(abs(a - b) < 1e-12 for k in small for a, b in zip(small[k], large[k]))
+
+
+def test_keys_with_a_long_common_prefix_spread_over_the_buckets(spark):
+    from riskframe.operators import prefix
+
+    keys = [f"Customer#{i:018d}" for i in range(2_000)]
+    df = spark.createDataFrame([(k, 1) for k in keys] + [(None, 1)], "k string, n long")
+    rows = prefix._bucketed(df, "k", 64).groupBy("_bk").count().collect()
+    assert len(rows) == 64 and max(r["count"] for r in rows) < 100
+    totals = {r.k: r.n_before for r in prefix.running_totals(df.where("k is not null"), "k", ["n"]).collect()}
+    assert totals == {k: i for i, k in enumerate(keys)}
+
+
+def test_bigint_quantile_keeps_its_digits(spark):
+    from riskframe.operators.quantile import exact_quantile
+
+    big = 9_007_199_254_740_993
+    df = spark.createDataFrame([(big - 1,), (big,), (big + 1,), (-(1 << 63),), ((1 << 63) - 1,)], "x bigint")
+    assert exact_quantile(df, "x", 0.6) == big
+    assert exact_quantile(df, "x", 1.0) == (1 << 63) - 1
+
+
+def test_report_has_classes_that_are_only_predicted(spark):
+    from riskframe.operators import metrics
+
+    df = spark.createDataFrame([(0, 0), (0, 2), (1, 1)], "is_fraud int, prediction int")
+    rep = {r.cls: r for r in metrics.class_report(df).collect()}
+    assert set(rep) == {0, 1, 2}
+    assert (rep[2].support, rep[2].precision, rep[2].recall, rep[2].f1) == (0, 0.0, 0.0, 0.0)
+    assert abs(metrics.weighted_metrics(df).first()["accuracy"] - 2 / 3) < 1e-12
+
+
+def test_rewrite_drops_partitions_that_are_gone(spark, tmp_path):
+    from riskframe.sources import files
+
+    path = str(tmp_path / "t")
+    both = spark.createDataFrame([(1, "a"), (2, "b")], "x int, p string")
+    one = both.where("p = 'a'")
+    files.write_partitioned(both, path, ["p"])
+    files.write_partitioned(one, path, ["p"], overwrite="dynamic")
+    assert files.read_partitioned(spark, path).count() == 2
+    files.write_partitioned(one, path, ["p"])
+    assert [r.p for r in files.read_partitioned(spark, path).collect()] == ["a"]
+
+
+def test_rows_without_features_are_rejected_and_the_rest_is_modelled(spark):
+    from conftest import SF_CHECK
+    from riskframe.plans import detector
+    from riskframe.sources.tables import txn
+
+    t = txn(spark, SF_CHECK)
+    gone = [r.event_id for r in t.select("event_id").orderBy("event_id").limit(2).collect()]
+    holes = t.withColumn("amt", F.when(F.col("event_id") != gone[0], F.col("amt"))).withColumn(
+        "zip", F.when(F.col("event_id") == gone[1], F.lit("no zip")).otherwise(F.col("zip")))
+    run = detector.run_detector(spark, holes, detector.DetectorConfig(num_trees=[3], max_depth=[2, 3]))
+    rejects = {r.event_id: r.missing for r in run.rejects.collect()}
+    assert set(gone) <= set(rejects)
+    assert "amt" in rejects[gone[0]] and rejects[gone[1]] == ["zip_numeric"]
+    bad = run.scored.where(F.isnan("fraud_probability") | F.col("event_id").isin(gone)).count()
+    assert bad == 0 and run.scored.count() > 0
