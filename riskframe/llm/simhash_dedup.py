@@ -20,10 +20,10 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import map_rows, store
+from riskframe.llm.common import map_rows, row_key, store
 from riskframe.llm.components import connected_components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -76,14 +76,18 @@ def linked_pairs(distinct: DataFrame, max_bits: int) -> DataFrame:
             .select("a", "b").distinct())
 
 
+def rooted(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, least, root) of ``distinct`` (fp, least): root is the same for all fingerprints of a component."""
+    roots = connected_components(linked_pairs(distinct.select("fp"), max_bits))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(id_col, fingerprint, component_id): component_id is the smallest id reachable over links."""
     prints = store(fingerprints(docs, width, id_col, text_col), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = connected_components(linked_pairs(distinct.select("fp"), max_bits))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = rooted(prints.groupBy("fp").agg(F.min("id").alias("least")), max_bits)
     heads = named.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = named.join(heads, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(F.col("id").alias(id_col),
@@ -91,11 +95,11 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, id_col:
 
 
 def keep_first(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
-    """One row of ``docs`` (all columns) of each component: the one with the smallest id. Rows that repeat that id
-    count as one (the one whose text has the smallest hash); a component of null ids keeps one row."""
-    found = near_duplicates(docs, width, max_bits)
-    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    heads = heads.groupBy("doc_id").agg(F.min("fingerprint").alias("__fp")).select(F.col("doc_id").alias("__id"))
-    kept = docs.join(heads, docs["doc_id"].eqNullSafe(heads["__id"]), "left_semi")
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return kept.withColumn("__n", F.row_number().over(one)).where("__n = 1").drop("__n")
+    """One row of ``docs`` (all columns) of each component: the one with the smallest id, null ids last. Of several
+    texts under that id the one with the smallest row key is kept; rows that repeat id and text count as one."""
+    none = F.col("doc_id").isNull()
+    rows = docs.withColumn("__row", F.struct(none.alias("none"), F.col("doc_id").alias("id"), row_key().alias("key")))
+    prints = store(fingerprints(rows, width, "__row"), "fingerprints")
+    named = rooted(prints.groupBy("fp").agg(F.min("id").alias("least")), max_bits)
+    heads = named.groupBy("root").agg(F.min("least").alias("__row")).select("__row")
+    return rows.join(heads, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")

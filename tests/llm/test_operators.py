@@ -95,6 +95,38 @@ def test_simhash_links_every_close_pair(spark):
     same(simhash_dedup.linked_pairs(df, 4), close)
 
 
+def test_keep_first_takes_one_row_of_each_component(spark):
+    """Several texts under a null id, a null-id copy of a text with an id, one id on two texts, repeated rows."""
+    rnd = random.Random(9)
+    a, b, c, d, e, f = (" ".join(f"w{rnd.randrange(10_000)}" for _ in range(60)) for _ in range(6))
+    rows = [(None, a), (None, b), (None, c), (None, c), (None, d), (4, d), (7, d), (2, e), (2, f), (2, f), (9, f),
+            (None, None), (None, "")]
+    df = spark.createDataFrame([(i, t, "s", "__row") for i, t in rows], "doc_id long, text string, source string, id string")
+    kept = simhash_dedup.keep_first(df.repartition(5))
+    assert kept.columns == df.columns
+    got = [(r.doc_id, r.text or "") for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(None, a), (None, b), (None, c), (4, d), (2, e), (2, f), (None, "")], key=str)
+    prints = {(i, t or ""): p for (i, t), (_, p, _) in zip(rows, brute.op2(rows))}
+    assert len({prints[r] for r in got}) == len(got)
+
+
+def test_keep_first(corpus):
+    rows, df = corpus
+    kept = simhash_dedup.keep_first(df).select("doc_id", "text").collect()
+    assert {tuple(r) for r in kept} <= set(rows)
+    prints = [int(p, 16) for _, p, _ in brute.op2(rows)]
+    alike = lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4
+    comp = {}
+    for i in range(len(rows)):
+        near = {comp[j] for j in range(i) if alike(i, j)}
+        comp = {j: i if k in near else k for j, k in comp.items()} | {i: i}
+    groups = {}
+    for i, k in comp.items():
+        groups.setdefault(k, []).append(rows[i])
+    least = [min((d for d, _ in g if d is not None), default=None) for g in groups.values()]
+    assert sorted((r.doc_id for r in kept), key=str) == sorted(least, key=str)
+
+
 def test_suffix_repeats(corpus):
     rows, df = corpus
     expected = brute.op6(rows)
