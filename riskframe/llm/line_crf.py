@@ -6,11 +6,13 @@ neighbouring labels. Weak line labels are the document's label. The field is fit
 steps (Adam) on the exact likelihood, computed by forward-backward passes. A document's score is
 the mean of its lines' marginal probabilities of "good", weighted by line length.
 
-Fitting takes at most ``sample_docs`` labelled documents, those with the smallest hashed ids, whole
-texts, and of them at most ``sample_lines`` lines in all (whole documents, in hash order). Scoring
-covers every row. Null and empty texts are one empty line and get a score like any other. Labels
-that are null, or whose id is null, are not used; an id with several labels counts by the largest. With no
-labels at all every score is 0.5. Repeated rows give repeated result rows. Empty table: no rows.
+Fitting takes at most ``sample_docs`` labelled documents, those with the smallest hashed ids, and of
+them at most ``sample_lines`` lines in all, in hash order. A text of more than a twentieth of
+``sample_lines`` gives the fit only its first lines up to that number, so no text ends or fills the
+sample; the document that fills it gives what is left. Scoring covers every row, whole texts. Null
+and empty texts are one empty line and get a score like any other. Labels that are null, or whose id
+is null or not in the table, are not used; an id with several labels counts by the largest. With no
+labelled document at all every score is 0.5. Repeated rows give repeated result rows. Empty table: no rows.
 Further columns are ignored; nothing but the text enters a score.
 """
 
@@ -28,6 +30,10 @@ from riskframe.llm.common import map_rows
 
 SAMPLE_DOCS = 6_000
 SAMPLE_LINES = 120_000
+#: A text gives the fit at most this part of the sample's lines.
+SHARE = 20
+#: Chains are fitted in batches of at most this many padded lines (one chain may be longer).
+BATCH_LINES = 1 << 19
 
 # fixed values: byte classes
 UPPER = bytes(range(65, 91))
@@ -85,8 +91,9 @@ def marginals(scores: np.ndarray, trans: np.ndarray, lengths: np.ndarray) -> tup
     return good, pairs, float(log_z.sum())
 
 
-def fit(chains: list[tuple[np.ndarray, int]], steps: int = 150, rate: float = 0.1, decay: float = 1e-3) -> dict:
-    """Weights from (features, label) of documents; deterministic."""
+def fit(chains: list[tuple[np.ndarray, int]], steps: int = 150, rate: float = 0.1, decay: float = 1e-3,
+        batch_lines: int = BATCH_LINES) -> dict:
+    """Weights from (features, label) of documents; deterministic. Chains are padded in batches of similar length."""
     chains = sorted(chains, key=lambda c: -len(c[0]))
     lengths = np.array([len(x) for x, _ in chains])
     labels = np.array([y for _, y in chains], float)
@@ -95,15 +102,23 @@ def fit(chains: list[tuple[np.ndarray, int]], steps: int = 150, rate: float = 0.
     mean[std < 1e-9], std[std < 1e-9] = 0.0, 1.0  # the constant stays
     flat = (flat - mean) / std
     row, col = np.repeat(np.arange(len(lengths)), lengths), np.concatenate([np.arange(n) for n in lengths])
+    batches, ends = [0], np.r_[0, np.cumsum(lengths)]
+    while batches[-1] < len(lengths):
+        batches.append(min(len(lengths), batches[-1] + max(1, batch_lines // int(lengths[batches[-1]]))))
     y = np.repeat(labels, lengths)
     truth = np.array([[((lengths - 1) * (1 - labels)).sum(), 0.0], [0.0, ((lengths - 1) * labels).sum()]])
     w, total = np.zeros(flat.shape[1] + 4), float(len(y))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
-        padded = np.zeros((len(lengths), lengths[0]))
-        padded[row, col] = flat @ w[:-4]
-        good, pairs, _ = marginals(padded, w[-4:].reshape(2, 2), lengths)
-        grad = np.r_[flat.T @ (y - good[row, col]), (truth - pairs).ravel()] / total - decay * w
+        scores, good, pairs = flat @ w[:-4], np.zeros(len(y)), np.zeros((2, 2))
+        for a, b in zip(batches, batches[1:]):
+            own = slice(ends[a], ends[b])
+            at = row[own] - a, col[own]
+            padded = np.zeros((b - a, lengths[a]))
+            padded[at] = scores[own]
+            part, moves, _ = marginals(padded, w[-4:].reshape(2, 2), lengths[a:b])
+            good[own], pairs = part[at], pairs + moves
+        grad = np.r_[flat.T @ (y - good), (truth - pairs).ravel()] / total - decay * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         w = w + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return {"mean": mean, "std": std, "w": w[:-4], "trans": w[-4:].reshape(2, 2)}
@@ -119,24 +134,28 @@ def score(model: dict | None, text: bytes) -> float:
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, sample_docs: int = SAMPLE_DOCS,
           sample_lines: int = SAMPLE_LINES) -> dict | None:
-    """The field fitted to labelled rows for which ``usable`` (on doc_id) holds."""
+    """The field fitted to labelled rows for which ``usable`` (on doc_id) holds; None only if there are none."""
     marks = (labels.where("doc_id is not null and quality is not null").where(usable).groupBy("doc_id")
-             .agg(F.max("quality").alias("quality")).withColumn("h", F.md5(F.col("doc_id").cast("string")))
-             .orderBy("h", "doc_id").limit(sample_docs))
+             .agg(F.max("quality").alias("quality")).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+             .withColumn("h", F.md5(F.col("doc_id").cast("string"))).orderBy("h", "doc_id").limit(sample_docs))
+    longest = max(1, sample_lines // SHARE)
     src = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(marks), "doc_id")
 
     def run(rows: Iterator[dict]) -> Iterator[tuple]:
         for row in rows:
-            x, _ = text_features(row["text"] or b"")
+            # one line more, as the last line's features look at the next
+            head = (row["text"] or b"").split(b"\n", longest + 1)[:longest + 1]
+            x = text_features(b"\n".join(head))[0][:longest]
             yield row["h"], int(row["quality"]), len(x), x.astype("<f4").tobytes()
 
     feats = map_rows(src, run, "h string, y int, n int, x binary").orderBy("h", "n", "x")
     chains, lines = [], 0
     for r in feats.toLocalIterator():
-        if lines + r["n"] > sample_lines:
+        n = min(r["n"], sample_lines - lines)
+        lines += n
+        chains.append((np.frombuffer(r["x"], "<f4").reshape(r["n"], -1)[:n].astype(float), r["y"]))
+        if lines >= sample_lines:
             break
-        lines += r["n"]
-        chains.append((np.frombuffer(r["x"], "<f4").reshape(r["n"], -1).astype(float), r["y"]))
     return fit(chains) if chains else None
 
 

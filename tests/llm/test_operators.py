@@ -266,6 +266,37 @@ def test_quality_holds_out(spark):
     assert right >= 0.9, right
 
 
+def test_quality_fit_goes_on_after_a_long_text(spark):
+    """A text of more lines than the sample comes first in hash order, and labels without a document before that."""
+    import hashlib
+
+    rnd = random.Random(4)
+    ids = sorted(range(200), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    good = lambda n: "\n".join(" ".join(f"{rnd.choice('abcdef')}word{rnd.randrange(99)}" for _ in range(12)) for _ in range(n))
+    bad = lambda n: "\n".join("#### 77 %% 77" for _ in range(n))
+    lost, long, rest = ids[:30], ids[30], ids[31:]
+    rows = [(long, bad(900))] + [(i, good(5) if i % 2 else bad(5)) for i in rest]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 0) for i in [*lost, long]] + [(i, i % 2) for i in rest], "doc_id long, quality int")
+    fitted = line_crf.train(docs, labels, F.lit(True), sample_docs=100, sample_lines=600)
+    assert fitted is not None
+    for i, t in rows:
+        assert (line_crf.score(fitted, t.encode()) >= 0.7) == (i != long and i % 2 == 1)
+    assert line_crf.train(docs, labels.where(F.col("doc_id") == long), F.lit(True), sample_lines=600) is not None
+    assert line_crf.train(docs, labels, F.lit(True), sample_docs=30) is not None
+
+
+def test_quality_fit_in_batches():
+    import numpy as np
+
+    rnd = np.random.default_rng(6)
+    chains = [(np.hstack([rnd.normal(i % 2, 1, (n, 3)), np.ones((n, 1))]), i % 2) for i, n in enumerate((1, 9, 4, 30, 2, 9, 7))]
+    whole = line_crf.fit(chains, steps=40)
+    for lines in (1, 20, 64):
+        part = line_crf.fit(chains, steps=40, batch_lines=lines)
+        assert np.allclose(part["w"], whole["w"]) and np.allclose(part["trans"], whole["trans"])
+
+
 def test_marginals_equal_enumeration():
     import itertools
 
