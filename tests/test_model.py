@@ -39,3 +39,27 @@ def test_detector_end_to_end_metrics(spark):
     assert set(m) == {"accuracy", "f1", "precision", "recall", "auc_roc", "auc_pr"}
     assert all(0.0 <= v <= 1.0 for v in m.values())
     assert m["auc_roc"] > 0.8
+
+
+def test_searches_run_the_whole_grid(spark, monkeypatch):
+    """Both registered searches fit the grid of 50/100 trees and depths 5/10/15 over three folds (the fits are recorded)."""
+    from types import SimpleNamespace
+
+    from __spark_entry__ import queries
+    from conftest import SF_SMALL
+    from riskframe.plans import detector
+
+    met = []
+
+    def grid_only(train, cfg):
+        grid = detector.ParamGridBuilder().addGrid(detector.forest(cfg).numTrees, cfg.num_trees).addGrid(
+            detector.forest(cfg).maxDepth, cfg.max_depth).build()
+        met.append((cfg.num_trees, cfg.max_depth, cfg.folds))
+        best = detector.forest(cfg, 2, 2).fit(train)
+        return SimpleNamespace(avgMetrics=[0.5] * len(grid), bestModel=best), grid
+
+    monkeypatch.setattr(detector, "cross_validate", grid_only)
+    rows = queries()["cv_search"](spark, SF_SMALL).collect()
+    assert sorted((r.num_trees, r.max_depth) for r in rows) == [(t, d) for t in (50, 100) for d in (5, 10, 15)]
+    queries()["detector_e2e"](spark, SF_SMALL)
+    assert met == [([50, 100], [5, 10, 15], 3)] * 2
