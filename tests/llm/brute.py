@@ -180,3 +180,102 @@ def op10(docs, end=2):
         out.append((d, start, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))))
         start += len(ids)
     return out
+
+
+def op11(docs, signatures, phrases, strength, name_tier, side=32):
+    out = []
+    for d, t in docs:
+        w = bench_words(t)
+        base = [(i, label) for i in range(len(w)) for p, label in phrases if tuple(w[i:i + len(p)]) == p]
+        found = []
+        for i, word in enumerate(w):
+            win = " " + "".join(x + " " for x in w[max(0, i - side):i]) + "@" + " ".join(w[i:i + side + 1]) + " "
+            for rank, tier, label, anchor, keyword, pattern in signatures:
+                m = re.search(pattern, win) if word == anchor and keyword in win else None
+                if m:
+                    first = max(0, i - side) + win[:m.start()].count(" ")
+                    found.append((first, first + m.group().count(" ") - 2, tier, rank, label))
+        kept = []
+        for e in found:
+            inside = any(o != e and o[0] <= e[0] and o[1] >= e[1] and o[2] <= e[2]
+                         and (o[:2] != e[:2] or o[2:4] < e[2:4]) for o in found)
+            crossed = any(o[2] < e[2] and (o[0] <= e[0] <= o[1] or o[0] <= e[1] <= o[1]) for o in found)
+            if not inside and not crossed:
+                kept.append(e)
+        join = lambda x: ",".join(sorted(set(x)))
+        names, at = [b for _, b in base], [i for i, _ in base]
+        score = max([strength[e[2]] for e in kept] + ([strength[name_tier]] if base else []), default=0.0)
+        out.append((d, len(w), len(base), min(at, default=None), max(at, default=None), join(names),
+                    join(names + [e[4] for e in kept]), score, len(kept)))
+    return out
+
+
+LETTERS = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def one_apart(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    return a[i + 1:] == b[i + 1:] if len(a) == len(b) else a[i + 1:] == b[i:] if len(a) > len(b) else a[i:] == b[i + 1:]
+
+
+def op12(docs):
+    counts = Counter()
+    for d, t in docs:
+        for r in LETTERS.findall(t or ""):
+            r = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in r)
+            h = zlib.crc32(f"{'' if d is None else d}:{r}".encode())
+            counts[r[:h % len(r)] + r[h % len(r) + 1:] if h % 199 == 0 else r] += 1
+    n = {w: c for w, c in counts.items() if len(w) >= 6 and c >= 5}
+    drops = defaultdict(set)  # words by what is left without one code point, itself included
+    for w in n:
+        for x in {w} | {w[:i] + w[i + 1:] for i in range(len(w))}:
+            drops[x].add(w)
+    near = {w: {v for x in {w} | {w[:i] + w[i + 1:] for i in range(len(w))} for v in drops[x] if one_apart(w, v)} for w in n}
+    form = {}
+    for w, vs in near.items():
+        best = min(((-n[v], v) for v in vs), default=None)
+        form[w] = best[1] if best and -best[0] >= 5 * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None))
+    return out
+
+
+def op13(docs, labels):
+    """``docs``: (doc_id, text, lang); ``labels``: (doc_id, quality, toxic)."""
+    from itertools import permutations
+
+    last = 1 << 63
+    key = lambda d: last if d is None else d
+    good, toxic = {d for d, q, _ in labels if q == 1}, {d for d, _, x in labels if x == 1}
+    first = {}
+    for d, t, _ in docs:
+        first[t or ""] = min(first.get(t or "", last), key(d))
+    parts = defaultdict(list)
+    for d, t, lang in docs:
+        t = t or ""
+        w = words(t)
+        fails = {c for c, f in zip("ABCDE", (
+            len(w) < 200, 100 * len(set(w)) < 50 * len(w), 100 * len(re.findall("[A-Z]", t)) > 3 * len(t),
+            re.search("[#$%&*|]", t), key(d) > first[t])) if f}
+        parts[lang or ""].append((fails, d is not None and d in good, d is not None and d in toxic))
+    out = []
+    for part, rows in parts.items():
+        worth, lines = Counter(), []
+        for order in permutations("ABCDE"):
+            left = rows
+            for step, f in enumerate(order):
+                gone = [r for r in left if f in r[0]]
+                left = [r for r in left if f not in r[0]]
+                worth[f] += len(gone)
+                lines.append((part, "".join(order), step + 1, len(left), len(gone), sum(f in r[0] for r in rows) - len(gone),
+                              sum(r[0] == {f} for r in rows), sum(r[1] for r in gone), sum(r[2] for r in gone)))
+        out += [(*x, worth[x[1][x[2] - 1]]) for x in lines]
+    return out
