@@ -68,13 +68,13 @@ apache-2.0 | 0 | perpetual | each contributor @hereby grants to you a perpetual
 apache-2.0 | 1 | identifier apache 2 | spdx @license identifier apache 2 0
 apache-2.0 | 1 | apache org | apache org @licenses license 2 0(?: txt| html)?
 apache-2.0 | 1 | apache 2 0 | opensource org @licenses apache 2 0
-apache-2.0 | 2 | apache | (?:the )?apache (?:software )?@license (?:version |v )?2(?: 0)?
+apache-2.0 | 2 | apache | (?:the )?apache (?:software )?@license (?:version |v ?)?2(?: 0)?
 apache-2.0 | 2 | apache | (?:the )?apache (?:software )?@license v2(?: 0)?
 apache-2.0 | 2 | apache | apache (?:version )?2(?: 0)? @license
 apache-2.0 | 2 | apache | apache (?:v2|asl2)(?: 0)? @license
 apache-2.0 | 2 | asl 2 | @license asl 2 0
 apache-1.1 | 1 | identifier apache 1 | spdx @license identifier apache 1 1
-apache-1.1 | 2 | apache | (?:the )?apache (?:software )?@license (?:version |v )?1 1
+apache-1.1 | 2 | apache | (?:the )?apache (?:software )?@license (?:version |v ?)?1 1
 apache-1.1 | 0 | apache software foundation | this product includes software developed by the apache software foundation(?: [^ ]+){0,20} @copyright
 apache | 2 | under | @licensed under (?:the )?apache
 apache | 3 | apache | (?:the )?apache (?:software )?@license
@@ -87,7 +87,7 @@ gpl-3.0 | 1 | gpl 3 0 | gnu org @licenses gpl 3 0(?: en)?(?: html| txt)?
 gpl-3.0 | 0 | copyleft | the gnu general public license is a free @copyleft license for software and other kinds of works
 gpl-3.0 | 2 | general public | (?:the )?gnu general public @license (?:version |v )3(?: 0)?
 gpl-3.0 | 2 | general public | (?:the )?gnu general public @license v3(?: 0)?
-gpl-3.0 | 2 | gpl | (?:gnu )?@gpl (?:version |v )?3(?: 0)?
+gpl-3.0 | 2 | gpl | (?:gnu )?@gpl (?:version |v ?)?3(?: 0)?
 gpl-3.0 | 2 | gplv3 | (?:gnu )?@gplv3
 gpl-3.0 | 2 | gpl3 | (?:gnu )?@gpl3
 gpl-2.0-or-later | 1 | gpl 2 0 | spdx @license identifier gpl 2 0 or later
@@ -97,7 +97,7 @@ gpl-2.0 | 1 | gpl 2 0 | spdx @license identifier gpl 2 0(?: only)?
 gpl-2.0 | 1 | gpl 2 0 | gnu org @licenses (?:old licenses )?gpl 2 0(?: html| txt)?
 gpl-2.0 | 2 | general public | (?:the )?gnu general public @license (?:version |v )2(?: 0)?
 gpl-2.0 | 2 | general public | (?:the )?gnu general public @license v2(?: 0)?
-gpl-2.0 | 2 | gpl | (?:gnu )?@gpl (?:version |v )?2(?: 0)?
+gpl-2.0 | 2 | gpl | (?:gnu )?@gpl (?:version |v ?)?2(?: 0)?
 gpl-2.0 | 2 | gplv2 | (?:gnu )?@gplv2
 gpl-2.0 | 2 | gpl2 | (?:gnu )?@gpl2
 gpl-1.0 | 1 | gpl 1 0 | spdx @license identifier gpl 1 0(?: only| or later)?
@@ -113,23 +113,23 @@ gpl | 3 | general public | (?:the )?(?:gnu )?general public @licence
 gpl | 3 | gpl | (?:gnu )?@gpl
 lgpl-3.0 | 1 | lgpl 3 0 | spdx @license identifier lgpl 3 0(?: only| or later)?
 lgpl-3.0 | 1 | lgpl 3 0 | gnu org @licenses lgpl 3 0(?: en)?(?: html| txt)?
-lgpl-3.0 | 2 | lesser general public | (?:the )?gnu lesser general public @license (?:version |v )?3(?: 0)?
-lgpl-3.0 | 2 | lgpl | (?:gnu )?@lgpl (?:version |v )?3(?: 0)?
+lgpl-3.0 | 2 | lesser general public | (?:the )?gnu lesser general public @license (?:version |v ?)?3(?: 0)?
+lgpl-3.0 | 2 | lgpl | (?:gnu )?@lgpl (?:version |v ?)?3(?: 0)?
 lgpl-3.0 | 2 | lgplv3 | (?:gnu )?@lgplv3
 lgpl-2.1 | 1 | lgpl 2 1 | spdx @license identifier lgpl 2 1(?: only| or later)?
 lgpl-2.1 | 1 | lgpl 2 1 | gnu org @licenses (?:old licenses )?lgpl 2 1(?: en)?(?: html| txt)?
-lgpl-2.1 | 2 | lesser general public | (?:the )?gnu lesser general public @license (?:version |v )?2 1
-lgpl-2.1 | 2 | lgpl | (?:gnu )?@lgpl (?:version |v )?2 1
+lgpl-2.1 | 2 | lesser general public | (?:the )?gnu lesser general public @license (?:version |v ?)?2 1
+lgpl-2.1 | 2 | lgpl | (?:gnu )?@lgpl (?:version |v ?)?2 1
 lgpl-2.0 | 1 | lgpl 2 0 | spdx @license identifier lgpl 2 0(?: only| or later)?
-lgpl-2.0 | 2 | library general public | (?:the )?gnu library general public @license(?: (?:version |v )?2(?: 0)?)?
+lgpl-2.0 | 2 | library general public | (?:the )?gnu library general public @license(?: (?:version |v ?)?2(?: 0)?)?
 lgpl-2.0 | 2 | lgplv2 | (?:gnu )?@lgplv2
 lgpl | 2 | lesser | (?:the )?(?:gnu )?lesser general public @license
 lgpl | 3 | lgpl | (?:gnu )?@lgpl
 agpl-3.0 | 1 | agpl 3 0 | spdx @license identifier agpl 3 0(?: only| or later)?
 agpl-3.0 | 1 | agpl 3 0 | gnu org @licenses agpl 3 0(?: en)?(?: html| txt)?
-agpl-3.0 | 2 | affero general public | (?:the )?gnu affero general public @license (?:version |v )?3(?: 0)?
+agpl-3.0 | 2 | affero general public | (?:the )?gnu affero general public @license (?:version |v ?)?3(?: 0)?
 agpl-3.0 | 2 | agplv3 | (?:gnu )?@agplv3
-agpl-3.0 | 2 | agpl | (?:gnu )?@agpl (?:version |v )?3(?: 0)?
+agpl-3.0 | 2 | agpl | (?:gnu )?@agpl (?:version |v ?)?3(?: 0)?
 agpl | 2 | affero | (?:the )?(?:gnu )?affero general public @license
 agpl | 3 | agpl | (?:gnu )?@agpl
 gfdl | 0 | documentation | under the terms of the gnu free documentation @license version 1 [123]
@@ -137,26 +137,26 @@ gfdl | 1 | gfdl | spdx @license identifier gfdl 1 [123](?: only| or later)?
 gfdl | 3 | free documentation | (?:the )?(?:gnu )?free documentation @license
 mpl-2.0 | 0 | mozilla | this source code form is subject to the terms of the mozilla public @license v 2 0
 mpl-2.0 | 1 | identifier mpl 2 | spdx @license identifier mpl 2 0
-mpl-2.0 | 2 | mozilla public | (?:the )?mozilla public @license (?:version |v )?2(?: 0)?
+mpl-2.0 | 2 | mozilla public | (?:the )?mozilla public @license (?:version |v ?)?2(?: 0)?
 mpl-1.1 | 1 | identifier mpl 1 | spdx @license identifier mpl 1 1
-mpl-1.1 | 2 | mozilla public | (?:the )?mozilla public @license (?:version |v )?1 1
-mpl-1.0 | 2 | mozilla public | (?:the )?mozilla public @license (?:version |v )?1 0
+mpl-1.1 | 2 | mozilla public | (?:the )?mozilla public @license (?:version |v ?)?1 1
+mpl-1.0 | 2 | mozilla public | (?:the )?mozilla public @license (?:version |v ?)?1 0
 mpl | 3 | mozilla | (?:the )?mozilla public @license
 npl | 2 | netscape | (?:the )?netscape public @license(?: version 1 [01])?
 epl-2.0 | 1 | identifier epl 2 | spdx @license identifier epl 2 0
-epl-2.0 | 2 | eclipse public | (?:the )?eclipse public @license (?:version |v )?2(?: 0)?
+epl-2.0 | 2 | eclipse public | (?:the )?eclipse public @license (?:version |v ?)?2(?: 0)?
 epl-1.0 | 1 | identifier epl 1 | spdx @license identifier epl 1 0
-epl-1.0 | 2 | eclipse public | (?:the )?eclipse public @license (?:version |v )?1(?: 0)?
+epl-1.0 | 2 | eclipse public | (?:the )?eclipse public @license (?:version |v ?)?1(?: 0)?
 epl | 3 | eclipse | (?:the )?eclipse public @license
-edl-1.0 | 2 | eclipse distribution | (?:the )?eclipse distribution @license(?: (?:version |v )?1 0)?
-cddl-1.1 | 2 | common development | (?:the )?common development and distribution @license (?:version |v )?1 1
+edl-1.0 | 2 | eclipse distribution | (?:the )?eclipse distribution @license(?: (?:version |v ?)?1 0)?
+cddl-1.1 | 2 | common development | (?:the )?common development and distribution @license (?:version |v ?)?1 1
 cddl-1.0 | 1 | cddl 1 0 | spdx @license identifier cddl 1 0
-cddl-1.0 | 2 | common development | (?:the )?common development and distribution @license (?:version |v )?1 0
+cddl-1.0 | 2 | common development | (?:the )?common development and distribution @license (?:version |v ?)?1 0
 cddl | 3 | common development | (?:the )?common development and distribution @license
 cddl | 3 | cddl | cddl @license
-cpl-1.0 | 2 | common public | (?:the )?common public @license(?: (?:version |v )?1 0)?
-ipl-1.0 | 2 | ibm public | (?:the )?ibm public @license(?: (?:version |v )?1 0)?
-cpal-1.0 | 2 | common public attribution | (?:the )?common public attribution @license(?: (?:version |v )?1 0)?
+cpl-1.0 | 2 | common public | (?:the )?common public @license(?: (?:version |v ?)?1 0)?
+ipl-1.0 | 2 | ibm public | (?:the )?ibm public @license(?: (?:version |v ?)?1 0)?
+cpal-1.0 | 2 | common public attribution | (?:the )?common public attribution @license(?: (?:version |v ?)?1 0)?
 cc0-1.0 | 1 | identifier cc0 | spdx @license identifier cc0 1 0
 cc0-1.0 | 0 | public | dedicated (?:the |this )?(?:[^ ]+ ){0,12}to the public @domain (?:worldwide )?by waiving all of (?:his|her|their|its)
 cc0-1.0 | 2 | cc0 | creative @commons (?:cc0|zero)(?: 1 0)?
@@ -209,41 +209,41 @@ bsl-1.0 | 1 | identifier bsl | spdx @license identifier bsl 1 0
 bsl-1.0 | 1 | boost org | boost org license 1 0(?: txt)?(?: [^ ]+){0,8} @copyright
 bsl-1.0 | 3 | boost | (?:the )?boost (?:software )?@license
 artistic-2.0 | 1 | artistic 2 | spdx @license identifier artistic 2 0
-artistic-2.0 | 2 | artistic | (?:the )?artistic @license (?:version |v )?2(?: 0)?
+artistic-2.0 | 2 | artistic | (?:the )?artistic @license (?:version |v ?)?2(?: 0)?
 artistic-1.0 | 1 | artistic 1 | spdx @license identifier artistic 1 0(?: perl)?
-artistic-1.0 | 2 | artistic | (?:the )?artistic @license (?:version |v )?1(?: 0)?
+artistic-1.0 | 2 | artistic | (?:the )?artistic @license (?:version |v ?)?1(?: 0)?
 artistic | 3 | artistic | (?:the )?(?:perl )?artistic @license
 psf-2.0 | 1 | identifier p | spdx @license identifier (?:psf|python) 2 0
 psf-2.0 | 2 | python software foundation | (?:the )?python software foundation @license(?: version 2)?
 psf-2.0 | 3 | python | (?:the )?(?:python|psf) @license
-php-3.01 | 2 | php | (?:the )?php @license(?: (?:version |v )?3 0 ?1?)?
+php-3.01 | 2 | php | (?:the )?php @license(?: (?:version |v ?)?3 0 ?1?)?
 ruby | 3 | ruby | (?:the )?ruby(?: s)? @license
 perl | 2 | perl | under the same (?:terms|license) as perl(?: itself)?(?: [^ ]+){0,12} @copyright
 openssl | 2 | openssl | (?:the )?openssl (?:and ssleay )?@license
 ncsa | 2 | ncsa | (?:the )?(?:university of illinois )?ncsa (?:open source )?@license
-ecl-2.0 | 2 | educational community | (?:the )?educational community @license(?: (?:version |v )?2 0)?
-afl-3.0 | 2 | academic free | (?:the )?academic free @license(?: (?:version |v )?3 0)?
-osl-3.0 | 2 | open software | (?:the )?open software @license(?: (?:version |v )?3 0)?
+ecl-2.0 | 2 | educational community | (?:the )?educational community @license(?: (?:version |v ?)?2 0)?
+afl-3.0 | 2 | academic free | (?:the )?academic free @license(?: (?:version |v ?)?3 0)?
+osl-3.0 | 2 | open software | (?:the )?open software @license(?: (?:version |v ?)?3 0)?
 eupl-1.2 | 1 | eupl | spdx @license identifier eupl 1 [12]
-eupl-1.2 | 2 | european union public | (?:the )?european union public @licen[cs]e(?: (?:version |v )?1 2)?
+eupl-1.2 | 2 | european union public | (?:the )?european union public @licen[cs]e(?: (?:version |v ?)?1 2)?
 ofl-1.1 | 1 | ofl | spdx @license identifier ofl 1 1
-ofl-1.1 | 2 | sil open font | (?:the )?sil open font @license(?: (?:version |v )?1 1)?
+ofl-1.1 | 2 | sil open font | (?:the )?sil open font @license(?: (?:version |v ?)?1 1)?
 ofl-1.1 | 3 | open font | (?:the )?open font @license
 ms-pl | 2 | microsoft public | (?:the )?microsoft public @license(?: ms pl)?
 ms-rl | 2 | microsoft reciprocal | (?:the )?microsoft reciprocal @license(?: ms rl)?
-upl-1.0 | 2 | universal permissive | (?:the )?universal permissive @license(?: (?:version |v )?1 0)?
-cecill-2.1 | 2 | cecill | (?:the )?cecill(?: [bc])?(?: (?:version |v )?2(?: [01])?)? @license
-mulanpsl-2.0 | 2 | mulan | (?:the )?mulan (?:permissive software|psl)(?: v2)? @license(?: (?:version |v )?2)?
+upl-1.0 | 2 | universal permissive | (?:the )?universal permissive @license(?: (?:version |v ?)?1 0)?
+cecill-2.1 | 2 | cecill | (?:the )?cecill(?: [bc])?(?: (?:version |v ?)?2(?: [01])?)? @license
+mulanpsl-2.0 | 2 | mulan | (?:the )?mulan (?:permissive software|psl)(?: v2)? @license(?: (?:version |v ?)?2)?
 postgresql | 2 | postgresql | (?:the )?postgresql @license
 curl | 2 | curl | (?:the )?curl @license
 vim | 2 | vim | (?:the )?vim @license
 w3c | 2 | w3c | (?:the )?w3c (?:software )?(?:notice and )?@license
 unicode | 2 | unicode | (?:the )?unicode (?:inc )?@license(?: agreement)?
-zpl-2.1 | 2 | zope | (?:the )?zope public @license(?: (?:version |v )?2 [01])?
-qpl-1.0 | 2 | q public | (?:the )?q public @license(?: (?:version |v )?1 0)?
+zpl-2.1 | 2 | zope | (?:the )?zope public @license(?: (?:version |v ?)?2 [01])?
+qpl-1.0 | 2 | q public | (?:the )?q public @license(?: (?:version |v ?)?1 0)?
 sleepycat | 2 | sleepycat | (?:the )?sleepycat @license
-lppl-1.3c | 2 | latex project | (?:the )?latex project public @license(?: (?:version |v )?1 3 ?[abc]?)?
-rpl-1.5 | 2 | reciprocal public | (?:the )?reciprocal public @license(?: (?:version |v )?1 5)?
+lppl-1.3c | 2 | latex project | (?:the )?latex project public @license(?: (?:version |v ?)?1 3 ?[abc]?)?
+rpl-1.5 | 2 | reciprocal public | (?:the )?reciprocal public @license(?: (?:version |v ?)?1 5)?
 nasa-1.3 | 2 | nasa | (?:the )?nasa open source agreement(?: [^ ]+){0,6} @license
 bsd-protection | 2 | protection | bsd protection @license
 beerware | 2 | beer | (?:the )?beer ware @license
@@ -254,13 +254,13 @@ odbl-1.0 | 1 | odbl | spdx @license identifier odbl 1 0
 odbl-1.0 | 2 | open database | (?:the )?(?:open data commons )?open database @license(?: odbl)?
 odc-by-1.0 | 2 | open data | open data @commons attribution(?: license)?
 pddl-1.0 | 2 | dedication | (?:open data commons )?public @domain dedication and license
-ogl-uk-3.0 | 2 | open government | (?:the )?open government @licence(?: (?:version |v )?[123] 0)?
-etalab-2.0 | 2 | licence ouverte | @licence ouverte(?: open licence)?(?: (?:version |v )?2 0)?
+ogl-uk-3.0 | 2 | open government | (?:the )?open government @licence(?: (?:version |v ?)?[123] 0)?
+etalab-2.0 | 2 | licence ouverte | @licence ouverte(?: open licence)?(?: (?:version |v ?)?2 0)?
 sspl-1.0 | 1 | sspl | spdx @license identifier sspl 1 0
-sspl-1.0 | 2 | server side public | (?:the )?server side public @license(?: (?:version |v )?1)?
+sspl-1.0 | 2 | server side public | (?:the )?server side public @license(?: (?:version |v ?)?1)?
 busl-1.1 | 1 | busl | spdx @license identifier busl 1 1
-busl-1.1 | 2 | business source | (?:the )?business source @license(?: (?:version |v )?1 1)?
-elastic-2.0 | 2 | elastic | (?:the )?elastic @license(?: (?:version |v )?2(?: 0)?)?
+busl-1.1 | 2 | business source | (?:the )?business source @license(?: (?:version |v ?)?1 1)?
+elastic-2.0 | 2 | elastic | (?:the )?elastic @license(?: (?:version |v ?)?2(?: 0)?)?
 commons-clause | 2 | clause | @commons clause(?: license condition)?
 polyform | 2 | polyform | (?:the )?polyform (?:noncommercial|shield|strict|perimeter|internal use|small business) @license
 openrail | 2 | rail | (?:the )?(?:creativeml |bigscience )?(?:open ?)?rail(?: m)? @license
