@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskframe.functions import seeded
 from riskframe.operators.assign import index_within_group
 from riskframe.operators.knn import exact_knn
+from riskframe.operators.sampling import COPIES_AT_ONCE
 
 
 def smote(points: DataFrame, id_col: str, vec_col: str, label_col: str, minority_label, k: int = 5,
@@ -31,9 +32,13 @@ def smote(points: DataFrame, id_col: str, vec_col: str, label_col: str, minority
     n_syn = F.greatest(F.col("n_maj") - F.col("n_min"), F.lit(0))
     per = idx.crossJoin(F.broadcast(counts)).select(
         "id", "n_min",
-        (F.floor(n_syn / F.col("n_min")) + F.when(F.col("idx") <= n_syn % F.col("n_min"), 1).otherwise(0)).cast("int").alias("c"),
+        (F.floor(n_syn / F.col("n_min")) + F.when(F.col("idx") <= n_syn % F.col("n_min"), 1).otherwise(0)).cast("bigint").alias("c"),
     )
-    rows = per.where((F.col("c") > 0) & (F.col("n_min") > 1)).select("id", "n_min", F.explode(F.sequence(F.lit(1), F.col("c"))).alias("copy"))
+    # in two steps, so no row holds an array of all its copies
+    step = F.lit(COPIES_AT_ONCE).cast("bigint")
+    runs = per.where((F.col("c") > 0) & (F.col("n_min") > 1)).select(
+        "id", "n_min", "c", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("c"), step)).alias("from"))
+    rows = runs.select("id", "n_min", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + step - 1, F.col("c")))).alias("copy"))
     key = seeded.compound_key("id", "copy")
     k_eff = F.least(F.lit(k), F.col("n_min") - 1)
     rows = rows.select("id", "copy", seeded.randint(f"smnb{seed}", key, F.lit(1), k_eff).cast("bigint").alias("rank"),

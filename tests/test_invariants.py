@@ -110,7 +110,7 @@ def test_exact_knn_many_cells_with_duplicates_matches_brute_force(spark):
     df = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, vecs)], "id bigint, v array<double>")
     k = 4
     got = {}
-    for r in exact_knn(df, "id", "v", k=k, cell_target=12, max_pivots=64).collect():
+    for r in exact_knn(df, "id", "v", k=k, block_bytes=7 * 32).collect():
         got.setdefault(r.id, []).append((r.rank, r.nbr_id, round(r.dist, 9)))
     for qi, q in enumerate(ids):
         d = np.sqrt(((vecs - vecs[qi]) ** 2).sum(axis=1))
@@ -130,7 +130,7 @@ def test_exact_knn_dense_cluster_refines_cells(spark):
     df = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, vecs)], "id bigint, v array<double>")
     k = 3
     got = {}
-    for r in exact_knn(df, "id", "v", k=k, cell_target=10, max_pivots=256).collect():
+    for r in exact_knn(df, "id", "v", k=k, block_bytes=10 * 24).collect():
         got.setdefault(r.id, []).append((r.rank, r.nbr_id))
     for qi, q in enumerate(ids):
         d = np.sqrt(((vecs - vecs[qi]) ** 2).sum(axis=1))
@@ -138,6 +138,42 @@ def test_exact_knn_dense_cluster_refines_cells(spark):
         assert [n for _, n in sorted(got[int(q)])] == cand, q
 
 
+def test_exact_knn_of_all_embeddings(spark):
+    """Whole table, in one block and in many; null, NaN and empty vectors take no part."""
+    from riskframe.operators.knn import exact_knn
+
+    emb = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    rows = emb.orderBy("vec_id").collect()
+    ids, vecs = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64)
+    bad = spark.createDataFrame([(-1, None), (-2, [float("nan")] * 64), (-3, []), (None, [0.5] * 64), (-4, [None] + [0.0] * 63)], emb.schema)
+    expected = set()
+    for at in range(0, len(ids), 250):
+        dist = np.sqrt(((vecs[at:at + 250, None, :] - vecs[None, :, :]) ** 2).sum(axis=2))
+        for i, d in enumerate(dist):
+            order = [j for j in np.lexsort((ids, d)) if j != at + i][:5]
+            expected |= {(int(ids[at + i]), r + 1, int(ids[j])) for r, j in enumerate(order)}
+    for block_bytes in (1 << 20, 64 * 8 * 60):
+        got = exact_knn(emb.union(bad), "vec_id", "embedding", k=5, block_bytes=block_bytes).collect()
+        assert {(r.id, r.rank, r.nbr_id) for r in got} == expected and len(got) == len(expected)
+
+
+def test_exact_knn_ties_and_small_sets(spark):
+    from riskframe.operators.knn import exact_knn
+
+    grid = [(x * 7 + y, [float(x), float(y)]) for x in range(7) for y in range(7)] + [(100 + i, [3.0, 3.0]) for i in range(4)]
+    df = spark.createDataFrame(grid, "id bigint, v array<double>")
+    for block_bytes in (1 << 20, 5 * 16):
+        got = {}
+        for r in exact_knn(df, "id", "v", k=6, block_bytes=block_bytes).collect():
+            got.setdefault(r.id, []).append((r.rank, r.nbr_id))
+        for i, v in grid:
+            near = sorted((((v[0] - w[0]) ** 2 + (v[1] - w[1]) ** 2) ** 0.5, j) for j, w in grid if j != i)[:6]
+            assert [n for _, n in sorted(got[i])] == [j for _, j in near]
+    assert exact_knn(df.limit(0), "id", "v").collect() == []
+    assert exact_knn(df.limit(1), "id", "v").collect() == []
+    assert sorted((r.id, r.nbr_id) for r in exact_knn(df.where("id < 2"), "id", "v").collect()) == [(0, 1), (1, 0)]
+
+
 def test_cdf_dim_distributed_path_matches_window_path(spark):
     rng = np.random.default_rng(5)
     w = spark.createDataFrame([(f"k{i:04d}", float(x)) for i, x in enumerate(rng.integers(1, 50, 300))],
