@@ -1,95 +1,70 @@
 """Assignment joins: weighted (inverse CDF), nearest key, first-matching rule, uniform pick.
 
 All draws come from :mod:`riskframe.functions.seeded`, so an assignment depends only on
-(salt, row key). Range lookups are equi-joins on a bucket of the unit interval plus the range
-predicate, never a nested-loop scan of the dimension per row.
+(salt, row key). Range and nearest lookups go through the trees of :mod:`riskframe.operators.fences`: one path for
+dimensions of any size, never a scan of the dimension per row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from riskframe.plans.sizing import broadcast_if_small, row_count_at_most
+from riskframe.operators import fences
+from riskframe.plans.sizing import broadcast_if_small
+from riskframe.session import stored
 from riskframe.sources.dims import LEFTOVER_PROFILE
 
-RANGE_BUCKETS = 1024
 
-
-def cdf_dim(weights: DataFrame, key: str, weight: str, max_window_rows: int = 100_000) -> DataFrame:
+def cdf_dim(weights: DataFrame, key: str, weight: str) -> DataFrame:
     """(key, weight, other columns, lo, hi): cumulative shares in key order; first lo = 0, last hi forced to 1.
 
-    A configuration-sized dimension (one row per category / profile / day) takes the plain
-    whole-frame window (one small task, ``lo`` is the previous row's ``hi`` bit for bit). A
-    larger one uses the distributed running totals of :mod:`riskframe.operators.prefix` over
-    weights summed as DECIMAL parts of the largest weight (28 digits after the point, finer than
-    the rounding of a double sum), so ``lo`` of a row still equals ``hi`` of the row before.
+    Sums are exact whatever the number of keys and however they are cut: integer weights as they are, others as DECIMAL
+    parts of the largest weight (27 digits after the point, finer than the rounding of a double sum). So ``lo`` of a
+    row is ``hi`` of the row before, bit for bit. Rows with a null key or weight take no part; weights may be zero
+    (an empty interval) but not negative; with no positive weight the shares are null.
     """
     cols = [c for c in weights.columns if c not in (key, weight)]
-    if not row_count_at_most(weights, max_window_rows):
-        return _cdf_dim_distributed(weights, key, weight, cols)
-    order = Window.orderBy(key)
-    run = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tot = Window.partitionBy()
-    hi = F.sum(weight).over(run) / F.sum(weight).over(tot)
-    last = F.row_number().over(Window.orderBy(F.col(key).desc())) == 1
-    with_hi = weights.select(key, weight, *cols, F.when(last, F.lit(1.0)).otherwise(hi).alias("hi"))
-    return with_hi.select(key, weight, *cols, F.coalesce(F.lag("hi").over(order), F.lit(0.0)).alias("lo"), "hi")
-
-
-def _cdf_dim_distributed(weights: DataFrame, key: str, weight: str, cols: list[str]) -> DataFrame:
-    from riskframe.operators.prefix import running_totals
-
-    largest = weights.agg(F.max(weight).cast("double").alias("_wmax"))  # one row
-    part = F.col(weight).cast("double") / F.nullif(F.col("_wmax"), F.lit(0.0))
-    exact = weights.crossJoin(F.broadcast(largest)).withColumn("_wd", part.cast("decimal(38,28)")).drop("_wmax")
-    totals = exact.agg(F.sum("_wd").alias("_tot"), F.max(key).alias("_kmax"))  # one row
-    rt = running_totals(exact, key, ["_wd"])
-    j = rt.crossJoin(F.broadcast(totals))
-    tot = F.col("_tot").cast("double")
-    lo = F.col("_wd_before").cast("double") / tot
-    hi = F.when(F.col(key) == F.col("_kmax"), F.lit(1.0)).otherwise(
-        (F.col("_wd_before") + F.col("_wd")).cast("double") / tot)
-    return j.select(key, weight, *cols, lo.alias("lo"), hi.alias("hi"))
-
-
-def range_lookup(df: DataFrame, u: Column | str, dim: DataFrame, lo: str = "lo", hi: str = "hi",
-                 buckets: int = RANGE_BUCKETS, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Left join each row to the dim row with ``lo < u <= hi`` (u in (0, 1]).
-
-    Both sides get a bucket ``floor(u * buckets)``; a dim row is repeated for every bucket its
-    interval touches, so the join is an equi-join (broadcast hash when the exploded dim is
-    proven small, shuffle otherwise) plus the exact range predicate.
+    rows = weights.where(F.col(key).isNotNull() & F.col(weight).isNotNull())
+    if isinstance(weights.schema[weight].dataType, IntegralType):
+        rows = rows.withColumn("_w", F.col(weight).cast("decimal(38,0)"))
+    else:
+        largest = rows.agg(F.max(weight).cast("double").alias("_wmax"))  # one row
+        part = F.col(weight).cast("double") / F.nullif(F.col("_wmax"), F.lit(0.0))
+        rows = rows.crossJoin(F.broadcast(largest)).withColumn("_w", part.cast("decimal(28,27)")).drop("_wmax")
+    totals = rows.agg(F.nullif(F.sum("_w").cast("double"), F.lit(0.0)).alias("_tot"), F.max(key).alias("_kmax"))  # one row
+    j = fences.running_totals(rows, key, ["_w"]).crossJoin(F.broadcast(totals))
+    upto = fences.plus(F.col("_w_before"), F.col("_w"), j.schema["_w_before"].dataType)
+    hi = F.when(F.col(key) == F.col("_kmax"), F.lit(1.0)).otherwise(upto.cast("double") / F.col("_tot"))
+    return j.select(key, weight, *cols, (F.col("_w_before").cast("double") / F.col("_tot")).alias("lo"), hi.alias("hi"))
+
+
+def range_lookup(df: DataFrame, u: Column | str, dim: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
+    """Left join each row to the dim row with ``lo < u <= hi``, for intervals that do not overlap.
+
+    The dimension is written once; Spark broadcasts it if its files are small. The row's interval is the one with the largest
+    ``lo`` below ``u``, found by :func:`fences.locate`, then an equi-join on that ``lo`` checks ``hi``. A null draw, or
+    one in a gap, gets nulls.
     """
-    u_col = F.col(u) if isinstance(u, str) else u
-    dim_b = dim.withColumn(
-        "_rb", F.explode(F.sequence(F.floor(F.col(lo) * buckets).cast("bigint"), F.floor(F.col(hi) * buckets).cast("bigint")))
-    ).withColumnRenamed(lo, "_lo").withColumnRenamed(hi, "_hi")
-    left = df.withColumn("_u", u_col).withColumn("_rb", F.floor(F.col("_u") * buckets).cast("bigint"))
-    dim_b = broadcast_if_small(dim_b, max_broadcast_rows)
-    cond = (left["_rb"] == dim_b["_rb"]) & (dim_b["_lo"] < left["_u"]) & (left["_u"] <= dim_b["_hi"])
-    out = left.join(dim_b, cond, "left")
-    return out.drop(dim_b["_rb"]).drop(left["_rb"]).drop("_lo", "_hi", "_u")
-
-
-def nearest_dim(keys: DataFrame, key: str, max_window_rows: int = 100_000) -> DataFrame:
+    dim = stored(dim.where(F.col(lo) < F.col(hi)).withColumnRenamed(lo, "_lo").withColumnRenamed(hi, "_hi"), "intervals")
+    left = df.withColumn("_u", (F.col(u) if isinstance(u, str) else u).cast("double"))
+    left = fences.locate(left, "_u", dim.select(F.col("_lo").cast("double")).distinct(), "_lo", "_at")
+    out = left.join(dim, (F.col("_at") == F.col("_lo")) & (F.col("_u") <= F.col("_hi")), "left")
+    return out.drop("_lo", "_hi", "_u", "_at")
+
+
+def nearest_dim(keys: DataFrame, key: str) -> DataFrame:
     """Intervals (lo, hi] of the unit interval in which ``key`` is the nearest key.
 
     Boundaries are midpoints of neighbouring keys; a draw exactly on a midpoint belongs to
-    the lower key, the ends clamp to the first / last key. Neighbours come from a plain window
-    for a configuration-sized key set, from range-bucketed windows beyond ``max_window_rows``.
+    the lower key, the ends clamp to the first / last key. Keys are distinct and not null.
     """
-    if row_count_at_most(keys, max_window_rows):
-        w = Window.orderBy(key)
-        prev_k, next_k = F.lag(key).over(w), F.lead(key).over(w)
-    else:
-        from riskframe.operators.prefix import neighbours
-
-        keys = neighbours(keys, key)
-        prev_k, next_k = F.col("prev_key"), F.col("next_key")
+    near = fences.neighbours(keys, key)
+    prev_k, next_k = F.col("prev_key"), F.col("next_key")
     clamp = lambda c: F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
-    return keys.select(
-        *[c for c in keys.columns if c not in ("prev_key", "next_key")],
+    return near.select(
+        *keys.columns,
         F.when(prev_k.isNull(), F.lit(0.0)).otherwise(clamp((prev_k + F.col(key)) / 2.0)).alias("lo"),
         F.when(next_k.isNull(), F.lit(1.0)).otherwise(clamp((F.col(key) + next_k) / 2.0)).alias("hi"),
     )

@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from riskframe.functions import dates
-from riskframe.operators import assign, calendar, encode, sampling, stats
+from riskframe.operators import assign, fences, calendar, encode, sampling, stats
 from riskframe.sources import dims
 
 TXN_SCHEMA = "event_id bigint, is_fraud int, amt double"
@@ -196,12 +196,26 @@ def test_many_copies_of_one_row(spark):
     assert out.lo == 1 and out.n == out.hi == out.d and out.n > 2 * sampling.COPIES_AT_ONCE
 
 
-def test_tiny_weights_keep_their_intervals_in_the_distributed_path(spark):
+def test_tiny_weights_keep_their_intervals_at_every_depth(spark, monkeypatch):
     w = spark.createDataFrame([(f"k{i:02d}", 1e-11) for i in range(20)] + [("z", 1e-9)], "k string, w double")
     small = {r.k: (r.lo, r.hi) for r in assign.cdf_dim(w, "k", "w").collect()}
-    large = {r.k: (r.lo, r.hi) for r in assign.cdf_dim(w, "k", "w", max_window_rows=5).collect()}
+    monkeypatch.setattr(fences, "ROOT", 3)
+    monkeypatch.setattr(fences, "RUN", 2)
+    large = {r.k: (r.lo, r.hi) for r in assign.cdf_dim(w, "k", "w").collect()}
     assert all(lo < hi for lo, hi in large.values())
-    assert all(abs(a - b) < 1e-12 for k in small for a, b in zip(small[k], large[k]))
+    assert small == large
+
+
+def test_cdf_of_zero_null_and_no_weights(spark):
+    kind = "k string, w double"
+    dim = assign.cdf_dim(spark.createDataFrame([("a", 0.0), ("b", 1.0), ("c", 0.0), ("d", 3.0), (None, 9.0), ("e", None)], kind), "k", "w")
+    assert sorted((r.k, r.lo, r.hi) for r in dim.collect()) == [("a", 0.0, 0.0), ("b", 0.0, 0.25), ("c", 0.25, 0.25), ("d", 0.25, 1.0)]
+    draws = spark.createDataFrame([(1, 0.1), (2, 0.25), (3, 0.26), (4, None)], "id int, u double")
+    assert sorted((r.id, r.k) for r in assign.range_lookup(draws, "u", dim).collect()) == [(1, "b"), (2, "b"), (3, "d"), (4, None)]
+    assert assign.cdf_dim(spark.createDataFrame([], kind), "k", "w").collect() == []
+    none = assign.cdf_dim(spark.createDataFrame([("a", 0.0), ("b", 0.0)], kind), "k", "w")
+    assert [r.k for r in assign.range_lookup(draws, "u", none).collect()] == [None] * 4
+    assert [r.k for r in assign.range_lookup(draws, "u", none.limit(0)).collect()] == [None] * 4
 
 
 def test_keys_with_a_long_common_prefix_spread_over_the_buckets(spark):

@@ -1,11 +1,12 @@
 """Invariants: partition independence, complete splits, exact distributed helpers vs brute force."""
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from riskframe.operators import assign, metrics, prefix, sampling
+from riskframe.operators import assign, fences, metrics, prefix, sampling
 from riskframe.operators.quantile import exact_quantile
 from riskframe.sources.tables import txn
 
@@ -174,24 +175,63 @@ def test_exact_knn_ties_and_small_sets(spark):
     assert sorted((r.id, r.nbr_id) for r in exact_knn(df.where("id < 2"), "id", "v").collect()) == [(0, 1), (1, 0)]
 
 
-def test_cdf_dim_distributed_path_matches_window_path(spark):
+@pytest.mark.parametrize("kind", ["double", "int"])
+def test_cdf_dim_is_the_same_at_every_depth(spark, monkeypatch, kind):
     rng = np.random.default_rng(5)
-    w = spark.createDataFrame([(f"k{i:04d}", float(x)) for i, x in enumerate(rng.integers(1, 50, 300))],
-                              "k string, w double")
-    small = {r.k: (r.lo, r.hi) for r in assign.cdf_dim(w, "k", "w").collect()}
-    big = {r.k: (r.lo, r.hi) for r in assign.cdf_dim(w, "k", "w", max_window_rows=10).collect()}
-    assert small.keys() == big.keys()
-    for key in small:
-        assert abs(small[key][0] - big[key][0]) < 1e-12 and abs(small[key][1] - big[key][1]) < 1e-12
-    rows = sorted(big.items())
+    w = spark.createDataFrame([(f"k{i:04d}", x) for i, x in enumerate((rng.integers(0, 50, 300) / (7 if kind == "double" else 1)).tolist())],
+                              "k string, w double").withColumn("w", F.col("w").cast(kind))
+    flat = {r.k: (r.lo, r.hi) for r in assign.cdf_dim(w, "k", "w").collect()}
+    monkeypatch.setattr(fences, "ROOT", 10)
+    monkeypatch.setattr(fences, "RUN", 4)
+    assert {r.k: (r.lo, r.hi) for r in assign.cdf_dim(w, "k", "w").collect()} == flat
+    rows = sorted(flat.items())
     assert rows[0][1][0] == 0.0 and rows[-1][1][1] == 1.0
     assert all(a[1][1] == b[1][0] for a, b in zip(rows, rows[1:]))  # no gaps, no overlaps
 
 
-def test_nearest_dim_distributed_neighbours_match_window(spark):
+def test_lookups_are_the_same_at_every_depth(spark, monkeypatch):
+    """Draws below, on, between and above the keys, nulls, one draw that a third of the rows share."""
     rng = np.random.default_rng(6)
-    ks = sorted(set(float(x) for x in np.round(rng.random(400), 6)))
+    ks = sorted(set(float(x) for x in np.round(rng.random(400) * 0.98 + 0.01, 6)))
     keys = spark.createDataFrame([(f"n{i}", k) for i, k in enumerate(ks)], "name string, key double")
-    a = {r.name: (r.lo, r.hi) for r in assign.nearest_dim(keys, "key").collect()}
-    b = {r.name: (r.lo, r.hi) for r in assign.nearest_dim(keys, "key", max_window_rows=10).collect()}
-    assert a == b
+    us = [float(x) for x in rng.random(500)] + ks + [0.0, 1.0, 0.5] + [0.5] * 400
+    draws = spark.createDataFrame([*enumerate(us), (-1, None)], "id int, u double")
+
+    def run():
+        near = assign.nearest_dim(keys, "key")
+        below = {r.id: r.at for r in fences.locate(draws, "u", keys, "key", "at").collect()}
+        upto = {r.id: r.at for r in fences.locate(draws, "u", keys, "key", "at", inclusive=True).collect()}
+        around = {r.key: (r.prev_key, r.next_key) for r in fences.neighbours(keys, "key").collect()}
+        return ({r.name: (r.lo, r.hi) for r in near.collect()}, below, upto, around,
+                {r.id: r.name for r in assign.range_lookup(draws, "u", near).collect()})
+
+    flat = run()
+    assert flat[1] == {**{i: max((k for k in ks if k < u), default=None) for i, u in enumerate(us)}, -1: None}
+    assert flat[2] == {**{i: max((k for k in ks if k <= u), default=None) for i, u in enumerate(us)}, -1: None}
+    assert flat[3] == {k: (a, b) for k, a, b in zip(ks, [None, *ks], [*ks[1:], None])}
+    for i, u in enumerate(us):
+        if u > 0:
+            assert abs(ks[int(flat[4][i][1:])] - u) == min(abs(k - u) for k in ks)
+    monkeypatch.setattr(fences, "ROOT", 10)
+    monkeypatch.setattr(fences, "RUN", 4)
+    assert run() == flat
+
+
+def test_lookup_in_a_million_keys(spark):
+    keys = spark.range(1_000_000).select((F.col("id") * 3).cast("double").alias("key"))
+    draws = spark.range(2_000).select((F.col("id") * 1499.5 + 1).alias("u"))
+    got = fences.locate(draws, "u", keys, "key", "at").collect()
+    assert len(got) == 2_000 and all(r.at == min(3 * np.ceil(r.u / 3) - 3, 2_999_997) for r in got)
+
+
+def test_running_totals_over_fences(spark, monkeypatch):
+    monkeypatch.setattr(fences, "ROOT", 5)
+    monkeypatch.setattr(fences, "RUN", 3)
+    rng = np.random.default_rng(2)
+    vals = [(f"k{k:03d}", int(v), int(v) * 2) for k, v in zip(rng.permutation(200), rng.integers(0, 10, 200))]
+    got = {r.k: (r.a_before, r.b_before) for r in fences.running_totals(spark.createDataFrame(vals, "k string, a long, b long"), "k", ["a", "b"]).collect()}
+    acc = 0
+    for k, a, b in sorted(vals):
+        assert got[k] == (acc, 2 * acc)
+        acc += a
+
