@@ -3,7 +3,7 @@
     txn -> features (one projection) -> hash split (train / test)
         -> fit on train only: index, one-hot, assemble, scale, PCA
         -> balance train (seeded oversampling; folds assigned by key before expansion)
-        -> random forest, cross-validated over a grid (foldCol, parallel fits)
+        -> random forest, cross-validated over a grid: one fit at a time, results kept in a table
         -> score test, exact metrics, prediction output, one saved PipelineModel
 
 Differences from the reference, by design: preprocessing is fit on the training split only;
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import product
 from operator import or_
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -23,13 +24,12 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators import encode, metrics, sampling
 from riskframe.operators.features import detector_features
-from riskframe.session import checkpoint_root
+from riskframe.session import checkpoint_root, scratch_path
 
 CATEGORICAL = ["category", "amt_range", "gender"]
 NUMERIC = ["amt", "log_amt", "zip_numeric", "lat", "long", "city_pop", "merch_lat", "merch_long", "age", "hour",
@@ -44,7 +44,6 @@ class DetectorConfig:
     num_trees: list[int] = field(default_factory=lambda: [50, 100])
     max_depth: list[int] = field(default_factory=lambda: [5, 10, 15])
     folds: int = 3
-    parallelism: int = 2
     seed: int = 42
     target_ratio: float = 0.3
     trigger_ratio: float = 0.1
@@ -75,21 +74,24 @@ def rejected(frame: DataFrame, cfg: DetectorConfig) -> DataFrame:
     return frame.where(~has_features()).select(cfg.key, cfg.label, names.alias("missing"))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+#: Rows of a partition of an estimator's input.
+PART_ROWS = 8_192
+
+
+def checkpointed(df: DataFrame, *key: str) -> DataFrame:
     """Materialise ``df`` once in the shared checkpoint folder and cut its lineage.
 
     Estimators make several passes (indexing, moments, covariance, tree levels); reading a
     checkpoint avoids recomputing the joins and hashing behind the frame on every pass, and
-    a lost executor re-reads files instead of replaying the lineage."""
-    spark = df.sparkSession
-    checkpoint_root(spark)
+    a lost executor re-reads files instead of replaying the lineage. With a ``key`` the rows are dealt out by
+    it, PART_ROWS to a partition, and sorted: a forest's draws follow the partitions and their order, so
+    the model depends on the rows alone, not on the number of cores or files."""
+    checkpoint_root(df.sparkSession)
     ck = df.checkpoint(eager=True)
-    want = spark.sparkContext.defaultParallelism
-    if ck.rdd.getNumPartitions() < want:
-        # small input coalesced by AQE into few partitions: spread it so the estimator
-        # passes run on every core (large inputs already have more partitions than cores)
-        ck = ck.repartition(want).checkpoint(eager=True)
-    return ck
+    if not key:
+        return ck
+    parts = max(1, -(-ck.count() // PART_ROWS))
+    return ck.repartition(parts, *key).sortWithinPartitions(*key).checkpoint(eager=True)
 
 
 def preprocessing(cfg: DetectorConfig, n_components: int | None = None) -> Pipeline:
@@ -129,13 +131,52 @@ def balanced_train(prepped_train: DataFrame, cfg: DetectorConfig) -> DataFrame:
                                        method=method)
 
 
-def cross_validate(train: DataFrame, cfg: DetectorConfig):
-    rf = forest(cfg)
-    grid = ParamGridBuilder().addGrid(rf.numTrees, cfg.num_trees).addGrid(rf.maxDepth, cfg.max_depth).build()
+def training_rows(prepped_train: DataFrame, cfg: DetectorConfig) -> DataFrame:
+    """The balanced training rows, checkpointed and dealt out by key and copy."""
+    rows = balanced_train(prepped_train.select(cfg.key, cfg.label, "features"), cfg)
+    return checkpointed(rows, *[c for c in (cfg.key, "copy") if c in rows.columns])
+
+
+FITS = "run string, fold int, num_trees int, max_depth int, auc double"
+
+
+def _run_name(train: DataFrame, cfg: DetectorConfig) -> str:
+    """Names the search by its rows and the settings that its fits depend on, so that a log of other fits is not taken up."""
+    names = [c for c in train.columns if c != "features"]
+    n, total = train.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*names, vector_to_array("features")).cast("decimal(38,0)"))).first()
+    return f"{n}/{total}/{cfg.seed}/{cfg.folds}/{cfg.balance}/{cfg.label}"
+
+
+def finished_fits(spark: SparkSession, log_path: str, run: str) -> dict[tuple[int, int, int], float]:
+    """(fold, num_trees, max_depth) -> ROC area of the fits of ``run`` in the log; none if there is no log yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(log_path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return {}
+    rows = spark.read.schema(FITS).parquet(log_path).where(F.col("run") == run)
+    return {(r.fold, r.num_trees, r.max_depth): r.auc for r in rows.collect()}  # a row per fit
+
+
+def grid_search(train: DataFrame, cfg: DetectorConfig, log_path: str | None = None) -> list[tuple[int, int, float]]:
+    """(num_trees, max_depth, mean ROC area over the folds) of every parameter pair, in order of the grid.
+
+    One fit at a time; its forest is scored on the fold that was left out and dropped, so the driver holds one
+    model whatever the size of the grid. Each result is appended to the table ``log_path`` when it is there; a
+    search that starts again with the same rows and settings takes the finished fits from it."""
+    spark = train.sparkSession
+    log_path = log_path or scratch_path(spark, "grid_search")
+    run = _run_name(train, cfg)
+    done = finished_fits(spark, log_path, run)
     evaluator = BinaryClassificationEvaluator(labelCol=cfg.label, metricName="areaUnderROC")
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, evaluator=evaluator, foldCol="fold", numFolds=cfg.folds,
-                        parallelism=cfg.parallelism, seed=cfg.seed)
-    return cv.fit(train), grid
+    for num_trees, max_depth in product(cfg.num_trees, cfg.max_depth):
+        for fold in range(cfg.folds):
+            if (fold, num_trees, max_depth) in done:
+                continue
+            model = forest(cfg, num_trees, max_depth).fit(train.where(F.col("fold") != fold))
+            auc = evaluator.evaluate(model.transform(train.where(F.col("fold") == fold)))
+            del model
+            spark.createDataFrame([(run, fold, num_trees, max_depth, auc)], FITS).coalesce(1).write.mode("append").parquet(log_path)
+            done[fold, num_trees, max_depth] = auc
+    return [(t, d, sum(done[f, t, d] for f in range(cfg.folds)) / cfg.folds) for t, d in product(cfg.num_trees, cfg.max_depth)]
 
 
 def score_columns(pred: DataFrame, cfg: DetectorConfig) -> DataFrame:
@@ -163,25 +204,25 @@ class DetectorRun:
     model: PipelineModel
     scored: DataFrame
     metrics: DataFrame
-    cv_metrics: list[float]
-    grid: list
+    grid: list[tuple[int, int, float]]
     rejects: DataFrame
 
 
 def run_detector(spark: SparkSession, txn_df: DataFrame, cfg: DetectorConfig | None = None,
-                 model_path: str | None = None, predictions_path: str | None = None) -> DetectorRun:
+                 model_path: str | None = None, predictions_path: str | None = None, log_path: str | None = None) -> DetectorRun:
     """End-to-end detector. The feature frame, the balanced training frame and the predictions are
     each checkpointed once; estimator passes, CV fits, metrics and writes read those files. Rows
     without all numeric features take no part and are returned as ``rejects``."""
     cfg = cfg or DetectorConfig()
-    complete = checkpointed(model_frame(txn_df, cfg))
+    complete = checkpointed(model_frame(txn_df, cfg), cfg.key)
     frame = complete.where(has_features())
     train_raw = frame.where(F.col("split") == "train")
     test_raw = frame.where(F.col("split") == "test")
     prep = preprocessing(cfg).fit(train_raw)
-    train = checkpointed(balanced_train(prep.transform(train_raw).select(cfg.key, cfg.label, "features"), cfg))
-    cv_model, grid = cross_validate(train, cfg)
-    model = PipelineModel(stages=[*prep.stages, cv_model.bestModel])
+    train = training_rows(prep.transform(train_raw), cfg)
+    grid = grid_search(train, cfg, log_path)
+    num_trees, max_depth, _ = max(grid, key=lambda g: g[2])  # the first of equal ones
+    model = PipelineModel(stages=[*prep.stages, forest(cfg, num_trees, max_depth).fit(train)])
     pred = checkpointed(model.transform(test_raw).select(cfg.key, cfg.label, "prediction", "probability"))
     scored = score_columns(pred, cfg)
     if predictions_path:
@@ -189,4 +230,4 @@ def run_detector(spark: SparkSession, txn_df: DataFrame, cfg: DetectorConfig | N
         pred.write.mode("overwrite").parquet(f"{predictions_path}/parquet")
     if model_path:
         model.write().overwrite().save(model_path)
-    return DetectorRun(model, scored, evaluate(scored, cfg), list(cv_model.avgMetrics), grid, rejected(complete, cfg))
+    return DetectorRun(model, scored, evaluate(scored, cfg), grid, rejected(complete, cfg))

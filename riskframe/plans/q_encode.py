@@ -12,6 +12,7 @@ from riskframe.functions.numeric import sql_round_half_up as R
 from riskframe.functions.numeric import sql_round_sig as RS
 from riskframe.operators import encode, sampling
 from riskframe.operators.features import detector_features
+from riskframe.plans import prototype
 from riskframe.plans.catalog import query
 from riskframe.sources.tables import txn, with_txn
 
@@ -153,3 +154,26 @@ def cov_matrix(spark, sf_dir):
                  F.lit(COV_COLS[j]).alias("fj"), F.col(f"c_{i}_{j}").alias("cov"))
         for i, j in _cov_pairs()])).alias("s")).select("s.*")
     return stacked.select("i", "j", "fi", "fj", round_sig("cov", 10).alias("cov"))
+
+
+# fixed values: the prototype's numeric inputs
+PROTO_NUMERIC = prototype.NUMERIC
+
+
+def _centred_sql():
+    raw = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PROTO_NUMERIC)
+    moments = ", ".join(f"AVG({c}) AS {c}_m, COALESCE(NULLIF(stddev_pop({c}), 0), 1) AS {c}_s" for c in PROTO_NUMERIC)
+    cols = ", ".join(f"{R(f'(p.{c} - m.{c}_m) / m.{c}_s', 6)} AS {c}_z" for c in PROTO_NUMERIC)
+    return with_txn(f"SELECT p.event_id, p.split, {cols} FROM proto p CROSS JOIN m", f"""proto AS (
+  SELECT event_id, CASE WHEN {seeded.sql_uniform('split42', 'event_id')} <= 0.8 THEN 'train' ELSE 'test' END AS split, {raw}
+  FROM (SELECT *, year(DATE '2025-01-01') - year(CAST(dob AS DATE)) AS age, hour(tdt) AS hour, isodow(tdt) - 1 AS day, month(tdt) AS month
+        FROM (SELECT DISTINCT *, try_strptime(trans_date || ' ' || trans_time, '%Y-%m-%d %H:%M:%S') AS tdt FROM txn))),
+m AS (SELECT {moments} FROM proto WHERE split = 'train')""")
+
+
+@query("prototype_centred", _centred_sql())
+def prototype_centred(spark, sf_dir):
+    """Centred scaling (mean and population deviation of the train split) of the prototype's numeric inputs, zip as a number."""
+    rows, names = prototype.inputs(prototype.frame(txn(spark, sf_dir), prototype.PrototypeConfig()))
+    z = prototype.centred(rows, len(names))
+    return z.select("event_id", "split", *[rh(F.get("z", F.lit(i)), 6).alias(f"{c}_z") for i, c in enumerate(PROTO_NUMERIC)])

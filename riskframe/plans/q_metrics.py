@@ -72,6 +72,28 @@ def class_report(spark, sf_dir):
                     "support")
 
 
+FULL_REPORT_SQL = """per AS (SELECT cls, SUM(tp) AS tp, SUM(support) AS support, SUM(npred) AS npred FROM (
+          SELECT is_fraud AS cls, CAST(is_fraud = prediction AS BIGINT) AS tp, 1 AS support, 0 AS npred FROM scored
+          UNION ALL SELECT prediction, 0, 0, 1 FROM scored) GROUP BY cls),
+pr2 AS (SELECT *, CASE WHEN npred = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(npred AS DOUBLE) END AS p,
+                  CASE WHEN support = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / CAST(support AS DOUBLE) END AS r FROM per),
+prf AS (SELECT *, CASE WHEN p + r = 0 THEN 0.0 ELSE 2.0 * p * r / (p + r) END AS f FROM pr2),
+full_rep AS (
+  SELECT CAST(cls AS VARCHAR) AS name, p AS precision, r AS recall, f AS f1, CAST(support AS BIGINT) AS support FROM prf
+  UNION ALL SELECT 'accuracy', NULL, NULL, CAST(SUM(tp) AS DOUBLE) / CAST(SUM(support) AS DOUBLE), CAST(SUM(support) AS BIGINT) FROM prf
+  UNION ALL SELECT 'macro avg', AVG(p), AVG(r), AVG(f), CAST(SUM(support) AS BIGINT) FROM prf
+  UNION ALL SELECT 'weighted avg', SUM(p * support) / SUM(support), SUM(r * support) / SUM(support), SUM(f * support) / SUM(support),
+                   CAST(SUM(support) AS BIGINT) FROM prf)"""
+
+
+@query("class_report_full", _sql(f"""
+SELECT name, {R('precision', 10)} AS precision, {R('recall', 10)} AS recall, {R('f1', 10)} AS f1, support FROM full_rep""", FULL_REPORT_SQL))
+def class_report_full(spark, sf_dir):
+    """Classes, accuracy, macro and weighted averages in one pass (rollup)."""
+    r = metrics.full_report(scored(spark, sf_dir))
+    return r.select("name", *[rh(F.col(c), 10).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
 WEIGHTED_CTE = REPORT_CTE + """,
 wm AS (SELECT SUM(w * recall) AS accuracy, SUM(w * precision) AS weighted_precision, SUM(w * recall) AS weighted_recall,
               SUM(w * f1) AS weighted_f1
