@@ -33,6 +33,7 @@ def all_queries() -> dict[str, QueryFn]:
     from riskframe.plans import (  # noqa: F401
         q_assign,
         q_encode,
+        q_files,
         q_metrics,
         q_model,
         q_sampling,

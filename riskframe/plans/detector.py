@@ -63,14 +63,17 @@ def model_frame(txn_df: DataFrame, cfg: DetectorConfig) -> DataFrame:
 
 def has_features() -> Column:
     """True for rows whose numeric features are all there; one NULL or NaN would spoil the fitted scaler and PCA."""
-    missing = [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in NUMERIC]
-    return ~reduce(or_, missing)
+    return ~reduce(or_, [lacks for _, lacks in feature_checks()])
+
+
+def feature_checks() -> list[tuple[str, Column]]:
+    """A check per numeric feature, named by it: the row lacks the feature."""
+    return [(c, F.col(c).isNull() | F.isnan(F.col(c).cast("double"))) for c in NUMERIC]
 
 
 def rejected(frame: DataFrame, cfg: DetectorConfig) -> DataFrame:
     """(key, label, missing): the rows that :func:`has_features` leaves out, with the names of what they lack."""
-    names = F.array_compact(F.array(*[
-        F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.lit(c)) for c in NUMERIC]))
+    names = F.array_compact(F.array(*[F.when(lacks, F.lit(c)) for c, lacks in feature_checks()]))
     return frame.where(~has_features()).select(cfg.key, cfg.label, names.alias("missing"))
 
 

@@ -172,17 +172,37 @@ def geo_jitter(spark, sf_dir):
     )
 
 
+@query("travel_jitter", with_txn(f"""
+SELECT event_id, {R("lat + (2.0 * " + U('tlat', 'event_id') + " - 1.0) * radius", 9)} AS merch_lat,
+       {R("long + (2.0 * " + U('tlong', 'event_id') + " - 1.0) * radius", 9)} AS merch_long
+FROM (SELECT *, CASE WHEN is_fraud = 1 OR hour(CAST(trans_time AS TIME)) >= 20
+                     THEN CAST(customer_id % 500 AS DOUBLE) / 100.0::DOUBLE * 1.43::DOUBLE ELSE 1.0::DOUBLE END AS radius FROM txn)"""))
+def travel_jitter(spark, sf_dir):
+    """Merchant location of customers of whom some travel (fraud or evening): their radius follows how far they may go."""
+    t = txn(spark, sf_dir)
+    away = (F.col("is_fraud") == 1) | (F.substring("trans_time", 1, 2).cast("int") >= 20)
+    far = (F.col("customer_id") % 500).cast("double")
+    return t.select("event_id", *[rh(sampling.geo_jitter(F.col(c), "event_id", f"t{c}", away, far), 9).alias(f"merch_{c}")
+                                  for c in ("lat", "long")])
+
+
 def _gamma_sql():
-    u1, u2, u3 = (_sql_u_d(i, "e.event_id", "gamma42") for i in range(3))
-    z = f"(sqrt(-2.0 * ln({u1})) * cos({2.0 * math.pi!r} * {u2}))"
+    """Marsaglia and Tsang's draw in SQL: the first accepted of the seeded attempts (twelve are enough for any table here)."""
+    dg = "md5('gamma42|' || CAST(e.event_id AS VARCHAR) || '|' || CAST(i AS VARCHAR))"
+    u = lambda j: f"((CAST(('0x' || substr({dg}, {1 + 8 * j}, 8)) AS BIGINT) + 1)::DOUBLE / 4294967296.0::DOUBLE)"
     return with_txn(f"""
-SELECT event_id, category, {R('CASE WHEN x < 1.0 THEN 1.0 + 9.0 * u3 ELSE x END', 2)} AS amount
-FROM (SELECT e.event_id, e.category, {u3} AS u3,
-             g.shape * g.scale * (greatest(1.0 - c + {z} * sqrt(c), 0.0) * greatest(1.0 - c + {z} * sqrt(c), 0.0)
-                                  * greatest(1.0 - c + {z} * sqrt(c), 0.0)) AS x
-      FROM txn e JOIN (SELECT category, shape, scale, 1.0 / (9.0 * shape) AS c FROM gs) g ON g.category = e.category)""",
+SELECT event_id, category, {R("CASE WHEN x < 1.0 THEN 1.0 + 9.0 * " + U('gammalow42', 'event_id') + " ELSE x END", 2)} AS amount
+FROM (SELECT event_id, category, arg_min(d * v, i) * any_value(boost) * any_value(scale) AS x
+      FROM (SELECT *, pow(1.0::DOUBLE + z / sqrt(9.0::DOUBLE * d), 3) AS v
+            FROM (SELECT e.event_id, e.category, g.scale, g.d, i, {u(2)} AS u,
+                         sqrt(-2.0::DOUBLE * ln({u(0)})) * cos({2.0 * math.pi!r}::DOUBLE * {u(1)}) AS z,
+                         CASE WHEN g.shape < 1 THEN pow({U('gamma42_boost', 'e.event_id')}, 1.0::DOUBLE / g.shape) ELSE 1.0::DOUBLE END AS boost
+                  FROM txn e JOIN gd g ON g.category = e.category CROSS JOIN range(1, 13) s(i)))
+      WHERE v > 0 AND ln(u) < 0.5::DOUBLE * z * z + d - d * v + d * ln(CASE WHEN v > 0 THEN v ELSE 1.0 END)
+      GROUP BY event_id, category)""",
         f"""gm AS (SELECT category, {R('avg(amt)', 6)} AS m, {R('stddev_samp(amt)', 6)} AS s FROM txn GROUP BY category),
-gs AS (SELECT category, m * m / (s * s) AS shape, s * s / m AS scale FROM gm)""")
+gs AS (SELECT category, m * m / (s * s) AS shape, s * s / m AS scale FROM gm),
+gd AS (SELECT *, CASE WHEN shape < 1 THEN shape + 1.0::DOUBLE ELSE shape END - 1.0::DOUBLE / 3.0::DOUBLE AS d FROM gs)""")
 
 
 @query("gamma_amounts", _gamma_sql())
@@ -193,9 +213,7 @@ def gamma_amounts(spark, sf_dir):
     specs = specs.select("category", (F.col("m") * F.col("m") / (F.col("s") * F.col("s"))).alias("shape"),
                          (F.col("s") * F.col("s") / F.col("m")).alias("scale"))
     j = t.select("event_id", "category").join(broadcast_if_small(specs, 100_000), "category")
-    j = seeded.with_uniforms(j, "gamma42", "event_id", ["_g1", "_g2", "_g3"])  # one md5 per row
-    out = sampling.with_gamma_amount(j, F.col("shape"), F.col("scale"), "event_id", "amount", 42,
-                                     draws=(F.col("_g1"), F.col("_g2"), F.col("_g3")))
+    out = sampling.with_gamma_amount(j, F.col("shape"), F.col("scale"), "event_id", "amount", 42)
     return out.select("event_id", "category", rh(F.col("amount"), 2).alias("amount"))
 
 
@@ -247,9 +265,21 @@ def smote_synthesize(spark, sf_dir):
     return smote(emb, "vec_id", "embedding", "label", 0, k=5, seed=42, digits=6)
 
 
-@query("balance_poisson")
+POISSON_SQL = with_txn(f"""
+SELECT event_id, is_fraud, CAST(unnest(generate_series(1, n)) AS INTEGER) AS copy
+FROM (SELECT t.event_id, t.is_fraud, CASE WHEN t.is_fraud <> 1 OR br.r IS NULL THEN 1
+        ELSE (SELECT MIN(k) FROM pk WHERE cdf >= {U('over42', 't.event_id')}) END AS n
+      FROM txn t CROSS JOIN br) WHERE n > 0""",
+    """bc AS (SELECT CAST(COALESCE(SUM(CASE WHEN is_fraud = 1 THEN 1 ELSE 0 END), 0) AS DOUBLE) AS n1,
+              CAST(COALESCE(SUM(CASE WHEN is_fraud = 0 THEN 1 ELSE 0 END), 0) AS DOUBLE) AS n0 FROM txn),
+br AS (SELECT CASE WHEN n1 > 0 AND n1 / (n1 + n0) < CAST(0.1 AS DOUBLE)
+                   THEN (CAST(0.3 AS DOUBLE) * n0) / (n1 * (CAST(1.0 AS DOUBLE) - CAST(0.3 AS DOUBLE))) END AS r FROM bc),
+pk AS (SELECT k, SUM(exp(k * ln(r) - r - lgamma(k + 1))) OVER (ORDER BY k) AS cdf FROM br, range(0, 2000) s(k))""")
+
+
+@query("balance_poisson", POISSON_SQL)
 def balance_poisson(spark, sf_dir):
     """Poisson bootstrap of the minority (what ``sample(withReplacement=True)`` does), seeded
-    by the event key so it does not change with partitioning (rows-only check)."""
+    by the event key so it does not change with partitioning."""
     t = txn(spark, sf_dir).select("event_id", "is_fraud")
     return sampling.balance_oversample(t, "event_id", "is_fraud", target=0.3, trigger=0.1, seed=42, method="poisson")
