@@ -1,6 +1,10 @@
 """Hand-made edge frames (empty input, one class, ties, NULLs, bad text, overlaps, leap days)."""
 
 import datetime
+import math
+import random
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -276,3 +280,36 @@ def test_rows_without_features_are_rejected_and_the_rest_is_modelled(spark):
     assert "amt" in rejects[gone[0]] and rejects[gone[1]] == ["zip_numeric"]
     bad = run.scored.where(F.isnan("fraud_probability") | F.col("event_id").isin(gone)).count()
     assert bad == 0 and run.scored.count() > 0
+
+
+def test_exact_quantile_of_odd_columns(spark):
+    from riskframe.operators.quantile import exact_quantile
+
+    rnd = random.Random(4)
+    columns = [[1.0], [2.0] * 50, [0.0] * 999 + [1e300], [-1e-300, 0.0, 1e-300], [float(rnd.randrange(5)) for _ in range(300)],
+               [rnd.lognormvariate(0, 6) for _ in range(3_000)]]
+    for vals in columns:
+        df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v double")
+        for p in (0.0, 0.1, 0.5, 0.999, 1.0):
+            assert exact_quantile(df, "v", p) == sorted(vals)[max(1, math.ceil(p * len(vals))) - 1]
+    assert exact_quantile(spark.createDataFrame([(None,)], "v double"), "v", 0.5) is None
+
+
+def test_sketched_quantiles_measure_their_error(spark):
+    from riskframe.operators.quantile import sketched_quantiles
+
+    rnd = random.Random(5)
+    rows = [("a", rnd.random()) for _ in range(5_000)] + [("b", 1.0)] * 40 + [("c", None), (None, 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    for accuracy in (10, 10_000):
+        got = {(r.g, r.p): r for r in sketched_quantiles(df, ["g"], "v", [0.1, 0.5], accuracy).collect()}
+        assert {k[0] for k in got} == {"a", "b"}  # a null group joins no other, c has no values
+        vals = sorted(v for g, v in rows if g == "a")
+        for p in (0.1, 0.5):
+            r = got["a", p]
+            assert (r.n, r.rank_low, r.rank_high) == (5_000, sum(v < r.value for v in vals), sum(v <= r.value for v in vals))
+            want = math.ceil(p * 5_000)
+            assert r.rank_error == pytest.approx(max(r.rank_low + 1 - want, want - r.rank_high, 0) / 5_000)
+            assert r.rank_error <= 1.5 / accuracy and got["b", p].rank_error == 0
+    whole = sketched_quantiles(df, [], "v", [0.5]).collect()
+    assert len(whole) == 1 and whole[0].n == 5_041 and whole[0].rank_error <= 1e-4
