@@ -9,12 +9,13 @@ any block can be decoded alone, so files are read back a block a task at a time.
 
 Null and empty texts hold the end id only. Repeated rows are documents of their own (rows with the same
 id lie in the order of their texts' hashes); null ids come first. Empty table: no rows. Further columns are ignored.
-A task holds one block; tokens of chunks between white space are remembered for at most 2 x CACHE chunks
-and one document.
+A task holds one block; tokens of chunks between white space are remembered, by a Python worker over its tasks, for at
+most 2 x CACHE chunks and one document.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 import uuid
@@ -35,6 +36,8 @@ LANES = 2_048
 BLOCK_TOKENS = 1 << 19
 FILE_BYTES = 128 << 20
 CACHE = 300_000
+#: Ids counted at once, in bytes.
+TALLY_BYTES = 4 << 20
 MAGIC = b"RANSTOK1"
 HEAD = "<8sIIIIIII"  # magic, table crc, documents, tokens, lanes, words, crc of ids, crc of the rest
 
@@ -94,6 +97,18 @@ class ChunkEncoder:
         return b"".join(map(known.__getitem__, chunks))
 
 
+#: The encoder of the Python worker: tasks that follow each other in one worker find its chunks known.
+_ENCODER: dict[bytes, ChunkEncoder] = {}
+
+
+def worker_encoder(tokenizer_json: str) -> ChunkEncoder:
+    key = hashlib.sha256(tokenizer_json.encode()).digest()
+    if key not in _ENCODER:
+        _ENCODER.clear()  # one at a time
+        _ENCODER[key] = ChunkEncoder(tokenizer_json)
+    return _ENCODER[key]
+
+
 def shared_table(counts: dict[int, int], scale: int = SCALE) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, frequencies) whose sum is 2**scale, at least 1 for every symbol that occurs."""
     symbols = np.array(sorted(counts), np.int64)
@@ -189,7 +204,7 @@ class Coder:
 def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int) -> DataFrame:
     """(part, doc_id, ids): stored, in ascending id order over parts and rows."""
     def run(rows: Iterator[dict]) -> Iterator[tuple]:
-        part, enc, end = TaskContext.get().partitionId(), ChunkEncoder(tokenizer_json), struct.pack("<I", end_id)
+        part, enc, end = TaskContext.get().partitionId(), worker_encoder(tokenizer_json), struct.pack("<I", end_id)
         for i, row in enumerate(rows):
             yield part, i, row["doc_id"], enc.ids(row["text"] or "") + end
 
@@ -261,12 +276,20 @@ def token_files(docs: DataFrame, tokenizer_json: str, end_id: int = 2) -> DataFr
     encoded = encode_documents(docs, tokenizer_json, end_id)
 
     def tally(rows: Iterator[dict]) -> Iterator[tuple]:
-        seen = np.zeros(0, np.int64)
+        seen, held, size = np.zeros(0, np.int64), [], 0
+
+        def add(ids: bytes, seen: np.ndarray) -> np.ndarray:
+            n = np.bincount(np.frombuffer(ids, "<u4"), minlength=len(seen))
+            n[:len(seen)] += seen
+            return n
+
         for row in rows:
-            n = np.bincount(np.frombuffer(row["ids"], "<u4"))
-            if len(n) > len(seen):
-                seen = np.concatenate([seen, np.zeros(len(n) - len(seen), np.int64)])
-            seen[:len(n)] += n
+            held.append(row["ids"])
+            size += len(row["ids"])
+            if size >= TALLY_BYTES:
+                seen, held, size = add(b"".join(held), seen), [], 0
+        if held:
+            seen = add(b"".join(held), seen)
         yield from ((int(i), int(seen[i])) for i in np.flatnonzero(seen))
 
     # one row for each id of the vocabulary, which bounds what the driver gets

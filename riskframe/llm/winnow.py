@@ -12,8 +12,8 @@ is extended to both sides as far as the words agree (at most to the windows that
 Items shorter than ``window`` are done by the same steps with their own length as the window.
 
 Items with equal word sequences are one class until the end. Items with a null id or text take
-no part, repeated item rows count once. A null or empty document has no words. Documents repeating
-both id and text give one row; the same id with another text gives its own row; a null id is kept.
+no part, repeated item rows count once. A null or empty document has no words. Every document row
+gives a row, also one that repeats id and text; a null id is kept.
 Empty tables: no hits, or no rows. Further columns are ignored.
 """
 
@@ -125,10 +125,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
               .select("doc_id", "tk", F.col("item_id").cast("string").alias("item")).distinct()
               .groupBy("doc_id", "tk").agg(F.count("item").alias("n_items"),
                                            F.concat_ws(",", F.array_sort(F.collect_list("item"))).alias("items")))
-    once = rows.groupBy("doc_id", "tk").agg(F.first("n_words").alias("n_words"))
     both = F.expr("a.doc_id <=> b.doc_id and a.tk = b.tk")
     marked = hit.alias("a").join(listed.alias("b"), both).select("a.doc_id", "a.tk", "n_hit", "n_items", "items")
-    return once.alias("a").join(marked.alias("b"), both, "left").select(
+    return rows.alias("a").join(marked.alias("b"), both, "left").select(
         "a.doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"),

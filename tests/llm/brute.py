@@ -108,7 +108,7 @@ def op5(docs, items, window=10):
             wins[tuple(w[j:j + n])].add(i)
     sizes = {len(w) for w in wins}
     out = []
-    for d, t in dict.fromkeys(docs):
+    for d, t in docs:
         w, hit, met = bench_words(t), set(), set()
         for n in sizes:
             for j in range(len(w) - n + 1):
