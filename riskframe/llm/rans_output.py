@@ -57,7 +57,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tok, self.most = Tokenizer.from_str(tokenizer_json), cache
-        self.chunks: dict[bytes, bytes] = {}
+        self.chunks: dict[bytes, bytes] = Chunks(self)
         self.older: dict[bytes, bytes] = {}  # what was known before the last time that chunks was full
         self.packed = [struct.pack("<I", i) for i in range(self.tok.get_vocab_size(with_added_tokens=True))]
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -74,27 +74,38 @@ class ChunkEncoder:
     def _plain(self, chunk: bytes) -> bytes | None:
         low = chunk.lower()  # A-Z only
         if low.isalpha():  # a-z only
-            return self._merge(low)
+            return self._merge(low) if low == chunk else self.chunks[low]
         if low[:-1].isalpha() and low[-1] in self.marks:
-            return self._merge(low[:-1]) + self.marks[low[-1]]
+            return self.chunks[low[:-1]] + self.marks[low[-1]]
         if not low.isascii():
             low = self.UPPER.sub(lambda m: bytes((m[0][0], m[0][1] + 32)), low)
         m = self.PLAIN.fullmatch(low)
         return None if m is None else self._merge(m[1]) + (self._merge(m[2]) if m[2] else b"")
 
+    def encoded(self, chunk: bytes) -> bytes:
+        """The ids of a chunk that is not among the known ones."""
+        ids = self.older.get(chunk) or self._plain(chunk)
+        if ids is None:
+            ids = b"".join([self.packed[i] for i in self.tok.encode(chunk.decode(), add_special_tokens=False).ids])
+        return ids
+
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        chunks = text.encode().split()
-        known = self.chunks
-        if len(known) > self.most:
-            self.older, self.chunks = known, {}
-            known = self.chunks
-        for c in set(chunks).difference(known):
-            ids = self.older.get(c) or self._plain(c)
-            if ids is None:
-                ids = b"".join([self.packed[i] for i in self.tok.encode(c.decode(), add_special_tokens=False).ids])
-            known[c] = ids
-        return b"".join(map(known.__getitem__, chunks))
+        if len(self.chunks) > self.most:
+            self.older, self.chunks = self.chunks, Chunks(self)
+        return b"".join(map(self.chunks.__getitem__, text.encode().split()))
+
+
+class Chunks(dict):
+    """Chunk -> its ids; asks the encoder for those that it does not hold."""
+
+    def __init__(self, encoder: ChunkEncoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self[chunk] = self.encoder.encoded(chunk)
+        return ids
 
 
 #: The encoder of the Python worker: tasks that follow each other in one worker find its chunks known.
@@ -201,17 +212,44 @@ class Coder:
             start += k
 
 
-def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int) -> DataFrame:
-    """(part, doc_id, ids): stored, in ascending id order over parts and rows."""
+def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int) -> tuple[DataFrame, dict[int, int]]:
+    """(part, seq, doc_id, ids), stored, in ascending id order over parts and rows; and how often each id occurs.
+
+    The occurrences are counted in the same pass: a part's last row (seq -1) holds its counters, one per id of the vocabulary."""
     def run(rows: Iterator[dict]) -> Iterator[tuple]:
         part, enc, end = TaskContext.get().partitionId(), worker_encoder(tokenizer_json), struct.pack("<I", end_id)
+        seen, held, size = np.zeros(0, np.int64), [], 0
+
+        def add(ids: bytes) -> np.ndarray:
+            n = np.bincount(np.frombuffer(ids, "<u4"), minlength=len(seen))
+            n[:len(seen)] += seen
+            return n
+
         for i, row in enumerate(rows):
-            yield part, i, row["doc_id"], enc.ids(row["text"] or "") + end
+            ids = enc.ids(row["text"] or "") + end
+            held.append(ids)
+            size += len(ids)
+            if size >= TALLY_BYTES:
+                seen, held, size = add(b"".join(held)), [], 0
+            yield part, i, row["doc_id"], ids
+        if held:
+            seen = add(b"".join(held))
+        if len(seen):
+            yield part, -1, None, seen.astype("<i8").tobytes()
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = src.repartitionByRange(F.asc_nulls_first("doc_id"), F.xxhash64("text")).sortWithinPartitions(
         F.asc_nulls_first("doc_id"), F.xxhash64("text"))
-    return store(map_rows(order, run, "part int, seq long, doc_id long, ids binary"), "token-ids")
+    whole = store(map_rows(order, run, "part int, seq long, doc_id long, ids binary"), "token-ids")
+
+    def spread(rows: Iterator[dict]) -> Iterator[tuple]:
+        for row in rows:
+            n = np.frombuffer(row["ids"], "<i8")
+            yield from ((int(i), int(n[i])) for i in np.flatnonzero(n))
+
+    # one row for each id of the vocabulary, which bounds what the driver gets
+    counts = map_rows(whole.where("seq = -1").select("ids"), spread, "id long, n long").groupBy("id").agg(F.sum("n"))
+    return whole.where("seq >= 0"), dict(counts.collect())
 
 
 def write_files(encoded: DataFrame, coder: Coder, folder: str) -> DataFrame:
@@ -273,27 +311,7 @@ def read_files(checkpoints: DataFrame, coder: Coder) -> DataFrame:
 def token_files(docs: DataFrame, tokenizer_json: str, end_id: int = 2) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, read back from the written files."""
     spark = docs.sparkSession
-    encoded = encode_documents(docs, tokenizer_json, end_id)
-
-    def tally(rows: Iterator[dict]) -> Iterator[tuple]:
-        seen, held, size = np.zeros(0, np.int64), [], 0
-
-        def add(ids: bytes, seen: np.ndarray) -> np.ndarray:
-            n = np.bincount(np.frombuffer(ids, "<u4"), minlength=len(seen))
-            n[:len(seen)] += seen
-            return n
-
-        for row in rows:
-            held.append(row["ids"])
-            size += len(row["ids"])
-            if size >= TALLY_BYTES:
-                seen, held, size = add(b"".join(held), seen), [], 0
-        if held:
-            seen = add(b"".join(held), seen)
-        yield from ((int(i), int(seen[i])) for i in np.flatnonzero(seen))
-
-    # one row for each id of the vocabulary, which bounds what the driver gets
-    counts = dict(map_rows(encoded.select("ids"), tally, "id long, n long").groupBy("id").agg(F.sum("n")).collect())
+    encoded, counts = encode_documents(docs, tokenizer_json, end_id)
     if not counts:
         return encoded.select("doc_id", F.lit(0).cast("long").alias("start"), F.col("seq").alias("n_tokens"),
                               F.col("seq").alias("ids_crc32"))
