@@ -35,7 +35,9 @@ SCALE = 20
 LANES = 2_048
 BLOCK_TOKENS = 1 << 19
 FILE_BYTES = 128 << 20
-CACHE = 300_000
+CACHE = 500_000
+#: Tasks that add up the parts' counters (a few hundred KB each).
+COUNTER_TASKS = 4
 #: Ids counted at once, in bytes.
 TALLY_BYTES = 4 << 20
 MAGIC = b"RANSTOK1"
@@ -243,12 +245,17 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int) -> tuple
     whole = store(map_rows(order, run, "part int, seq long, doc_id long, ids binary"), "token-ids")
 
     def spread(rows: Iterator[dict]) -> Iterator[tuple]:
+        total = np.zeros(0, np.int64)
         for row in rows:
             n = np.frombuffer(row["ids"], "<i8")
-            yield from ((int(i), int(n[i])) for i in np.flatnonzero(n))
+            if len(n) > len(total):
+                total, n = n.copy(), total
+            total[:len(n)] += n
+        yield from ((int(i), int(total[i])) for i in np.flatnonzero(total))
 
     # one row for each id of the vocabulary, which bounds what the driver gets
-    counts = map_rows(whole.where("seq = -1").select("ids"), spread, "id long, n long").groupBy("id").agg(F.sum("n"))
+    counters = whole.where("seq = -1").select("ids").coalesce(COUNTER_TASKS)
+    counts = map_rows(counters, spread, "id long, n long").groupBy("id").agg(F.sum("n"))
     return whole.where("seq >= 0"), dict(counts.collect())
 
 
