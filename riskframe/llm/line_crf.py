@@ -14,10 +14,15 @@ and empty texts are one empty line and get a score like any other. Labels that a
 is null or not in the table, are not used; an id with several labels counts by the largest. With no
 labelled document at all every score is 0.5. Repeated rows give repeated result rows. Empty table: no rows.
 Further columns are ignored; nothing but the text enters a score.
+
+A very long text is scored in blocks of whole lines: the forward messages at the block edges are kept, then
+the blocks are gone through backwards, each one's features made again and the backward message carried on.
+Beside the text itself a task holds one block, three copies of its longest line and that line's distinct words.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from operator import eq
 
@@ -34,6 +39,10 @@ SAMPLE_LINES = 120_000
 SHARE = 20
 #: Chains are fitted in batches of at most this many padded lines (one chain may be longer).
 BATCH_LINES = 1 << 19
+#: A block of a text ends with the first line that ends after this many bytes.
+BLOCK_BYTES = 32 << 10
+#: A line's words are taken in pieces that end at the first white space after this many bytes.
+PIECE_BYTES = 64 << 10
 
 # fixed values: byte classes
 UPPER = bytes(range(65, 91))
@@ -41,6 +50,22 @@ LOWER = bytes(range(97, 123)) + bytes(range(128, 256))
 DIGIT = b"0123456789"
 SPACE = b" \t\r\x0b\x0c"
 STOPS = b".,;:'\"-?()"
+GAP = re.compile(b"[" + SPACE + b"]")
+
+
+def line_words(line: bytes) -> tuple[int, int, int]:
+    """(words, distinct words, words that repeat the one before)."""
+    n, again, seen, last, at = 0, 0, set(), None, 0
+    while at < len(line):
+        gap = GAP.search(line, at + PIECE_BYTES)
+        end = gap.start() if gap else len(line)
+        words = line[at:end].split()
+        if words:
+            n, again = n + len(words), again + (words[0] == last) + sum(map(eq, words, words[1:]))
+            seen.update(words)
+            last = words[-1]
+        at = end
+    return n, len(seen), again
 
 
 def line_features(line: bytes) -> list[float]:
@@ -48,20 +73,35 @@ def line_features(line: bytes) -> list[float]:
     if not n:
         return [1.0] + [0.0] * 11
     upper, lower, digit, space, stops = (n - len(line.translate(None, c)) for c in (UPPER, LOWER, DIGIT, SPACE, STOPS))
-    words = line.split()
-    k = max(1, len(words))
+    words, distinct, again = line_words(line)
+    k = max(1, words)
     return [0.0, upper / n, lower / n, digit / n, space / n, stops / n, (n - upper - lower - digit - space - stops) / n,
-            len(set(words)) / k, sum(map(eq, words, words[1:])) / k, min(n / k, 40.0) / 10.0, min(k, 200) / 50.0,
-            1.0 if k < 4 else 0.0]
+            distinct / k, again / k, min(n / k, 40.0) / 10.0, min(k, 200) / 50.0, 1.0 if k < 4 else 0.0]
+
 
+def text_blocks(text: bytes) -> list[tuple[int, int]]:
+    """(start, end) of the blocks of whole lines; the newline between two blocks belongs to neither."""
+    out, at = [], 0
+    while (end := text.find(b"\n", at + BLOCK_BYTES)) >= 0:
+        out.append((at, end))
+        at = end + 1
+    return [*out, (at, len(text))]
 
-def text_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(lines x features, line weights): own features, the previous line's, the next line's, a constant."""
-    lines = text.split(b"\n")
+
+def block_features(text: bytes, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lines x features, line weights) of the lines of ``text[start:end]``: a line's own features, the previous
+    line's, the next line's (zeros before the first and after the last line of the text), a constant."""
+    lines = text[start:end].split(b"\n")
     own = np.array([line_features(x) for x in lines])
-    same = np.array([1.0 if a and a == b else 0.0 for a, b in zip(lines, lines[1:] + [b""])])[:, None]
-    edge = np.zeros((1, own.shape[1]))
-    x = np.hstack([own, np.vstack([edge, own[:-1]]), np.vstack([own[1:], edge]), same, np.ones((len(lines), 1))])
+    before, after, follows = np.zeros((1, own.shape[1])), np.zeros((1, own.shape[1])), b""
+    if start:
+        before = np.array([line_features(text[text.rfind(b"\n", 0, start - 1) + 1:start - 1])])
+    if end < len(text):
+        stop = text.find(b"\n", end + 1)
+        follows = text[end + 1:stop if stop >= 0 else len(text)]
+        after = np.array([line_features(follows)])
+    same = np.array([1.0 if a and a == b else 0.0 for a, b in zip(lines, lines[1:] + [follows])])[:, None]
+    x = np.hstack([own, np.vstack([before, own[:-1]]), np.vstack([own[1:], after]), same, np.ones((len(lines), 1))])
     return x, np.array([len(a) for a in lines], float) + 1.0
 
 
@@ -124,12 +164,45 @@ def fit(chains: list[tuple[np.ndarray, int]], steps: int = 150, rate: float = 0.
     return {"mean": mean, "std": std, "w": w[:-4], "trans": w[-4:].reshape(2, 2)}
 
 
+def forward(good: list[float], ahead: tuple[float, float], moves: list[list[float]]) -> tuple[list[float], tuple[float, float]]:
+    """P(good) of each line given the lines up to it, and the message (bad, good) to the line after the last.
+    ``good`` is the weight of "good" against 1 - it for "bad", ``ahead`` the message to the first line."""
+    (t00, t01), (t10, t11) = moves
+    b, g = ahead
+    out = []
+    for p in good:
+        y = g * p
+        y /= b * (1.0 - p) + y
+        out.append(y)
+        b, g = (1.0 - y) * t00 + y * t10, (1.0 - y) * t01 + y * t11
+    return out, (b, g)
+
+
 def score(model: dict | None, text: bytes) -> float:
+    """Mean of the lines' P(good) weighted by line length, by forward-backward over the whole text, block by block."""
     if model is None:
         return 0.5
-    x, weight = text_features(text)
-    good, _, _ = marginals((((x - model["mean"]) / model["std"]) @ model["w"])[None, :], model["trans"], np.array([len(x)]))
-    return float(min(1.0, max(0.0, (good[0] * weight).sum() / weight.sum())))
+    moves = np.exp(model["trans"] - model["trans"].max()).tolist()
+    (t00, t01), (t10, t11) = moves
+
+    def block(start: int, end: int) -> tuple[list[float], list[float]]:
+        x, weight = block_features(text, start, end)
+        return (0.5 + 0.5 * np.tanh(((x - model["mean"]) / model["std"]) @ model["w"] / 2)).tolist(), weight.tolist()
+
+    cuts, messages = text_blocks(text), [(1.0, 1.0)]
+    for cut in cuts[:-1]:
+        messages.append(forward(block(*cut)[0], messages[-1], moves)[1])
+    b, g, total, size = 1.0, 1.0, 0.0, 0.0  # (b, g): the backward message to the line at hand
+    for cut, ahead in zip(reversed(cuts), reversed(messages)):
+        good, weight = block(*cut)
+        sofar, _ = forward(good, ahead, moves)
+        for p, y, w in zip(reversed(good), reversed(sofar), reversed(weight)):
+            total += w * y * g / ((1.0 - y) * b + y * g)
+            size += w
+            u, v = (1.0 - p) * b, p * g
+            b, g = t00 * u + t01 * v, t10 * u + t11 * v
+            b, g = b / (b + g), g / (b + g)
+    return min(1.0, max(0.0, total / size))
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, sample_docs: int = SAMPLE_DOCS,
@@ -145,7 +218,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, sample_docs: int =
         for row in rows:
             # one line more, as the last line's features look at the next
             head = (row["text"] or b"").split(b"\n", longest + 1)[:longest + 1]
-            x = text_features(b"\n".join(head))[0][:longest]
+            head = b"\n".join(head)
+            x = block_features(head, 0, len(head))[0][:longest]
             yield row["h"], int(row["quality"]), len(x), x.astype("<f4").tobytes()
 
     feats = map_rows(src, run, "h string, y int, n int, x binary").orderBy("h", "n", "x")

@@ -279,3 +279,42 @@ def op13(docs, labels):
                               sum(r[0] == {f} for r in rows), sum(r[1] for r in gone), sum(r[2] for r in gone)))
         out += [(*x, worth[x[1][x[2] - 1]]) for x in lines]
     return out
+
+
+def op7_score(model, text):
+    """The score of a whole text in one piece, in log space, features and chain written out."""
+    import math
+
+    lines = text.split(b"\n")
+
+    def own(line):
+        n = len(line)
+        if not n:
+            return [1.0] + [0.0] * 11
+        kinds = Counter("u" if 65 <= c <= 90 else "l" if 97 <= c <= 122 or c >= 128 else "d" if 48 <= c <= 57
+                        else "s" if c in (9, 11, 12, 13, 32) else "p" if chr(c) in ".,;:'\"-?()" else "o" for c in line)
+        found = line.split()
+        k = max(1, len(found))
+        again = sum(a == b for a, b in zip(found, found[1:]))
+        return [0.0, *[kinds[c] / n for c in "uldspo"], len(set(found)) / k, again / k, min(n / k, 40.0) / 10.0,
+                min(k, 200) / 50.0, 1.0 if k < 4 else 0.0]
+
+    feats, none = [own(x) for x in lines], [0.0] * 12
+    unary = []
+    for i, x in enumerate(lines):
+        same = 1.0 if x and i + 1 < len(lines) and x == lines[i + 1] else 0.0
+        row = feats[i] + (feats[i - 1] if i else none) + (feats[i + 1] if i + 1 < len(lines) else none) + [same, 1.0]
+        unary.append(sum((v - m) / s * w for v, m, s, w in zip(row, model["mean"], model["std"], model["w"])))
+    add = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b)))
+    t = model["trans"]
+    alpha, beta = [(0.0, unary[0])], [(0.0, 0.0)]
+    for u in unary[1:]:
+        a = alpha[-1]
+        alpha.append((add(a[0] + t[0][0], a[1] + t[1][0]), add(a[0] + t[0][1], a[1] + t[1][1]) + u))
+    for u in reversed(unary[1:]):
+        b = beta[-1]
+        beta.append((add(t[0][0] + b[0], t[0][1] + u + b[1]), add(t[1][0] + b[0], t[1][1] + u + b[1])))
+    beta.reverse()
+    weight = [len(x) + 1 for x in lines]
+    odds = [(a[0] + b[0]) - (a[1] + b[1]) for a, b in zip(alpha, beta)]  # of bad, in logs
+    return sum(w / (1 + math.exp(min(o, 700.0))) for w, o in zip(weight, odds)) / sum(weight)

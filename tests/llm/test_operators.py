@@ -252,7 +252,7 @@ def test_quality_scores(corpus, spark):
     got = line_crf.quality_scores(df, fitted).collect()
     assert sorted(((r.doc_id is None, r.doc_id or 0) for r in got)) == sorted((d is None, d or 0) for d, _ in rows)
     assert all(0 <= r.score <= 1 for r in got)
-    again = {(d, t): line_crf.score(fitted, (t or "").encode()) for d, t in rows}
+    again = {(d, t): brute.op7_score(fitted, (t or "").encode()) for d, t in rows}
     assert sorted(r.score for r in got) == pytest.approx(sorted(again[x] for x in rows))
     assert line_crf.train(df, labels.limit(0), queries.usable()) is None
     assert {r.score for r in line_crf.quality_scores(df, None).collect()} <= {0.5}
@@ -286,6 +286,47 @@ def test_quality_fit_goes_on_after_a_long_text(spark):
     assert line_crf.train(docs, labels, F.lit(True), sample_docs=30) is not None
 
 
+def line_texts(rnd):
+    """A model with strong links and texts of every shape: empty, no line end, only line ends, long and equal lines."""
+    import numpy as np
+
+    model = {"mean": rnd.normal(size=38), "std": rnd.uniform(0.5, 2, 38), "w": rnd.normal(size=38), "trans": rnd.normal(0, 3, (2, 2))}
+    kinds = [b"", b" ", b"a a a b", b"The End, of it; all.", b"####  77 %%", "\u00fcber\tSTRASSE".encode(), b"x" * 150, b"to be or not to be " * 9]
+    texts = [b"", b"\n", b"\n" * 300, b"a\n", b"\nb", b"one", *kinds]
+    for n in (2, 3, 9, 40, 200):
+        texts += [b"\n".join(kinds[i] for i in rnd.integers(0, len(kinds), n)) for _ in range(4)]
+    return model, texts
+
+
+@pytest.mark.parametrize("block,piece", [(1, 1), (7, 3), (64, 16), (1 << 15, 1 << 16)])
+def test_quality_in_blocks_equals_plain_version(monkeypatch, block, piece):
+    import numpy as np
+
+    monkeypatch.setattr(line_crf, "BLOCK_BYTES", block)
+    monkeypatch.setattr(line_crf, "PIECE_BYTES", piece)
+    model, texts = line_texts(np.random.default_rng(block))
+    for t in texts:
+        assert line_crf.score(model, t) == pytest.approx(brute.op7_score(model, t), abs=1e-9), t[:80]
+    sure = {**model, "w": model["w"] * 40}  # lines that are certain in double precision; the logs of the plain version lose digits
+    for t in texts:
+        assert line_crf.score(sure, t) == pytest.approx(brute.op7_score(sure, t), abs=1e-8), t[:80]
+
+
+def test_quality_of_long_texts_in_bounded_memory():
+    """Many short lines, many empty lines, one long line: memory beside the text stays that of a block or line."""
+    import tracemalloc
+
+    import numpy as np
+
+    model, _ = line_texts(np.random.default_rng(3))
+    for text, most in ((b"ab cd\n" * 60_000, 24 << 20), (b"\n" * 70_000, 32 << 20), (b"ab cd, " * 300_000, 16 << 20)):
+        tracemalloc.start()
+        got = line_crf.score(model, text)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert 0 <= got <= 1 and peak < most, peak
+
+
 def test_quality_fit_in_batches():
     import numpy as np
 
