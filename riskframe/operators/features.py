@@ -10,6 +10,7 @@ from riskframe.operators.stats import amount_band
 
 DEFAULT_AS_OF = "2025-01-01"
 
+# The feature columns of the two models, in their order.
 DETECTOR_FEATURES = [
     "category", "amt", "log_amt", "zip", "lat", "long", "city_pop", "merch_lat", "merch_long", "age",
     "hour", "day_of_week", "month", "day_of_month", "distance", "amt_range", "gender", "is_fraud",

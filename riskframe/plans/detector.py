@@ -31,6 +31,7 @@ from riskframe.operators import encode, metrics, sampling
 from riskframe.operators.features import detector_features
 from riskframe.session import checkpoint_root, scratch_path
 
+# The model's inputs, and in DetectorConfig the split, the grid, the folds and the balance rule.
 CATEGORICAL = ["category", "amt_range", "gender"]
 NUMERIC = ["amt", "log_amt", "zip_numeric", "lat", "long", "city_pop", "merch_lat", "merch_long", "age", "hour",
            "day_of_week", "month", "day_of_month", "distance"]

@@ -20,6 +20,7 @@ from riskframe.functions.seeded import digest, quarter, sql_quarter
 from riskframe.plans.sizing import broadcast_if_small
 from riskframe.session import sf_path
 
+# The column names of a transaction file.
 TXN_COLUMNS = [
     "event_id", "customer_id", "trans_num", "trans_date", "trans_time", "unix_time", "category",
     "amt", "is_fraud", "merchant", "merch_lat", "merch_long", "gender", "city", "state", "zip",

@@ -42,6 +42,40 @@ def test_running_totals_match_brute_force(spark):
         acc += v
 
 
+@pytest.mark.parametrize("partitions", ["8", "300"])
+def test_ranges_follow_the_sessions_partitions(spark, partitions):
+    """The number of ranges is the session's, totals are the same: no keys, equal ends, NaN and infinities included."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        keys = [float("-inf"), *[i / 7 for i in range(-400, 400)], float("inf"), float("nan")]
+        df = spark.createDataFrame([(k, 2) for k in keys], "k double, v bigint")
+        for down in (False, True):
+            got = prefix.running_totals(df, "k", ["v"], descending=down).collect()
+            order = list(reversed(keys)) if down else keys
+            assert {str(r.k): r.v_before for r in got} == {str(k): 2 * i for i, k in enumerate(order)}
+        ranges = prefix._bucketed(df, "k", max(prefix.LEAST, int(partitions))).select("_bk").distinct().count()
+        assert ranges == max(prefix.LEAST, int(partitions))
+        assert prefix.running_totals(df.limit(0), "k", ["v"]).collect() == []
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_index_table_matches_indexer(spark):
+    """Many distinct values with ties in their counts, nulls and empty strings."""
+    from riskframe.operators import encode
+
+    rng = np.random.default_rng(8)
+    values = [(None,), ("",)] + [(f"v{int(x)}",) for x in rng.zipf(1.3, 4_000) % 1_500]
+    df = spark.createDataFrame(values, "c string")
+    labels = encode.string_indexers(["c"])[0].fit(df.where("c is not null")).labelsArray[0]
+    got = sorted((r.idx, r.value) for r in encode.index_table(df, "c").collect())
+    assert got == list(enumerate(labels)) and len(got) > 500
+    assert encode.index_table(df.limit(0), "c").collect() == []
+    windows = [w for w in encode.index_table(df, "c")._jdf.queryExecution().analyzed().toString().split("\n") if "windowspec" in w.lower()]
+    assert windows and not any("row_number" in w for w in windows)
+
+
 def test_exact_quantile_matches_numpy(spark):
     rng = np.random.default_rng(1)
     xs = np.round(rng.gamma(2.0, 30.0, 5001), 2)
