@@ -9,8 +9,10 @@ any block can be decoded alone, so files are read back a block a task at a time.
 
 Null and empty texts hold the end id only. Repeated rows are documents of their own (rows with the same
 id lie in the order of their texts' hashes); null ids come first. Empty table: no rows. Further columns are ignored.
-A task holds one block; tokens of chunks between white space are remembered, by a Python worker over its tasks, for at
-most 2 x CACHE chunks and one document.
+Texts are encoded in groups of about GROUP_BYTES: Arrow cuts them at white space and numbers the distinct chunks, each
+distinct chunk of a group is looked up once, and one gather lays the ids out. A longer text goes in pieces that end at
+white space. A task holds one block, or a group, a text and its ids; ids of chunks of at most CHUNK_BYTES are remembered,
+by a Python worker over its tasks, for at most 2 x CACHE chunks and those of one group.
 """
 
 from __future__ import annotations
@@ -23,11 +25,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import map_rows, store
+from riskframe.llm.common import bounded_batches, map_rows, store
 from riskframe.llm.warc import file_system
 from riskframe.session import scratch_path
 
@@ -36,10 +40,14 @@ LANES = 2_048
 BLOCK_TOKENS = 1 << 19
 FILE_BYTES = 128 << 20
 CACHE = 500_000
+#: Longer chunks are not remembered.
+CHUNK_BYTES = 256
+#: Texts encoded at once, in bytes; a longer text is cut at white space.
+GROUP_BYTES = 8 << 20
+#: Where texts may be cut: ASCII white space.
+GAP = re.compile(b"[ \t\n\r\x0b\x0c]")
 #: Tasks that add up the parts' counters (a few hundred KB each).
 COUNTER_TASKS = 4
-#: Ids counted at once, in bytes.
-TALLY_BYTES = 4 << 20
 MAGIC = b"RANSTOK1"
 HEAD = "<8sIIIIIII"  # magic, table crc, documents, tokens, lanes, words, crc of ids, crc of the rest
 
@@ -48,11 +56,12 @@ class ChunkEncoder:
     """Ids of a text by way of its chunks between ASCII white space, for tokenizers that drop white space.
 
     The tokenizer cuts at white space before anything else, so a text's ids are its chunks' ids in
-    order. Chunks of plain letters and closing marks go to the library's merge model directly
-    (lower-cased, as bytes mapped to letters); anything else takes the library's whole path.
+    order. It then cuts a chunk into runs of letters, digits and runs of other marks; those of ASCII and
+    Latin-1 letters, digits and ASCII marks go to the library's merge model directly (lower-cased, as bytes
+    mapped to letters). Chunks with apostrophes (contractions), with marks of added tokens (which hold some) or
+    with any other character take the library's whole path.
     """
 
-    PLAIN = re.compile(b"([a-z]+|(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([.,;:!?]*)")
     UPPER = re.compile(b"\xc3[\x80-\x96\x98-\x9e]")
 
     def __init__(self, tokenizer_json: str, cache: int = CACHE):
@@ -67,11 +76,15 @@ class ChunkEncoder:
         letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
         self.letters = "".join(letter[b] for b in range(256))
 
-        self.marks = {c: self._merge(bytes([c])) for c in b".,;:!?"}
+        added = "'" + "".join(t.content for t in self.tok.get_added_tokens_decoder().values())
+        marks = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in added)
+        self.part = re.compile(b"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|[" + re.escape(marks) + b"]+")
+        self.merge = self.tok.model.tokenize
+        self.marks = {c: self._merge(bytes([c])) for c in marks}
 
     def _merge(self, part: bytes) -> bytes:
         shown = part.decode() if part.isascii() else part.decode("latin-1").translate(self.letters)
-        return b"".join([self.packed[t.id] for t in self.tok.model.tokenize(shown)])
+        return b"".join([self.packed[t.id] for t in self.merge(shown)])
 
     def _plain(self, chunk: bytes) -> bytes | None:
         low = chunk.lower()  # A-Z only
@@ -81,8 +94,12 @@ class ChunkEncoder:
             return self.chunks[low[:-1]] + self.marks[low[-1]]
         if not low.isascii():
             low = self.UPPER.sub(lambda m: bytes((m[0][0], m[0][1] + 32)), low)
-        m = self.PLAIN.fullmatch(low)
-        return None if m is None else self._merge(m[1]) + (self._merge(m[2]) if m[2] else b"")
+        parts = self.part.findall(low)
+        if b"".join(parts) != low:
+            return None
+        if len(parts) > 1:
+            return b"".join(map(self.chunks.__getitem__, parts))
+        return self._merge(low) if low == chunk else self.chunks[low]
 
     def encoded(self, chunk: bytes) -> bytes:
         """The ids of a chunk that is not among the known ones."""
@@ -91,11 +108,45 @@ class ChunkEncoder:
             ids = b"".join([self.packed[i] for i in self.tok.encode(chunk.decode(), add_special_tokens=False).ids])
         return ids
 
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
+    def group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, one after the other; how many each text has)."""
         if len(self.chunks) > self.most:
             self.older, self.chunks = self.chunks, Chunks(self)
-        return b"".join(map(self.chunks.__getitem__, text.encode().split()))
+        split = pc.ascii_split_whitespace(texts)  # gives empty chunks at the ends, which have no ids
+        numbered = split.flatten().dictionary_encode()
+        known = list(map(self.chunks.__getitem__, numbered.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()))
+        pool, size = np.frombuffer(b"".join(known), "<u4"), np.array(list(map(len, known)), np.int64) // 4
+        at = numbered.indices.to_numpy()
+        n = size[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        take = np.repeat((np.cumsum(size) - size)[at] - ends[:-1], n)
+        take += np.arange(len(take))
+        per_text = pc.list_value_length(split).to_numpy()
+        return pool[take], np.diff(ends[np.concatenate([[0], np.cumsum(per_text)])])
+
+    def groups(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(number of texts, their ids, how many each has) for runs of ``texts``, none of them null, in order."""
+        size = pc.binary_length(texts).to_numpy().astype(np.int64)
+        start = 0
+        while start < len(texts):
+            if size[start] > GROUP_BYTES:
+                parts = [self.group(pa.array([p]).cast(pa.string()))[0] for p in pieces(texts[start].as_buffer().to_pybytes())]
+                ids, stop = np.concatenate(parts), start + 1
+                yield 1, ids, np.array([len(ids)], np.int64)
+            else:
+                stop = start + max(1, int(np.searchsorted(np.cumsum(size[start:]), GROUP_BYTES, "right")))
+                yield stop - start, *self.group(texts.slice(start, stop - start))
+            start = stop
+
+
+def pieces(text: bytes) -> Iterator[bytes]:
+    """``text`` cut at the first white space after every GROUP_BYTES."""
+    at = 0
+    while at < len(text):
+        gap = GAP.search(text, at + GROUP_BYTES)
+        end = gap.start() if gap else len(text)
+        yield text[at:end]
+        at = end
 
 
 class Chunks(dict):
@@ -106,7 +157,9 @@ class Chunks(dict):
         self.encoder = encoder
 
     def __missing__(self, chunk: bytes) -> bytes:
-        ids = self[chunk] = self.encoder.encoded(chunk)
+        ids = self.encoder.encoded(chunk) if chunk else b""
+        if len(chunk) <= CHUNK_BYTES:
+            self[chunk] = ids
         return ids
 
 
@@ -218,31 +271,33 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int) -> tuple
     """(part, seq, doc_id, ids), stored, in ascending id order over parts and rows; and how often each id occurs.
 
     The occurrences are counted in the same pass: a part's last row (seq -1) holds its counters, one per id of the vocabulary."""
-    def run(rows: Iterator[dict]) -> Iterator[tuple]:
-        part, enc, end = TaskContext.get().partitionId(), worker_encoder(tokenizer_json), struct.pack("<I", end_id)
-        seen, held, size = np.zeros(0, np.int64), [], 0
-
-        def add(ids: bytes) -> np.ndarray:
-            n = np.bincount(np.frombuffer(ids, "<u4"), minlength=len(seen))
-            n[:len(seen)] += seen
-            return n
-
-        for i, row in enumerate(rows):
-            ids = enc.ids(row["text"] or "") + end
-            held.append(ids)
-            size += len(ids)
-            if size >= TALLY_BYTES:
-                seen, held, size = add(b"".join(held)), [], 0
-            yield part, i, row["doc_id"], ids
-        if held:
-            seen = add(b"".join(held))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, enc, end = TaskContext.get().partitionId(), worker_encoder(tokenizer_json), np.uint32(end_id)
+        seen, seq = np.zeros(0, np.int64), 0
+
+        def rows(seqs: np.ndarray, doc_ids: pa.Array, ids: pa.Array) -> pa.RecordBatch:
+            parts = pa.array(np.full(len(seqs), part, np.int32))
+            return pa.RecordBatch.from_arrays([parts, pa.array(seqs), doc_ids, ids], ["part", "seq", "doc_id", "ids"])
+
+        for batch in batches:
+            texts, start = pc.fill_null(batch.column("text"), ""), 0
+            for m, ids, n in enc.groups(texts):
+                ids = np.insert(ids, np.cumsum(n), end)  # after each text
+                counted = np.bincount(ids, minlength=len(seen))
+                counted[:len(seen)] += seen
+                seen = counted
+                bounds = np.concatenate([[0], np.cumsum(4 * (n + 1))]).astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(bounds), pa.py_buffer(ids.astype("<u4"))])
+                yield rows(np.arange(seq, seq + m), batch.column("doc_id").slice(start, m), packed)
+                start, seq = start + m, seq + m
         if len(seen):
-            yield part, -1, None, seen.astype("<i8").tobytes()
+            yield rows(np.array([-1]), pa.nulls(1, pa.int64()), pa.array([seen.astype("<i8").tobytes()], pa.binary()))
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = src.repartitionByRange(F.asc_nulls_first("doc_id"), F.xxhash64("text")).sortWithinPartitions(
         F.asc_nulls_first("doc_id"), F.xxhash64("text"))
-    whole = store(map_rows(order, run, "part int, seq long, doc_id long, ids binary"), "token-ids")
+    bounded_batches(docs.sparkSession)
+    whole = store(order.mapInArrow(run, "part int, seq long, doc_id long, ids binary"), "token-ids")
 
     def spread(rows: Iterator[dict]) -> Iterator[tuple]:
         total = np.zeros(0, np.int64)

@@ -245,6 +245,29 @@ def test_rans_round_trip_and_damage():
     assert many[1].sum() == 1 << rans_output.SCALE and many[1].min() == 1
 
 
+def test_encoder_equals_the_library(monkeypatch):
+    """Strings of every kind of character, one and many at a time, cut into small groups and pieces, with a tiny cache."""
+    import numpy as np
+    import public_tokenizers as P
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    encoder = rans_output.ChunkEncoder(whole.to_str(), cache=20)
+    rnd = random.Random(10)
+    atoms = [" ", " ", "\t", "\n", "\x0b", "\x1c", "\x85", "\x00", "\x7f", "a", "B", "the", "Zoo", "É", "é", "ß", "×", "÷", "e\u0301", "µ", "x9", "2024",
+             "don't", "'S", "''", "$$", "##*", "<", "|", "[", "<|endoftext|>", "(", ")-", "你好", "İ", "😀", "q" * 300]
+    texts = ["".join(rnd.choice(atoms) for _ in range(rnd.randrange(14))) for _ in range(3_000)] + ["", " ", "\n\n"]
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    for size in (1, 50, 1 << 20):
+        monkeypatch.setattr(rans_output, "GROUP_BYTES", size)
+        got = list(encoder.groups(pa.array(texts)))
+        ids, n = np.concatenate([g[1] for g in got]), np.concatenate([g[2] for g in got])
+        assert sum(g[0] for g in got) == len(texts) and n.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+    assert list(encoder.groups(pa.array([], pa.string()))) == []
+
+
 def test_quality_scores(corpus, spark):
     rows, df = corpus
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
