@@ -201,6 +201,8 @@ class Coder:
         self.symbols = symbols.astype("<u4")
         self.freq = freq.astype(np.uint64)
         self.cum = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
+        self.place = np.full(int(self.symbols.max(initial=0)) + 1, len(symbols), np.uint32)  # of a symbol; past the end: none
+        self.place[self.symbols] = np.arange(len(symbols), dtype=np.uint32)
         self.slots = np.repeat(np.arange(len(symbols), dtype=np.uint32), freq)
         self.crc = zlib.crc32(self.symbols.tobytes() + freq.astype("<u4").tobytes())
         self.low, self.word = np.uint64(1 << 31), np.uint64(32)
@@ -208,7 +210,7 @@ class Coder:
 
     def encode(self, ids: np.ndarray, lanes: int = LANES) -> tuple[np.ndarray, np.ndarray]:
         """(lane states, words) of at least one id."""
-        at = np.searchsorted(self.symbols, ids)
+        at = self.place[ids]
         lanes = min(lanes, len(ids))
         x, out = np.full(lanes, self.low), []
         for start in range((len(ids) - 1) // lanes * lanes, -1, -lanes):
