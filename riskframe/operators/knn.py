@@ -131,15 +131,20 @@ class _Best:
         """Candidates ``x`` for the queries ``which``."""
         size_x = (x * x).sum(axis=1)
         rel = 4 * (x.shape[1] + 8) * np.finfo(np.float64).eps
+        wide = np.column_stack([x, size_x]).T  # one product gives |x|^2 - 2qx
         for at in range(0, len(which), QUERY_CHUNK):
             rows = which[at:at + QUERY_CHUNK]
             q = self.vecs[rows]
-            size = (q * q).sum(axis=1)[:, None] + size_x[None, :]
-            square = size - 2.0 * (q @ x.T)
-            limit = self.dist[rows, -1] ** 2
+            size_q = (q * q).sum(axis=1)
+            slack = 2 * rel * (size_q + size_x.max())
+            less = np.column_stack([-2.0 * q, np.ones(len(q))]) @ wide
+            limit = self.dist[rows, -1] ** 2 - size_q
             if x.shape[0] > self.keep:
-                limit = np.minimum(limit, np.partition(square, self.keep - 1, axis=1)[:, self.keep - 1])
-            a, b = np.nonzero(square <= limit[:, None] + 2 * rel * size)
+                # a block bounds the queries that have no k + 1 points yet
+                new = np.nonzero(np.isinf(limit))[0]
+                if len(new):
+                    limit[new] = np.partition(less[new], self.keep - 1, axis=1)[:, self.keep - 1]
+            a, b = np.nonzero(less <= (limit + slack)[:, None])
             for cut in range(0, len(a), PAIR_CHUNK * 8):
                 self._enter(rows, a[cut:cut + PAIR_CHUNK * 8], q, x, b[cut:cut + PAIR_CHUNK * 8], ids)
 

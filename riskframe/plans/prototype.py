@@ -132,8 +132,9 @@ def run_prototype(spark: SparkSession, txn: DataFrame, cfg: PrototypeConfig | No
     if len(counts) < 2:
         raise ValueError("the training split holds one class only")
     rare = counts[0][cfg.label]
-    synthetic = smote(train, cfg.key, "p", cfg.label, rare, cfg.neighbours, cfg.seed).select(
-        F.col("base_id").alias(cfg.key), "copy", F.lit(rare).cast(train.schema[cfg.label].dataType).alias(cfg.label), F.col("syn_vec").alias("p"))
+    synthetic = stored(smote(train, cfg.key, "p", cfg.label, rare, cfg.neighbours, cfg.seed).select(
+        F.col("base_id").alias(cfg.key), "copy", F.lit(rare).cast(train.schema[cfg.label].dataType).alias(cfg.label), F.col("syn_vec").alias("p")),
+        "prototype-synthetic")  # read by the class weights and the forest: neighbours are searched once
     grown = train.select(cfg.key, F.lit(0).cast("bigint").alias("copy"), cfg.label, "p").unionByName(synthetic)
     grown = sampling.with_class_weight(grown, cfg.label).withColumn("features", array_to_vector("p"))
     grown = checkpointed(grown.select(cfg.key, "copy", cfg.label, "weight", "features"), cfg.key, "copy")

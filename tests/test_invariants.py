@@ -269,3 +269,25 @@ def test_running_totals_over_fences(spark, monkeypatch):
         assert got[k] == (acc, 2 * acc)
         acc += a
 
+
+
+def test_knn_block_is_cut_only_for_queries_without_a_bound(monkeypatch):
+    """Later blocks meet a k-th distance; ordering their products again costs most of the search."""
+    import numpy as np
+
+    from riskframe.operators import knn
+
+    rng = np.random.default_rng(7)
+    points, k = np.round(rng.normal(size=(900, 4)) + 1e3, 1), 3
+    ids = np.full((900, k + 1), knn.NO_ID, np.int64)
+    ids[:, 0] = np.arange(900)
+    best = knn._Best(points[:300], ids[:300], k)
+    best.merge(points[:300], ids[:300], np.arange(300))
+    monkeypatch.setattr(np, "partition", None)
+    for at in (300, 600):
+        best.merge(points[at:at + 300], ids[at:at + 300], np.arange(300))
+    found = best.rows().column(1).to_pylist()
+    for i in range(300):
+        dist = np.sqrt(((points - points[i]) ** 2).sum(axis=1))
+        order = np.lexsort((np.arange(900), dist))[:k + 1]
+        assert [(s["dist"], s["nbr_id"]) for s in found[i]] == [(dist[j], j) for j in order]

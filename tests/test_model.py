@@ -191,3 +191,30 @@ def test_prototype_of_one_class_or_no_rows(spark):
         prototype.run_prototype(spark, t.where("is_fraud = 0"))
     with pytest.raises(ValueError):
         prototype.run_prototype(spark, t.limit(0))
+
+
+def test_estimator_partitions_are_bounded():
+    assert [detector.partitions(n) for n in (0, 100, 20_000, 6_000_000, 40 << 20)] == [1, 1, 3, 12, 40]
+
+
+def test_model_frame_is_stored_before_its_checks(spark, monkeypatch):
+    """Checks pushed below the join would compute the features once per check."""
+    from conftest import SF_SMALL
+    from riskframe.plans import q_model
+
+    names = []
+    monkeypatch.setattr(q_model, "stored", lambda df, name: names.append(name) or detector.stored(df, name))
+    cfg = detector.DetectorConfig()
+    frame = q_model._model_frame(spark, SF_SMALL, cfg)
+    assert names == ["model-frame"] and frame.count() > 0
+
+
+def test_prototype_searches_neighbours_once(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from riskframe.sources.tables import txn
+
+    names = []
+    monkeypatch.setattr(prototype, "stored", lambda df, name: names.append(name) or detector.stored(df, name))
+    run = prototype.run_prototype(spark, txn(spark, SF_SMALL), prototype.PrototypeConfig(num_trees=2, max_depth=2))
+    assert names.count("prototype-synthetic") == 1
+    assert "seq" not in run.synthetic._jdf.queryExecution().analyzed().toString()
