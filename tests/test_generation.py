@@ -35,3 +35,38 @@ def test_summary_matches_rows(spark):
     s = {(r.metric, r.key): r.value for r in generation.summary(g).collect()}
     assert s[("transactions", "")] == g.count()
     assert s[("label", "0")] + s.get(("label", "1"), 0) == g.count()
+
+
+def test_gamma_amounts_are_those_of_the_fold_and_compiled(spark):
+    from riskframe.operators import sampling
+
+    for shape in (0.4, 2.5, -1.0, None):
+        rows = spark.range(500).select("id", F.lit(shape).cast("double").alias("k"), F.lit(20.0).alias("t"))
+        fold = sampling.gamma_draw(F.col("k"), F.col("t"), "id", "gamma7").alias("x")
+        want = {r.id: r.x for r in rows.select("id", fold).collect()}
+        out = sampling.with_gamma_amount(rows, F.col("k"), F.col("t"), "id", "amt", 7)
+        assert out.columns == ["id", "k", "t", "amt"]
+        for r in out.collect():
+            assert r.amt == want[r.id] if want[r.id] is None or want[r.id] >= 1 else 1 <= r.amt <= 10
+    assert "sequence(2" in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_small_roots_are_compared_without_a_fold(spark):
+    from riskframe.operators import fences
+
+    keys = spark.createDataFrame([(float(i),) for i in range(5)], "k double")
+    at = spark.createDataFrame([(-1.0,), (0.0,), (0.5,), (4.0,), (9.0,), (float("nan"),), (None,)], "u double")
+    for inclusive, want in ((False, [None, None, 0.0, 3.0, 4.0, 4.0, None]), (True, [None, 0.0, 0.0, 4.0, 4.0, 4.0, None])):
+        out = fences.locate(at, "u", keys, "k", "o", inclusive)
+        assert "aggregate(" not in out._jdf.queryExecution().analyzed().toString()
+        assert [r.o for r in out.collect()] == want
+
+
+def test_time_of_day_text(spark):
+    from riskframe.operators import sampling
+
+    rows = spark.range(300).select("id", F.when(F.col("id") > 0, 50.0).alias("w"))
+    out = sampling.with_daypart_time(rows, "id", F.col("w"), F.lit(50.0), F.lit(0)).withColumn(
+        "was", F.format_string("%02d:%02d:%02d", "hour", "minute", "second"))
+    assert out.where("was != trans_time or trans_time is null").count() == 0
+    assert "format_string" not in out.drop("was")._jdf.queryExecution().optimizedPlan().toString()
