@@ -16,10 +16,11 @@ context, ``length`` bytes from it on and as many before it as a string can start
    right to left: an interval of that second tree is where the extension to the left is diverse. A
    pair of nodes is a maximal repeat with all its occurrences in the group. A member's spans of
    ``length`` and more all hold its anchor, so their union is one run: the widest left and right ends
-   over its deepest nodes. Groups of more than ``group_rows`` are not gathered: members are cut into
-   pieces of ``PIECE`` neighbouring string starts, counted in Spark; a piece found again is covered
-   whole. One of each kind of piece is cut into its strings, which are counted the same way and
-   decide for the pieces found once. This gives the same bytes.
+   over its deepest nodes.
+Before 4, members of a core that carry the same bytes are counted, as in 2, whatever the size of the
+group: all of them are covered whole and one goes on. A core that more than ``group_rows`` different
+members are left with is not gathered: its half of the offsets is halved, which lengthens the core, and
+the members go through 3 and 4 again. A core of one offset is the string itself; so this ends.
 
 Texts are UTF-8 bytes; matches never cross documents. Null and empty texts have nothing to remove.
 Each row is a document, so rows repeated in id and text are copies of each other and both lose
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
@@ -38,13 +40,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.anchors import byte_values, joined_anchors, merged
-from riskframe.llm.common import bounded_batches, broadcast_stored, map_rows, row_key, store
+from riskframe.llm.common import bounded_batches, map_rows, row_key, store
 
 K = 48
 CORES = 2
 GROUP_ROWS = 4_096
-PIECE = 10
 JOINED_BYTES = 1 << 18
+MEMBER = "dk long, pos long, lo int, hi int, core long, whole binary, left binary, right binary"
 
 
 def shared_prefix(a: bytes, b: bytes) -> int:
@@ -167,8 +169,6 @@ def repeated_spans(docs: DataFrame, length: int, group_rows: int = GROUP_ROWS) -
     marks = whole.union(some).groupBy("dk").agg(F.collect_set(F.struct("pos", "all")).alias("marks"))
 
     def contexts(rows: Iterator[dict]) -> Iterator[tuple]:
-        import xxhash
-
         for row in rows:
             text, spans = row["text"], []
             for mark in row["marks"]:
@@ -177,66 +177,62 @@ def repeated_spans(docs: DataFrame, length: int, group_rows: int = GROUP_ROWS) -
                 if mark["all"]:
                     spans.append((p - len(left), p + len(right)))
                     continue
-                for g in range(CORES):
-                    ahead = length - min((g + 1) * step - 1, reach)
-                    if len(left) >= g * step and len(right) >= ahead:
-                        core = left[len(left) - g * step:] + right[:ahead]
-                        furthest = min((g + 1) * step - 1, reach, len(left))
-                        yield (row["dk"], p, g, xxhash.xxh64_intdigest(core, g) - (1 << 63),
-                               left[len(left) - furthest:], right[:length - g * step], None, None)
-            yield row["dk"], None, None, None, None, None, text, [x for span in merged(spans) for x in span]
+                for lo in range(0, reach + 1, step):
+                    for part in _part(left, right, lo, min(lo + step - 1, reach), length):
+                        yield (row["dk"], p, *part, None, None)
+            yield row["dk"], *[None] * 7, text, [x for span in merged(spans) for x in span]
 
     # rows that repeat id and text have been counted: one of them stands for all from here on
     split = store(map_rows(docs.dropDuplicates(["dk"]).join(marks, "dk"), contexts,
-                           "dk long, pos long, g int, core long, left binary, right binary, text binary, fully array<long>"),
-                  "suffix-texts")
+                           f"{MEMBER}, text binary, fully array<long>"), "suffix-texts")
     texts = split.where("text is not null").select("dk", "text", "fully")
-    members = split.where("pos is not null").drop("text", "fully")
-    # at most one core in group_rows members is large
-    cores = broadcast_stored(store(members.groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") > group_rows)
-                                   .select("core"), "suffix-cores"))
+    return texts, _member_spans(split.where("pos is not null").drop("text", "fully"), length, group_rows)
+
+
+def _part(left: bytes, right: bytes, lo: int, hi: int, length: int) -> Iterator[tuple]:
+    """(lo, hi, core, whole, left, right) of the strings that start ``lo`` to ``hi`` bytes before an anchor, if there are any."""
+    import xxhash
+
+    if len(left) < lo or len(right) < length - hi:
+        return
+    core = xxhash.xxh64_intdigest(left[len(left) - lo:] + right[:length - hi], lo << 16 | hi) - (1 << 63)
+    left, right = left[max(0, len(left) - hi):], right[:length - lo]
+    if len(left) + len(right) >= length:
+        yield lo, hi, core, xxhash.xxh3_128_digest(left + right, len(left)), left, right
+
+
+def _member_spans(members: DataFrame, length: int, group_rows: int) -> DataFrame:
+    """(dk, s, e) of the strings that members of a core's group share; a round per halving of the groups that are too large."""
 
     def scan(rows: Iterator[dict]) -> Iterator[tuple]:
         for _, group in groupby(rows, key=lambda r: r["core"]):
             held = list(group)  # at most group_rows
-            if len(held) < 2:
-                continue
             for m, left, right in member_runs([(r["left"], r["right"]) for r in held], length):
                 yield held[m]["dk"], held[m]["pos"] - left, held[m]["pos"] + right
 
-    def pieces(rows: Iterator[dict]) -> Iterator[tuple]:
-        import xxhash
-
-        for r in rows:
-            text, anchor, at = r["left"] + r["right"], len(r["left"]), 0
-            last = min(len(text) - length, anchor - r["g"] * step)
-            while at <= last:
-                end = min(last, anchor - (anchor - at) // PIECE * PIECE)
-                content = text[at:end + length]
-                yield r["dk"], r["pos"] - anchor + at, xxhash.xxh3_128_digest(content), content
-                at = end + 1
-
-    def strings(rows: Iterator[dict]) -> Iterator[tuple]:
-        import xxhash
-
+    def halves(rows: Iterator[dict]) -> Iterator[tuple]:
         for r in rows:
-            for at in range(len(r["content"]) - length + 1):
-                yield r["dk"], r["s"] + at, r["again"], xxhash.xxh3_128_digest(r["content"][at:at + length])
-
-    small = members.join(cores, "core", "left_anti").repartition("core").sortWithinPartitions("core")
-    # a string or piece through two anchors comes twice from the same place
-    elsewhere = (F.min("dk") < F.max("dk")) | (F.min("s") < F.max("s"))
-    cut = store(map_rows(members.join(cores, "core"), pieces, "dk long, s long, piece binary, content binary"),
-                "suffix-pieces")
-    kinds = store(cut.groupBy("piece").agg(elsewhere.alias("again"), F.min("dk").alias("dk"), F.min("s").alias("s"),
-                                           F.first("content").alias("content")), "suffix-kinds")
-    single = store(map_rows(kinds, strings, "dk long, s long, again boolean, string binary", chunk=1 << 14),
-                   "suffix-strings")
-    shared = single.groupBy("string").agg((F.max("again") | elsewhere).alias("many")).where("many").select("string")
-    spans = map_rows(small, scan, "dk long, s long, e long").union(
-        cut.join(kinds.where("again").select("piece"), "piece").select("dk", "s", (F.col("s") + F.octet_length("content")).alias("e"))
-    ).union(single.where("not again").join(shared, "string").select("dk", "s", (F.col("s") + length).alias("e")))
-    return texts, spans
+            mid = (r["lo"] + r["hi"]) // 2
+            for lo, hi in ((r["lo"], mid), (mid + 1, r["hi"])):
+                for part in _part(r["left"], r["right"], lo, hi, length):
+                    yield r["dk"], r["pos"], *part
+
+    found = []
+    while True:
+        kinds = store(members.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("dk", "pos")).alias("rep")),
+                      "suffix-kinds")
+        ends = members.select("core", "whole", "dk", (F.col("pos") - F.octet_length("left")).alias("s"),
+                              (F.col("pos") + F.octet_length("right")).alias("e"))  # no bytes go through this join
+        found.append(ends.join(kinds.where("n > 1").select("core", "whole"), ["core", "whole"]).select("dk", "s", "e"))
+        several = kinds.groupBy("core").agg(F.count("*").alias("k")).where("k > 1")
+        go_on = kinds.join(several, "core").select("core", "rep.dk", "rep.pos", "k")
+        shared = store(members.join(go_on, ["core", "dk", "pos"]), "suffix-members")
+        small = shared.where(F.col("k") <= group_rows).select("dk", "pos", "core", "left", "right")
+        found.append(map_rows(small.repartition("core").sortWithinPartitions("core"), scan, "dk long, s long, e long"))
+        large = shared.where(F.col("k") > group_rows)
+        if large.isEmpty():  # at the latest when lo is hi, as all of a group are then equal
+            return reduce(DataFrame.union, found)
+        members = store(map_rows(large, halves, MEMBER), "suffix-halves")
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, group_rows: int = GROUP_ROWS) -> DataFrame:

@@ -134,6 +134,19 @@ def test_suffix_repeats(corpus):
         same(suffix_repeats.remove_repeats(df, group_rows=group_rows).drop("kept"), expected)
 
 
+def test_suffix_repeats_of_a_frequent_passage(spark):
+    """Members of a group that is too large get a row per halving at most, not one per few string starts."""
+    r = random.Random(5)
+    passage = "".join(r.choices("abcdefghij", k=900))
+    noise = lambda n: "".join(r.choices("klmnopqrst", k=n))
+    rows = [(i, noise(400) + passage + noise(400)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = df.select(F.col("doc_id").alias("dk"), F.col("text").cast("binary").alias("text"))
+    counts = [suffix_repeats.repeated_spans(docs, 200, group_rows)[1].count() for group_rows in (1_024, 4)]
+    assert counts[1] <= 4 * counts[0], counts
+    same(suffix_repeats.remove_repeats(df, group_rows=4).drop("kept"), brute.op6(rows))
+
+
 def test_maximal_repeats_lists_all_occurrences():
     members = [(b"xxab", b"cdefg"), (b"yyab", b"cdefh"), (b"zzab", b"cdezz"), (b"q", b"r")]
     found = {(left, right, tuple(sorted(group))) for left, right, group in suffix_repeats.maximal_repeats(members, 5)}
