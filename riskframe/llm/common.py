@@ -46,6 +46,12 @@ def broadcast_stored(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataF
     return F.broadcast(stored) if stored.count() <= max_rows else stored
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side of a join that Spark must not broadcast by its own estimate: that knows neither the rows an explode makes nor
+    how well the files of a stored table are compressed. The join is sorted and merged (a hint; other joins stay as they are)."""
+    return df.hint("merge")
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """64-bit key of a row's id and text; rows share it only if they repeat both."""
     return F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("\x00null")), F.col(text_col))

@@ -7,7 +7,9 @@ largest upper bounds of each query, which give its threshold (their k-th, less t
 Second scan: only vectors whose upper bound reaches the threshold are looked at, exact vectors
 read in the order of falling bounds until the k-th exact score is above the next bound; the
 blocks' best rows are then merged. Queries meet all rows in blocks: vectors are packed into
-groups, and every block of queries visits every group.
+groups, and every block of queries visits every group. The visits are a product of the stored
+groups and blocks: a task reads its files of either side again, and nothing is repeated by an
+explode, shuffled or broadcast for them.
 
 Vectors that are null or hold a null or non-finite component take no part, nor do rows with a
 null id. Rows repeating an id count once (the smallest vector of that id). A vector meets only
@@ -24,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import store
+from riskframe.llm.common import bounded_batches, shuffled, store
 
 GROUP_ROWS = 8_192
 QUERY_ROWS = 1_024
@@ -92,7 +94,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, ce
     groups = store(_packed(ints, n_groups, cell), "vector-groups")
     blocks = store(_packed(queries, q_groups, cell).select(
         F.col("grp").alias("q_grp"), "dim", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs")), "query-blocks")
-    visits = blocks.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
+    bounded_batches(vectors.sparkSession)
+
+    def visited(groups: DataFrame, blocks: DataFrame) -> DataFrame:
+        return groups.join(blocks.hint("shuffle_replicate_nl"), "dim")
 
     def unpack(ids, raw, dim):
         i = np.frombuffer(ids, "<i8")
@@ -109,14 +114,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, ce
                     best = -np.partition(-up, n - 1, axis=1)[:, :n]
                     yield pd.DataFrame({"id": np.repeat(qi[at:at + 256], n), "up": best.ravel()})
 
-    pairs = groups.drop("vecs").join(visits, ["grp", "dim"])  # the first scan reads approximations only
+    pairs = visited(groups.drop("vecs"), blocks)  # the first scan reads approximations only
     ups = pairs.mapInPandas(scan, "id long, up double").where("up > double('-Infinity')")
     nth = F.row_number().over(_by("id", F.desc("up")))
     slack = F.aggregate("v", F.lit(0.0), lambda s, x: s + F.abs(x).cast("double")) * (cell - 1)
     limits = (ups.withColumn("n", nth).where(F.col("n") <= k).groupBy("id")
               .agg(F.when(F.count("*") >= k, F.min("up")).alias("kth"))
-              .join(queries, "id").select("id", (F.col("kth") - slack).alias("least")))
-    limits = store(limits.join(queries.select("id", F.size("v").alias("dim")), "id")
+              .join(shuffled(queries), "id").select("id", (F.col("kth") - slack).alias("least"), F.size("v").alias("dim")))
+    limits = store(limits
                    .withColumn("grp", F.pmod(F.xxhash64("id"), F.lit(q_groups)).cast("int")), "thresholds")
     per_block = limits.groupBy(F.col("grp").alias("q_grp"), "dim").agg(
         F.collect_list("id").alias("l_ids"), F.collect_list(F.coalesce("least", F.lit(float("-inf")))).alias("l_min"))
@@ -144,7 +149,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, ce
                         out += zip([qid] * len(kept), kept_id.tolist(), kept.tolist())
                 yield pd.DataFrame(out, columns=["query_id", "id", "score"])
 
-    found = (groups.join(visits.join(per_block, ["q_grp", "dim"]), ["grp", "dim"])
+    limited = store(blocks.join(shuffled(per_block), ["q_grp", "dim"]), "limited-blocks")
+    found = (visited(groups, limited)
              .mapInPandas(refine, "query_id long, id long, score long"))
     rank = F.row_number().over(_by("query_id", F.desc("score"), F.asc("id")))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select(

@@ -412,6 +412,12 @@ def test_vector_topk_in_several_groups(spark, monkeypatch):
     same(vector_topk.top_k(real, F.expr("id % 20 = 0")), brute.op3([(r.vec_id, r.embedding) for r in real.collect()]))
 
 
+def test_vector_topk_visits_are_neither_broadcast_nor_exploded(spark):
+    real = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    plan = vector_topk.top_k(real, F.expr("id % 20 = 0"))._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and "Generate" not in plan
+
+
 def test_warc(spark):
     big = "<html>" + "ä" * 300
     rows = [(5, "http://a/ b", big), (3, None, big), (9, "u", big), (3, None, big), (None, "n", big), (1, "x\r\ny", "short"),
