@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import store
+from riskframe.llm.common import BROADCAST_ROWS, shuffled, store
 
 
-def _smallest(edges: DataFrame, key: str, other: str) -> DataFrame:
-    """Each edge with the smallest of its key's partners and the key itself (partial aggregation, then a join)."""
+def _smallest(edges: DataFrame, key: str, other: str, few: bool) -> DataFrame:
+    """Each edge with the smallest of its key's partners and the key itself (partial aggregation, then a join; ``few``
+    keys are broadcast)."""
     least = edges.groupBy(key).agg(F.min(other).alias("m"))
-    return edges.join(least, key).withColumn("m", F.least("m", key))
+    return edges.join(F.broadcast(least) if few else shuffled(least), key).withColumn("m", F.least("m", key))
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -31,10 +32,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     if before[0] == 0:
         return cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
     for _ in range(max_rounds):
+        few = 2 * before[0] <= BROADCAST_ROWS  # a round makes at most two rows of an edge
         both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (_smallest(both, "u", "v").where(F.col("v") > F.col("u"))
+        large = (_smallest(both, "u", "v", few).where(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct())
-        low = _smallest(large, "u", "v")
+        low = _smallest(large, "u", "v", few)
         small = (low.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).where("u != v").distinct())
         cur = store(small, "edges")

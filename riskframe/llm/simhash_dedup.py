@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import map_rows, row_key, store
+from riskframe.llm.common import map_rows, row_key, shuffled, store
 from riskframe.llm.components import connected_components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -71,7 +71,7 @@ def linked_pairs(distinct: DataFrame, max_bits: int) -> DataFrame:
                      for i, m in enumerate(masks)])
     rows = distinct.select("fp", F.explode_outer(keys).alias("key"))
     a, b = rows.select("key", F.col("fp").alias("a")), rows.select("key", F.col("fp").alias("b"))
-    return (a.join(b, "key").where((F.col("a") < F.col("b"))
+    return (a.join(shuffled(b), "key").where((F.col("a") < F.col("b"))
                                    & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
             .select("a", "b").distinct())
 
@@ -79,7 +79,7 @@ def linked_pairs(distinct: DataFrame, max_bits: int) -> DataFrame:
 def rooted(distinct: DataFrame, max_bits: int) -> DataFrame:
     """(fp, least, root) of ``distinct`` (fp, least): root is the same for all fingerprints of a component."""
     roots = connected_components(linked_pairs(distinct.select("fp"), max_bits))
-    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+    return distinct.join(shuffled(roots.withColumnRenamed("node", "fp")), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
 
 
@@ -89,8 +89,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, id_col:
     prints = store(fingerprints(docs, width, id_col, text_col), "fingerprints")
     named = rooted(prints.groupBy("fp").agg(F.min("id").alias("least")), max_bits)
     heads = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = named.join(heads, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select(F.col("id").alias(id_col),
+    classes = named.join(shuffled(heads), "root").select("fp", "component_id")
+    return prints.join(shuffled(classes), "fp").select(F.col("id").alias(id_col),
                                              F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -102,4 +102,4 @@ def keep_first(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
     prints = store(fingerprints(rows, width, "__row"), "fingerprints")
     named = rooted(prints.groupBy("fp").agg(F.min("id").alias("least")), max_bits)
     heads = named.groupBy("root").agg(F.min("least").alias("__row")).select("__row")
-    return rows.join(heads, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")
+    return rows.join(shuffled(heads), "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")

@@ -95,6 +95,16 @@ def test_simhash_links_every_close_pair(spark):
     same(simhash_dedup.linked_pairs(df, 4), close)
 
 
+def test_simhash_joins_are_not_broadcast(spark):
+    """A frame of few bytes, which is many rows behind the explode: Spark's estimate would broadcast it."""
+    prints = spark.range(50).select(F.xxhash64("id").alias("fp"))
+    named = simhash_dedup.rooted(prints.withColumn("least", F.col("fp")), 4)
+    for df in (simhash_dedup.linked_pairs(prints, 4), named, simhash_dedup.keep_first(
+            prints.select(F.col("fp").alias("doc_id"), F.lit("a b").alias("text")))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_keep_first_takes_one_row_of_each_component(spark):
     """Several texts under a null id, a null-id copy of a text with an id, one id on two texts, repeated rows."""
     rnd = random.Random(9)
@@ -440,6 +450,21 @@ def test_warc_streams():
             list(warc.records(warc.inflate(io.BytesIO(raw[:-30]), 1_000)))
 
 
+def test_components_of_many_edges(spark, monkeypatch):
+    """Above the bound no side of a round's joins is broadcast; the roots are the same."""
+    from riskframe.llm import components
+
+    rnd = random.Random(5)
+    edges = spark.createDataFrame([(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(150)], "a long, b long")
+    few = sorted(components.connected_components(edges).collect())
+    plans = []
+    monkeypatch.setattr(components, "store", lambda df, name, f=components.store: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or f(df, name))
+    monkeypatch.setattr(components, "BROADCAST_ROWS", 0)
+    assert sorted(components.connected_components(edges).collect()) == few
+    assert len(plans) > 1 and not any("Broadcast" in x for x in plans)
+
+
 def test_components(spark):
     from riskframe.llm.components import connected_components
 
