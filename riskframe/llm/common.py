@@ -42,8 +42,8 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def broadcast_stored(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the stored table's counted rows are within the bound."""
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    """Hint a broadcast only when the stored table's counted rows are within the bound, else none of either side."""
+    return F.broadcast(stored) if stored.count() <= max_rows else shuffled(stored)
 
 
 def shuffled(df: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import store
+from riskframe.llm.common import shuffled, store
 
 # fixed values: the fractional part of the golden ratio; ASCII white space
 GOLDEN = 0.6180339887498949
@@ -128,7 +128,7 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, limit:
         F.col("start") + F.col("size") - F.col("block") * block, F.lit(block))
     held = held.select("row", "src", "block", begin.alias("x"), end.alias("y"))
     slots = schedule(goals, block).select("src", "block", "words")
-    takes = (held.join(slots, ["src", "block"])
+    takes = (held.join(shuffled(slots), ["src", "block"])
              .select("row", F.greatest(F.least("y", "words") - F.col("x"), F.lit(0)).alias("t"))
              .groupBy("row").agg(F.sum("t").alias("taken")))
     return placed.join(takes, "row", "left").select(

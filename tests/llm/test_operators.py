@@ -223,6 +223,13 @@ def test_mix_schedule_is_even(spark):
         assert [r.rank for r in own] == list(range(len(own))) and sum(r.words for r in own) == goal
 
 
+def test_mix_blocks_are_not_broadcast(corpus):
+    """A document explodes into its blocks, which Spark's estimate does not count."""
+    plan = mixing.mix(corpus[1])._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join [" in x and "block#" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)
+
+
 def test_mixed_documents(corpus):
     rows, df = corpus
     out = mixing.mixed_documents(df)
